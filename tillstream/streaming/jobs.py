@@ -145,7 +145,7 @@ def alert_job(lines: DataFrame, root: str, settings: Settings = Settings(), run:
 def instant_alert_job(lines: DataFrame, root: str, settings: Settings = Settings(), run: int = 0,
                       once: bool = False) -> StreamingQuery:
     """The same rule judged at the end of every micro-batch."""
-    alerts = instant_alerts(ingest.event_rows(lines).where(F.col("ts").isNotNull()), settings.alert)
+    alerts = instant_alerts(ingest.event_rows(lines).where(F.col("event_time").isNotNull()), settings.alert)
     at = F.timestamp_millis("ts")
     docs = alerts.select(
         minute_doc_id(F.col("mid"), at).alias("doc_id"), "mid", "uids", "ts", day_of(at).alias("dt"),

@@ -10,12 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+import tillstream
 from tillstream.config import AlertRule, JoinBound
 from tillstream.operators.alerts import fired, is_browse, is_coupon, seconds_of
 
+# The processors travel to the workers as code, so these need no copy of the package.
+cloudpickle.register_pickle_by_value(tillstream)
+
 DAY_MS = 24 * 3600 * 1000
 
 
@@ -52,11 +57,12 @@ def daily_first_updates(logs: DataFrame, order: list[str], watermark: str = "1 d
 class DailyFirst(StatefulProcessor):
     """Gives out a device's earliest row of the batch that first shows it, once per day."""
 
-    def __init__(self, order: list[str]) -> None:
-        self.order = order
+    def __init__(self, order: list[str], ts: str) -> None:
+        self.order, self.ts = order, ts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean", 2 * DAY_MS)
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if self.seen.exists():
@@ -67,27 +73,36 @@ class DailyFirst(StatefulProcessor):
             first = batch.sort_values(self.order).head(1)
         if first is not None:
             self.seen.update((True,))
+            at = first[self.ts].iloc[0]
+            self.handle.registerTimer(int(at.timestamp() * 1000) + 2 * DAY_MS)
             yield first
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
-def daily_first_once(logs: DataFrame, order: list[str], day: str = "log_date", device: str = "mid") -> DataFrame:
+def daily_first_once(logs: DataFrame, order: list[str], watermark: str = "1 day", ts: str = "event_time",
+                     day: str = "log_date", device: str = "mid") -> DataFrame:
     """One row per device and day in append mode: never corrected, emitted at once.
 
-    The state is one flag per device and day, dropped after two days.
+    The state is one flag per device and day, dropped when the watermark is two days past it.
+    ``watermark`` must be below two days, or a late row could meet an emptied state.
     """
     keys, order = [day, device], list(order)
 
     def earliest(pdf: pd.DataFrame) -> pd.DataFrame:
         return pdf.sort_values(order).drop_duplicates(keys)
 
-    return _shrink(logs, earliest, logs.schema).groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=DailyFirst(order),
+    slim = _shrink(logs, earliest, logs.schema).withWatermark(ts, watermark)
+    return slim.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=DailyFirst(order, ts),
         outputStructType=logs.schema,
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="EventTime",
     )
 
 
@@ -166,6 +181,7 @@ RECENT = T.StructType([
     T.StructField("coupon_ms", T.LongType()),
     T.StructField("browse_ms", T.LongType()),
     T.StructField("seen_ms", T.LongType()),
+    T.StructField("at", T.TimestampType()),
 ])
 RECENT_ALERT = T.StructType([
     T.StructField("mid", T.StringType()),
@@ -188,13 +204,15 @@ class RecentCoupons(StatefulProcessor):
         self.k, self.window_ms = k, window_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.recent = handle.getValueState(
-            "recent", "uids array<string>, coupons array<bigint>, browse bigint, seen bigint",
-            4 * self.window_ms,
+            "recent", "uids array<string>, coupons array<bigint>, browse bigint, seen bigint"
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         uids, coupons, browse, seen = self.recent.get() if self.recent.exists() else ([], [], -1, -1)
+        if seen >= 0:
+            self.handle.deleteTimer(seen + 2 * self.window_ms)
         known = pd.DataFrame({"uid": list(uids), "coupon_ms": list(coupons)})
         for pdf in rows:
             known = newest_accounts(pd.concat([known, pdf[["uid", "coupon_ms"]]]), self.k)
@@ -204,30 +222,37 @@ class RecentCoupons(StatefulProcessor):
         self.recent.update((
             known["uid"].tolist(), [int(c) for c in known["coupon_ms"]], browse, seen,
         ))
+        self.handle.registerTimer(seen + 2 * self.window_ms)
         start = seen - self.window_ms
         inside = known[known["coupon_ms"] > start]
         if len(inside) >= self.k and browse <= start:
             yield pd.DataFrame({"mid": [key[0]], "uids": [sorted(inside["uid"])], "ts": [seen]})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.recent.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
-def instant_alerts(events: DataFrame, rule: AlertRule = AlertRule(), ts_ms: str = "ts") -> DataFrame:
-    """Alerts at the end of every micro-batch, without waiting for a watermark.
+def instant_alerts(events: DataFrame, rule: AlertRule = AlertRule(), watermark: str = "1 minute",
+                   ts: str = "event_time") -> DataFrame:
+    """Alerts at the end of every micro-batch, without waiting for the watermark.
 
     For devices with new events, the last ``rule.window`` up to their newest event is judged.
     ``uids`` are the ``min_uids`` newest accounts, the proof of the alert. Assumes batches
     arrive in time order per device; the windowed form is exact for any order.
     """
     k, evid = rule.min_uids, F.col("evid")
-    when = F.col(ts_ms).cast("bigint")
+    when = F.unix_millis(ts)
     slim = events.select(
         F.col("mid").cast("string").alias("mid"),
         F.when(is_coupon(rule, evid), F.col("uid").cast("string")).alias("uid"),
         F.when(is_coupon(rule, evid), when).alias("coupon_ms"),
         F.when(is_browse(rule, evid), when).alias("browse_ms"),
         when.alias("seen_ms"),
+        F.col(ts).alias("at"),
     )
 
     def shrink(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -241,11 +266,14 @@ def instant_alerts(events: DataFrame, rule: AlertRule = AlertRule(), ts_ms: str
         out = pd.concat([times, last], ignore_index=True)
         for c in ("coupon_ms", "browse_ms", "seen_ms"):
             out[c] = out[c].astype("Int64")
+        # Every kept row carries the device's newest time, so none of them counts as late.
+        newest = pdf.groupby("mid", dropna=False)["at"].max()
+        out["at"] = out["mid"].map(newest)
         return out[RECENT.fieldNames()]
 
-    return _shrink(slim, shrink, RECENT).groupBy("mid").transformWithStateInPandas(
+    return _shrink(slim, shrink, RECENT).withWatermark("at", watermark).groupBy("mid").transformWithStateInPandas(
         statefulProcessor=RecentCoupons(k, 1000 * seconds_of(rule.window)),
         outputStructType=RECENT_ALERT,
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="EventTime",
     )
