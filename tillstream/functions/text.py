@@ -14,6 +14,9 @@ from pyspark.sql import Column, functions as F
 # Script ranges cut into single characters, and the token separators.
 SINGLE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]"
 SEPARATOR = r"[^\p{L}\p{M}\p{N}]+"
+# A character that continues a token (Java syntax), and the single characters in Python syntax.
+WORD = r"[\p{L}\p{M}\p{N}&&[^" + SINGLE[1:-1] + "]]"
+SINGLE_PY = SINGLE.replace("Is", "Script=")
 
 
 def tokens(text: Column) -> Column:
@@ -25,14 +28,21 @@ def tokens(text: Column) -> Column:
 
 def keyword_terms(keyword: str | None) -> list[str]:
     """The keyword cut by the same rules, once, when the query is built."""
-    single = SINGLE.replace("Is", "Script=")
-    spaced = regex.sub(f"({single})", r" \1 ", (keyword or "").lower())
+    spaced = regex.sub(f"({SINGLE_PY})", r" \1 ", (keyword or "").lower())
     return list(dict.fromkeys(t for t in regex.split(SEPARATOR, spaced) if t))
 
 
-def _has(text: Column, words: Column, term: str) -> Column:
-    # The plain substring test is cheap and drops most rows before the text is cut.
-    return F.lower(text).contains(term) & F.array_contains(words, term)
+def has_token(text: Column, term: str) -> Column:
+    """True where the lower-case ``term`` is one of the text's tokens.
+
+    The text is searched, not cut: first for the plain substring, which drops most rows
+    cheaply, then for an occurrence with no word character on either side.
+    """
+    low = F.lower(text)
+    if regex.fullmatch(SINGLE_PY, term):
+        return low.contains(term)
+    literal = rf"\Q{term}\E"
+    return low.contains(term) & low.rlike(rf"{literal}(?!{WORD})(?<!{WORD}{literal})")
 
 
 def all_terms(text: Column, keyword: str | None) -> Column:
@@ -40,10 +50,7 @@ def all_terms(text: Column, keyword: str | None) -> Column:
     terms = keyword_terms(keyword)
     if not terms:
         return F.lit(False)
-    words = tokens(text)
-    maybe = [F.lower(text).contains(t) for t in terms]
-    exact = [F.array_contains(words, t) for t in terms]
-    return F.coalesce(reduce(Column.__and__, maybe + exact), F.lit(False))
+    return F.coalesce(reduce(Column.__and__, [has_token(text, t) for t in terms]), F.lit(False))
 
 
 def any_term(text: Column, keyword: str | None) -> Column:
@@ -51,5 +58,4 @@ def any_term(text: Column, keyword: str | None) -> Column:
     terms = keyword_terms(keyword)
     if not terms:
         return F.lit(False)
-    words = tokens(text)
-    return F.coalesce(reduce(Column.__or__, [_has(text, words, t) for t in terms]), F.lit(False))
+    return F.coalesce(reduce(Column.__or__, [has_token(text, t) for t in terms]), F.lit(False))

@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 Keys = list[str]
+UNORDERED = (T.MapType, T.VariantType)
 
 
-def first_per_key(df: DataFrame, keys: Keys, order: list[Column]) -> DataFrame:
-    """The first row of every key in the given order, with all columns.
+def _pick(df: DataFrame, keys: Keys, order: Keys, pick, pick_by) -> DataFrame:
+    order = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    if not order and not rest:
+        return df.select(*keys).distinct().select(*df.columns)
+    if order and any(isinstance(df.schema[c].dataType, UNORDERED) for c in rest):
+        row = pick_by(F.struct(*order, *rest), F.struct(*order))
+    else:
+        # Equal order values are told apart by the other columns, so reruns give the same row.
+        row = pick(F.struct(*order, *rest))
+    return df.groupBy(*keys).agg(row.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
-    ``order`` must be total (end it with a unique id), or equal rows are told apart at random.
-    Spark applies the "rank = 1" limit before the shuffle as well as after it, so a key that
-    holds a large part of the table sends one row per map task.
+
+def first_per_key(df: DataFrame, keys: Keys, order: Keys) -> DataFrame:
+    """The first row of every key in the order of the given columns, with all columns.
+
+    A minimum over whole rows, not a ranking: it is taken in the map tasks first, so a key that
+    holds a large part of the table sends one row per map task, and nothing is sorted by time.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+    return _pick(df, keys, order, F.min, F.min_by)
 
 
-def latest_by_key(df: DataFrame, keys: Keys, order: list[str]) -> DataFrame:
-    """The newest row of every key; ``order`` columns ascend with time."""
-    return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order])
+def latest_by_key(df: DataFrame, keys: Keys, order: Keys) -> DataFrame:
+    """The newest row of every key; the ``order`` columns ascend with time."""
+    return _pick(df, keys, order, F.max, F.max_by)
 
 
-def daily_first(logs: DataFrame, order: list[Column], day: str = "log_date", device: str = "mid") -> DataFrame:
+def daily_first(logs: DataFrame, order: Keys, day: str = "log_date", device: str = "mid") -> DataFrame:
     """Earliest log of every device on every day."""
     return first_per_key(logs, [day, device], order)
 

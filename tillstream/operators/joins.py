@@ -13,10 +13,12 @@ def orders_full_outer_details(orders: DataFrame, details: DataFrame, order_key:
 
     Written as "lines left join orders" plus "orders without lines". Adaptive execution can
     split a skewed side of a left or anti join but not of a full outer join, so one order
-    with very many lines does not end up in a single task.
+    with very many lines does not end up in a single task. Order columns whose name a line
+    column has too get the suffix ``_of_order``.
     """
-    o = orders.select(*[F.col(c).alias(f"order_{c}" if c in details.columns else c) for c in orders.columns])
-    key = f"order_{order_key}" if order_key in details.columns else order_key
+    taken = set(details.columns)
+    names = {c: f"{c}_of_order" if c in taken else c for c in orders.columns}
+    o, key = orders.withColumnsRenamed(names), names[order_key]
     lines = details.join(o, F.col(detail_key) == F.col(key), "left")
     with_line = details.select(F.col(detail_key).alias(key)).distinct()
     alone = o.join(with_line, key, "left_anti")

@@ -39,7 +39,7 @@ def sales(spark, folder):
 @query(f"select log_date, log_hour, event_id, user_id as mid, event_type as type from ({FIRST_SQL})")
 def dedup_daily_device(spark, folder):
     logs = domain.startup_logs(table(spark, folder, "events"))
-    return dedup.daily_first(logs, [F.col("ts"), F.col("event_id")]).select(
+    return dedup.daily_first(logs, ["ts", "event_id"]).select(
         "log_date", "log_hour", "event_id", "mid", "type"
     )
 
@@ -50,7 +50,7 @@ select user_id as mid, event_id, event_type from (
 """)
 def first_per_key(spark, folder):
     events = table(spark, folder, "events").withColumnRenamed("user_id", "mid")
-    return dedup.first_per_key(events, ["mid"], [F.col("ts"), F.col("event_id")]).select("mid", "event_id", "event_type")
+    return dedup.first_per_key(events, ["mid"], ["ts", "event_id"]).select("mid", "event_id", "event_type")
 
 
 @query("""
@@ -61,7 +61,7 @@ select l_partkey, l_orderkey, l_linenumber, l_suppkey from (
 """)
 def rank_first(spark, folder):
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
-    return dedup.first_per_key(table(spark, folder, "lineitem"), ["l_partkey"], [F.col(c) for c in order]).select(
+    return dedup.first_per_key(table(spark, folder, "lineitem"), ["l_partkey"], order).select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_suppkey"
     )
 
