@@ -1,0 +1,239 @@
+"""Streaming forms against their batch forms: several batches, restarts, repeated records."""
+
+from __future__ import annotations
+
+import json
+import time
+from collections import defaultdict
+from datetime import datetime, timedelta, timezone
+from random import Random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillstream import schemas
+from tillstream.config import AlertRule, JoinBound, Settings
+from tillstream.operators import alerts, dedup, ingest, joins, metrics
+from tillstream.sources import files
+from tillstream.streaming import jobs, stateful
+from tillstream.streaming.probe import StageCounts, late_rows
+
+T0 = datetime(2024, 1, 1, 6, tzinfo=timezone.utc)
+
+
+def ms(seconds: float) -> int:
+    return int((T0 + timedelta(seconds=seconds)).timestamp() * 1000)
+
+
+def write(folder, name, records):
+    folder.mkdir(exist_ok=True)
+    (folder / f"{name}.json").write_text("".join(
+        (r if isinstance(r, str) else json.dumps(r)) + "\n" for r in records))
+    time.sleep(0.02)  # Files are taken in the order of their times.
+
+
+def stream(spark, folder):
+    """One file per micro-batch; the arrival time is a field of the record."""
+    lines = files.line_stream(spark, str(folder), files_per_trigger=1)
+    return lines.withColumn("arrival", F.timestamp_millis(F.get_json_object("value", "$.arrival").cast("bigint")))
+
+
+def batch(spark, folder):
+    return spark.read.text(str(folder))
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def finish(query):
+    query.awaitTermination(100)
+    assert not query.isActive and query.exception() is None
+
+
+def startups(n, seed, hours=30.0):
+    """Rows in time order with a jitter of an hour, over two days."""
+    r = Random(seed)
+    at = sorted((r.uniform(0, hours * 3600), i) for i in range(n))
+    at.sort(key=lambda t: t[0] + r.uniform(0, 3600))
+    return [
+        {"type": "startup", "mid": f"m{r.choice([0, 0, 0, 1, 2, 3, 4, 5])}", "uid": str(i), "ts": ms(s)} for s, i in at
+    ]
+
+
+def test_dau_job_equals_batch_over_batches_and_restart(spark, tmp_path):
+    logs = startups(240, 1)
+    write(tmp_path / "in", "a", [*logs[:60], "broken line"])
+    write(tmp_path / "in", "b", logs[60:120])
+    finish(jobs.dau_job(stream(spark, tmp_path / "in"), str(tmp_path / "out"), once=True))
+    write(tmp_path / "in", "c", logs[120:])
+    query = jobs.dau_job(stream(spark, tmp_path / "in"), str(tmp_path / "out"), once=True)
+    finish(query)
+    assert sum(late_rows_of(p) for p in query.recentProgress) == 0
+    got = jobs.dau_table(str(tmp_path / "out")).read(spark, jobs.DAU_TABLE)
+    want = dedup.daily_first(ingest.startup_rows(batch(spark, tmp_path / "in")), ["ts", "uid"])
+    assert rows(got.select("logdate", "mid", "uid", "ts")) == rows(want.select("log_date", "mid", "uid", "ts"))
+    assert got.count() == 12
+    hours = metrics.dau_by_hour(got.withColumnsRenamed({"logdate": "log_date", "loghour": "log_hour"}))
+    assert rows(hours) == rows(metrics.dau_by_hour(want))
+
+
+def late_rows_of(progress):
+    return sum(int(op["numRowsDroppedByWatermark"]) for op in progress["stateOperators"])
+
+
+def test_daily_first_once_emits_once(spark, tmp_path):
+    logs = sorted(startups(120, 2), key=lambda r: (r["ts"], r["uid"]))
+    for i in range(3):
+        write(tmp_path / "in", f"f{i}", logs[i * 40:(i + 1) * 40])
+    decoded = ingest.startup_rows(stream(spark, tmp_path / "in"))
+    first = stateful.daily_first_once(decoded, ["ts", "uid"])
+    out = str(tmp_path / "out")
+    finish(first.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
+           .trigger(availableNow=True).start())
+    want = dedup.daily_first(ingest.startup_rows(batch(spark, tmp_path / "in")), ["ts", "uid"])
+    assert rows(spark.read.parquet(out).select("log_date", "mid", "uid")) == rows(want.select("log_date", "mid", "uid"))
+
+
+def test_gmv_job_takes_repeated_orders_once(spark, tmp_path):
+    def order(i, amount, clock):
+        return {"id": str(i), "total_amount": amount, "create_time": f"2024-01-01 {clock}", "consignee_tel": "13812345678"}
+
+    write(tmp_path / "in", "a", [order(1, "10.10", "09:05:00"), order(2, "1.00", "09:30:00")])
+    write(tmp_path / "in", "b", [order(2, "1.00", "09:30:00"), order(3, "5.05", "10:00:00"), order(4, "x", "11:00:00")])
+    finish(jobs.gmv_job(stream(spark, tmp_path / "in"), str(tmp_path / "out"), once=True))
+    table = jobs.order_table(str(tmp_path / "out")).read(spark, jobs.ORDER_TABLE)
+    assert rows(metrics.gmv_by_hour(table)) == [("2024-01-01", "09", 11.1), ("2024-01-01", "10", 5.05)]
+    assert table.first().consignee_tel == "1381*******"
+
+
+def orders_and_lines():
+    """Order first, line first, same batch, several lines, gaps of 99 to 101 s, repeats, loners."""
+    o = lambda i, at, user="u1": {"id": i, "user_id": user, "order_status": "1001", "create_time": "2024-01-01 09:05:00",
+                                  "consignee_tel": "1", "total_amount": "1", "arrival": ms(at)}
+    d = lambda i, order, at: {"id": i, "order_id": order, "sku_id": "s", "sku_name": "cold widget",
+                              "order_price": "2.50", "arrival": ms(at)}
+    orders = [[o("o1", 0), o("o2", 1)], [o("o3", 60, "u2"), o("o4", 61, "u9")], [o("o5", 160)], [o("far", 9000)]]
+    lines = [
+        [d("same", "o1", 0), d("early1", "o3", 5), d("early2", "o3", 6), d("lost", "oX", 7)],
+        [d("later", "o1", 70), d("same", "o1", 71)],
+        [d("g99", "o4", 61 + 99), d("g100", "o4", 161), d("g101", "o4", 162)],
+        [d("far", "far", 9000)],
+    ]
+    return orders, lines
+
+
+MATCHED = {"same", "early1", "early2", "later", "g99", "g100", "far"}
+
+
+@pytest.mark.parametrize("salts", [1, 8])
+def test_sale_detail_job(spark, tmp_path, salts):
+    orders, lines = orders_and_lines()
+    root = str(tmp_path / "out")
+    user = lambda i, level, at: {"id": i, "gender": "F", "user_level": level, "birthday": "2000-01-01", "arrival": ms(at)}
+    write(tmp_path / "u", "a", [user("u1", "1", 0), user("u1", "2", 5)])
+    write(tmp_path / "u", "b", [user("u1", "3", 9)])
+    finish(jobs.user_job(stream(spark, tmp_path / "u"), root, once=True))
+    base = spark.createDataFrame(
+        [("u1", None, "0", "1990-01-01", "M"), ("u2", None, "7", "1990-01-01", "M")],
+        ", ".join(f"{c} string" for c in schemas.USER_FIELDS)).withColumn("birthday", F.to_date("birthday"))
+    settings = Settings(join=JoinBound(salts=salts))
+    start = lambda: finish(jobs.sale_detail_job(
+        stream(spark, tmp_path / "o"), stream(spark, tmp_path / "d"), root, base, F.lit("2020-01-01"), settings, once=True))
+    for i in range(2):
+        write(tmp_path / "o", f"f{i}", orders[i])
+        write(tmp_path / "d", f"f{i}", lines[i])
+    start()
+    for i in range(2, 4):
+        write(tmp_path / "o", f"f{i}", orders[i])
+        write(tmp_path / "d", f"f{i}", lines[i])
+    start()
+    got = {r.order_detail_id: r for r in jobs.sale_table(root).read(spark, jobs.SALE_TABLE).collect()}
+    assert got.keys() == MATCHED
+    assert (got["same"].user_level, got["same"].user_age, got["same"].dt) == ("3", 20, "2024-01-01")
+    assert (got["early1"].user_level, got["early1"].user_gender) == ("7", "M")
+    assert got["g99"].user_level is None and got["g99"].sku_price == 2.5
+
+
+def test_unmatched_side_output(spark, tmp_path):
+    orders, lines = orders_and_lines()
+    for i, (o, d) in enumerate(zip(orders, lines)):
+        write(tmp_path / "o", f"f{i}", o)
+        write(tmp_path / "d", f"f{i}", d)
+    o = ingest.order_rows(stream(spark, tmp_path / "o"), keep=("arrival",)).select("id", F.col("arrival").alias("order_arrival"))
+    d = ingest.detail_rows(stream(spark, tmp_path / "d"), keep=("arrival",)).select(
+        F.col("id").alias("line"), "order_id", F.col("arrival").alias("detail_arrival"))
+    out = str(tmp_path / "out")
+    finish(stateful.unmatched_orders_and_lines(o, d).writeStream.format("parquet").option("path", out)
+           .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    got = {r.id or r.line for r in spark.read.parquet(out).collect()}
+    assert got == {"o2", "o5", "lost", "g101"}
+
+
+def events(n, seed):
+    r = Random(seed)
+    at = sorted(r.uniform(0, 3600) for _ in range(n))
+    return [
+        {"type": "event", "mid": r.choice(["m1", "m1", "m1", "m2", "m3"]), "uid": r.choice(["u1", "u2", "u3", "u4", None]),
+         "evid": r.choice(["coupon"] * 8 + ["addCart", "clickItem"]), "itemid": str(r.randrange(5)), "ts": ms(s)}
+        for s in at
+    ]
+
+
+def test_alert_job_equals_batch(spark, tmp_path):
+    data = events(200, 3)
+    for i in range(4):
+        write(tmp_path / "in", f"f{i}", data[i * 50:(i + 1) * 50])
+    # A far later event closes all windows before it.
+    write(tmp_path / "in", "z", [{"mid": "end", "evid": "addCart", "ts": ms(100_000)}])
+    finish(jobs.alert_job(stream(spark, tmp_path / "in"), str(tmp_path / "out"), once=True))
+    got = jobs.alert_table(str(tmp_path / "out")).read(spark, jobs.ALERT_TABLE)
+    want = alerts.one_per_minute(alerts.coupon_alerts(ingest.event_rows(batch(spark, tmp_path / "in")), AlertRule()))
+    assert rows(got.select("doc_id", "mid", "n_uids", "n_events")) == rows(want.select("doc_id", "mid", "n_uids", "n_events"))
+    assert got.count() > 0
+
+
+def test_instant_alerts_equal_a_loop(spark, tmp_path):
+    data = events(300, 4)
+    size, window = 20, 300_000
+    for i in range(0, len(data), size):
+        write(tmp_path / "in", f"f{i:03d}", data[i:i + size])
+    alerts_of = stateful.instant_alerts(ingest.event_rows(stream(spark, tmp_path / "in")))
+    out = str(tmp_path / "out")
+    finish(alerts_of.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
+           .trigger(availableNow=True).start())
+    got = {(r.mid, r.ts) for r in spark.read.parquet(out).collect()}
+    want, seen = set(), defaultdict(list)
+    for i in range(0, len(data), size):
+        part = data[i:i + size]
+        for e in part:
+            seen[e["mid"]].append(e)
+        for mid in {e["mid"] for e in part}:
+            end = seen[mid][-1]["ts"]
+            inside = [e for e in seen[mid] if e["ts"] > end - window]
+            uids = {e["uid"] for e in inside if e["evid"] == "coupon" and e["uid"]}
+            if len(uids) >= 3 and not any(e["evid"] == "clickItem" for e in inside):
+                want.add((mid, end))
+    assert got == want and len(want) > 0
+
+
+def test_stage_counts_and_log_landing(spark, tmp_path):
+    counts = StageCounts()
+    spark.streams.addListener(counts)
+    try:
+        logs = startups(50, 5)
+        write(tmp_path / "in", "a", logs[:30])
+        write(tmp_path / "in", "b", logs[30:])
+        finish(jobs.dau_job(stream(spark, tmp_path / "in"), str(tmp_path / "out"), once=True))
+        end = time.time() + 20
+        while sum(n for _, s, n in counts.counts if s == "decoded") < 50 and time.time() < end:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(counts)
+    assert [n for _, s, n in counts.counts if s == "decoded"][:2] == [30, 20]
+    lines = stream(spark, tmp_path / "in").withColumn("ts", F.get_json_object("value", "$.ts").cast("bigint"))
+    landed = str(tmp_path / "landed")
+    finish(files.land_lines(lines, landed, str(tmp_path / "ck2")).trigger(availableNow=True).start())
+    back = spark.read.text(landed)
+    assert {r.log_date for r in back.select(F.col("log_date").cast("string")).distinct().collect()} == {"2024-01-01", "2024-01-02"}
+    assert sorted(json.loads(r.value)["ts"] for r in back.collect()) == sorted(r["ts"] for r in logs)

@@ -21,22 +21,19 @@ from tillstream.streaming.stateful import (
 )
 
 
-def _named(columns: tuple[str, ...], **kinds: str) -> T.StructType:
-    return T.StructType([
-        T.StructField(c, T.StructType.fromDDL(f"x {kinds.get(c, 'string')}")[0].dataType) for c in columns
-    ])
+def _named(columns: tuple[str, ...], **kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in columns])
 
 
-DAU_TABLE = _named(schemas.DAU_COLUMNS, ts="bigint")
+LONG = T.LongType()
+DAU_TABLE = _named(schemas.DAU_COLUMNS, ts=LONG)
 ORDER_TABLE = _named(
-    schemas.ORDER_FIELDS + ("create_date", "create_hour"), total_amount="decimal(18,2)"
+    schemas.ORDER_FIELDS + ("create_date", "create_hour"), total_amount=T.DecimalType(18, 2)
 )
-USER_TABLE = _named(schemas.USER_FIELDS + ("dt",), birthday="date")
-SALE_TABLE = _named(schemas.SALE_DETAIL_FIELDS, user_age="int", sku_price="double")
-ALERT_TABLE = _named(
-    ("doc_id", "mid", "ts", "n_uids", "n_events", "dt"), ts="bigint", n_uids="bigint", n_events="bigint"
-)
-RECENT_TABLE = _named(("doc_id", "mid", "uids", "ts", "dt"), uids="array<string>", ts="bigint")
+USER_TABLE = _named(schemas.USER_FIELDS + ("dt",), birthday=T.DateType())
+SALE_TABLE = _named(schemas.SALE_DETAIL_FIELDS, user_age=T.IntegerType(), sku_price=T.DoubleType())
+ALERT_TABLE = _named(("doc_id", "mid", "ts", "n_uids", "n_events", "dt"), ts=LONG, n_uids=LONG, n_events=LONG)
+RECENT_TABLE = _named(("doc_id", "mid", "uids", "ts", "dt"), uids=T.ArrayType(T.StringType()), ts=LONG)
 
 
 def dau_table(root: str, settings: Settings = Settings(), run: int = 0) -> KeyedTable:
