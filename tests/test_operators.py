@@ -296,6 +296,8 @@ def test_keyed_table(spark, tmp_path):
     later = KeyedTable(t.path, t.keys, t.day, t.order, run=1)
     later.write_batch(make(("d1", "a", 10, 0)), 0)
     assert rows(later.read(spark, schema, ["d1"])) == [("d1", "a", 10, 0)]
+    assert rows(t.read(spark, schema, after=(0, 1))) == [("d1", "a", 10, 0)]
+    assert rows(t.read(spark, schema, after=(1, 0))) == []
     target = str(tmp_path / "published")
     t.publish(spark, schema, target)
     t.publish(spark, schema, target, ["d1"])

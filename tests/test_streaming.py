@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from tillstream import schemas
 from tillstream.config import AlertRule, JoinBound, Settings
-from tillstream.operators import alerts, dedup, ingest, joins, metrics
+from tillstream.operators import alerts, dedup, ingest, metrics
 from tillstream.sources import files
 from tillstream.streaming import jobs, stateful
-from tillstream.streaming.probe import StageCounts, late_rows
+from tillstream.streaming.probe import StageCounts
 
 T0 = datetime(2024, 1, 1, 6, tzinfo=timezone.utc)
 

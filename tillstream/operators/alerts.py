@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.config import AlertRule
 from tillstream.functions import minute_doc_id
-from tillstream.operators.dedup import latest_by_key
+from tillstream.operators.dedup import is_seen, latest_by_key
+from tillstream.operators.skew import join_spread
 
 # Seconds per unit.
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -132,14 +133,15 @@ def alert_documents(alerts: DataFrame, events: DataFrame, rule: AlertRule, ts: s
                     order: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """Alert rows with their accounts, items and events.
 
-    ``alerts`` are joined back to the events of their windows. They are few; Spark broadcasts
-    them only below the configured size and shuffles otherwise, splitting skewed devices.
+    ``alerts`` are joined back to the events of their windows. They are few, so at run time
+    Spark mostly broadcasts them; beyond its size limit it shuffles, and the events of a hot
+    device are spread over several tasks.
     """
     slice_start = F.window(ts, rule.slide)["start"]
     # Devices without any alert are dropped before events are copied into windows.
-    noisy = events.join(alerts.select("mid").distinct(), "mid", "left_semi")
+    noisy = is_seen(events, alerts, ["mid"])
     in_windows = noisy.withColumn("window_start", F.explode(_window_starts(slice_start, rule)))
-    members = in_windows.join(alerts, ["mid", "window_start"])
+    members = join_spread(in_windows, alerts, ["mid", "window_start"], "inner")
     docs = collect_groups(members, ["mid", "window_start", "window_end", "n_uids", "n_events"],
                           [ts, *order], "n_events", rule)
     return docs.withColumn("doc_id", minute_doc_id(F.col("mid"), F.col("window_end")))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tillstream.operators.skew import SALTS, join_spread
+
 Keys = list[str]
 UNORDERED = (T.MapType, T.VariantType)
 
@@ -49,15 +51,15 @@ def first_visit_times(logs: DataFrame, ts: str, day: Column, device: str = "mid"
     return logs.groupBy(day.alias("log_date"), device).agg(F.min(ts).alias("first_ts"))
 
 
-def not_seen(df: DataFrame, seen: DataFrame, keys: Keys) -> DataFrame:
+def not_seen(df: DataFrame, seen: DataFrame, keys: Keys, salts: int = SALTS) -> DataFrame:
     """Rows whose key is not in ``seen``.
 
-    The keys are made distinct first, so a repeated key weighs nothing in the join, and the
-    join reuses that shuffle.
+    The seen keys are made distinct first, so a repeated key weighs nothing in the join; the
+    rows of a hot key are spread over ``salts`` tasks.
     """
-    return df.join(seen.select(*keys).distinct(), keys, "left_anti")
+    return join_spread(df, seen.select(*keys).distinct(), keys, "left_anti", salts)
 
 
-def is_seen(df: DataFrame, seen: DataFrame, keys: Keys) -> DataFrame:
+def is_seen(df: DataFrame, seen: DataFrame, keys: Keys, salts: int = SALTS) -> DataFrame:
     """Rows whose key is in ``seen``."""
-    return df.join(seen.select(*keys).distinct(), keys, "left_semi")
+    return join_spread(df, seen.select(*keys).distinct(), keys, "left_semi", salts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillstream.config import GENDER_MALE, SENIOR_FROM, YOUNG_BELOW
 from tillstream.functions import all_terms, any_term, pct, pct_text
@@ -206,16 +206,10 @@ def stat_document(found: DataFrame, order: list[Column], page_no: int, size: int
         ),
     )
     head = share_counts(found, gender, age, male).select("total", stat.alias("stat"))
-    keys = [F.row_number().over(_page_window(order)).alias("_pos")]
-    rows = page(found, order, page_no, size).select(*keys, F.struct(*found.columns).alias("_row"))
+    position = F.row_number().over(Window.orderBy(*order)).alias("_pos")
+    rows = page(found, order, page_no, size).select(position, F.struct(*found.columns).alias("_row"))
     detail = rows.agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_row"))), lambda r: r["_row"]).alias("detail")
     )
-    # Both sides are single rows of an aggregate without keys.
-    return head.join(F.broadcast(detail)).select(F.to_json(F.struct("total", "stat", "detail")).alias("document"))
-
-
-def _page_window(order: list[Column]):
-    from pyspark.sql import Window
-
-    return Window.orderBy(*order)
+    whole = head.withColumn("detail", detail.scalar())
+    return whole.select(F.to_json(F.struct("total", "stat", "detail")).alias("document"))

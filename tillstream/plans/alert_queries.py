@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, functions as F
 
 from tillstream.functions import day_of
 from tillstream.operators import alerts
+from tillstream.operators.skew import join_spread
 from tillstream.plans.catalog import query
 from tillstream.sources import domain
 from tillstream.sources.files import table
@@ -113,7 +112,8 @@ def group_collect(spark, folder):
     rows = logs(spark, folder).withColumn("day", F.to_date("event_time"))
     sizes = rows.groupBy("mid", "day").agg(F.count(F.lit(1)).alias("n_events"))
     grouped = alerts.collect_groups(
-        rows.join(sizes, ["mid", "day"]), ["mid", "day"], ["event_time", "event_id"], "n_events", domain.DAILY_RULE
+        join_spread(rows, sizes, ["mid", "day"], "inner"),
+        ["mid", "day"], ["event_time", "event_id"], "n_events", domain.DAILY_RULE,
     )
     return _joined(grouped.withColumn("day", F.col("day").cast("string")), "mid", "day")
 

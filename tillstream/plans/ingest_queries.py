@@ -172,11 +172,11 @@ select event_type, n, (n * 2000 + total) // (total * 2) / 10.0 as share,
 from (select event_type, count(*) as n, sum(count(*)) over ()::bigint as total from events group by 1)
 """)
 def percent_one_decimal(spark, folder):
-    # One row per kind of event, with the total joined on as a single row.
     counts = table(spark, folder, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    total = table(spark, folder, "events").agg(F.count(F.lit(1)).alias("total"))
+    # The total is summed from the few counts and put in as a single value.
+    total = counts.agg(F.sum("n")).scalar()
     n, t = F.col("n"), F.col("total")
-    return counts.join(F.broadcast(total)).select(
+    return counts.withColumn("total", total).select(
         "event_type", "n", pct(n, t).alias("share"), pct(t - n, t).alias("rest")
     )
 
@@ -186,4 +186,4 @@ def scalar_or_zero(spark, folder):
     orders = table(spark, folder, "orders")
     newest = metrics.scalar_or_zero(orders, F.max("o_custkey"), "newest")
     none = metrics.scalar_or_zero(orders.where(F.col("o_orderstatus") == "?"), F.max("o_custkey"), "none")
-    return newest.join(F.broadcast(none))
+    return newest.withColumn("none", none.scalar())

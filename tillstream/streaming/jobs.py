@@ -96,15 +96,20 @@ def user_job(lines: DataFrame, root: str, settings: Settings = Settings(), run:
 
 
 def current_users(spark: SparkSession, root: str, settings: Settings = Settings(),
-                  base: DataFrame | None = None) -> DataFrame:
-    """Newest user rows of the change stream, completed from the base table."""
-    cache = user_table(root, settings).read(spark, USER_TABLE).select(*schemas.USER_FIELDS)
+                  base: DataFrame | None = None, after: tuple[int, int] | None = None) -> DataFrame:
+    """Newest user rows of the change stream, completed from the base table.
+
+    Publish the user table now and then, use the published table as ``base`` and the last
+    published run and batch as ``after``: then only the changes since are merged.
+    """
+    cache = user_table(root, settings).read(spark, USER_TABLE, after=after).select(*schemas.USER_FIELDS)
     return cache if base is None else two_level_users(cache, base.select(*schemas.USER_FIELDS))
 
 
 def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, root: str,
                     base_users: DataFrame | None = None, as_of: Column | None = None,
-                    settings: Settings = Settings(), run: int = 0, once: bool = False) -> StreamingQuery:
+                    settings: Settings = Settings(), run: int = 0, once: bool = False,
+                    users_after: tuple[int, int] | None = None) -> StreamingQuery:
     """Orders meet their lines, get their buyer, and are stored under the line id."""
     orders = ingest.order_rows(order_lines, keep=("arrival",)).select(
         F.col("id").alias("o_id"), "order_status", "create_time", "user_id",
@@ -119,7 +124,7 @@ def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, root: str,
 
     def write(df: DataFrame, batch_id: int) -> None:
         # Inside a batch the plan is adaptive: skewed buyers are split, sizes decide the join.
-        users = current_users(df.sparkSession, root, settings, base_users)
+        users = current_users(df.sparkSession, root, settings, base_users, users_after)
         table.write_batch(enrich_with_users(df, users, as_of).select(*SALE_TABLE.fieldNames()), batch_id)
 
     return _start(sales.writeStream.foreachBatch(write), root, "sale_detail", settings.intervals.sale_detail, once)

@@ -53,9 +53,16 @@ class KeyedTable:
                 raise
             return spark.createDataFrame([], full)
 
-    def read(self, spark: SparkSession, schema: T.StructType, days: list[str] | None = None) -> DataFrame:
-        """Newest row per key, of some days (prunes folders) or of all."""
+    def read(self, spark: SparkSession, schema: T.StructType, days: list[str] | None = None,
+             after: tuple[int, int] | None = None) -> DataFrame:
+        """Newest row per key, of some days or of all.
+
+        ``after`` is a run and batch: only later batches are read. Both choices prune folders.
+        """
         rows = self.written(spark, schema)
+        if after is not None:
+            run, batch = after
+            rows = rows.where((F.col(RUN) > run) | ((F.col(RUN) == run) & (F.col(BATCH) > batch)))
         if days is not None:
             rows = rows.where(F.col(self.day).isin(*days))
         newest = latest_by_key(rows, [self.day, *self.keys], [RUN, BATCH])
