@@ -1,8 +1,8 @@
 """Coupon-abuse alerts: several accounts take coupons on one device and nothing is browsed.
 
 The rule is decided on counts, never on collected groups. Events are first counted per
-device, time slice and account; these counts are merged into windows, then into one row per
-device and window. Every step has a map-side part, so a device that sends a large share of
+device, time slot and account; these counts are merged into one row per device and window.
+Every step has a map-side part, so a device that sends a large share of
 all events arrives as a few partial rows per task. Only for windows that fired are the events
 themselves gathered, and then in parts of bounded size.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from math import gcd
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tillstream.config import AlertRule
 from tillstream.functions import minute_doc_id
@@ -21,6 +21,7 @@ from tillstream.operators.skew import join_spread
 
 # Seconds per unit.
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+SPAN_SLOTS = 10_000
 
 
 def seconds_of(text: str) -> int:
@@ -46,42 +47,107 @@ def is_browse(rule: AlertRule, evid: Column) -> Column:
     return F.coalesce(evid.isin(*rule.browse), F.lit(False))
 
 
-def _window_starts(slice_start: Column, rule: AlertRule) -> Column:
-    """Starts of all windows that contain a slice (slices are as long as the slide)."""
-    slide, n = seconds_of(rule.slide), windows_per_event(rule)
-    back = F.make_dt_interval(secs=F.lit(slide))
-    return F.sequence(slice_start - F.make_dt_interval(secs=F.lit(slide * (n - 1))), slice_start, back)
+def _epoch_seconds(df: DataFrame, ts: str) -> Column:
+    """Whole seconds since 1970, for timestamps with and without zone."""
+    t = F.col(ts)
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        clock = F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+        return F.datediff(t, F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + clock
+    return F.unix_seconds(t)
+
+
+def _slot(df: DataFrame, ts: str, seconds: int) -> Column:
+    """Number of the time slot of a row; slots are ``seconds`` long."""
+    return F.floor(_epoch_seconds(df, ts) / seconds)
+
+
+def _slot_start(slot: Column, seconds: int, like: T.DataType) -> Column:
+    if isinstance(like, T.TimestampNTZType):
+        return F.lit("1970-01-01").cast(like) + F.make_dt_interval(secs=slot * seconds)
+    return F.timestamp_seconds(slot * seconds)
 
 
 def window_counts(events: DataFrame, rule: AlertRule, ts: str = "event_time") -> DataFrame:
     """Counts per device and window: events, browses, coupon accounts.
 
-    Counting per slice first means that a 5-minute window moving by 5 seconds multiplies the
-    slice counts by 60, not the events.
+    Events without a device are left out: they come from many unknown devices, not from one.
     """
-    evid = F.col("evid")
-    per_slice = events.groupBy(
-        "mid", F.window(ts, rule.slide)["start"].alias("slice"), "uid"
+    evid, slide = F.col("evid"), seconds_of(rule.slide)
+    per_slot = events.where(F.col("mid").isNotNull()).groupBy(
+        "mid", _slot(events, ts, slide).alias("slot"), "uid"
     ).agg(
         F.count(F.lit(1)).alias("n_events"),
         F.count_if(is_browse(rule, evid)).alias("n_browse"),
         F.count_if(is_coupon(rule, evid)).alias("n_coupon"),
     )
     if windows_per_event(rule) == 1:
-        per_account = per_slice.withColumnRenamed("slice", "window_start")
-    else:
-        per_account = per_slice.withColumn(
-            "window_start", F.explode(_window_starts(F.col("slice"), rule))
-        ).groupBy("mid", "window_start", "uid").agg(
+        counts = per_slot.groupBy("mid", F.col("slot").alias("first")).agg(
             F.sum("n_events").alias("n_events"),
             F.sum("n_browse").alias("n_browse"),
-            F.sum("n_coupon").alias("n_coupon"),
+            F.count_if(_counts_as_account()).alias("n_uids"),
+        )
+    else:
+        counts = _sliding_counts(per_slot, windows_per_event(rule))
+    start = _slot_start(F.col("first"), slide, events.schema[ts].dataType)
+    return counts.select("mid", start.alias("window_start"), "n_events", "n_browse", "n_uids")
+
+
+def _counts_as_account() -> Column:
+    return (F.col("n_coupon") > 0) & F.col("uid").isNotNull()
+
+
+def _sliding_counts(per_slot: DataFrame, n: int) -> DataFrame:
+    """Counts of all windows of ``n`` slots, without copying rows into the windows.
+
+    A slot lies in the windows that begin in its last ``n`` slots, so it raises their counts
+    at one begin and lowers them again after another: two steps instead of ``n`` copies. An
+    account counts once per window: each of its slots raises only windows that begin after its
+    slot before. Running sums over the steps give the counts; the steps are cut into spans of
+    bounded length, so that no device's running sum grows with the length of the history.
+    """
+    slot, span = F.col("slot"), max(n, SPAN_SLOTS)
+    earlier = Window.partitionBy("mid", "uid").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    counts = _counts_as_account()
+    before = F.last(F.when(counts, slot), ignorenulls=True).over(earlier)
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+
+    def raised(begin: Column, n_events: Column, n_browse: Column, n_uids: Column) -> Column:
+        return F.struct(
+            begin.alias("begin"), n_events.alias("n_events"), n_browse.alias("n_browse"), n_uids.alias("n_uids"),
+        )
+
+    first = slot - (n - 1)
+    changes = per_slot.withColumn("before", before).select(
+        "mid", (slot + 1).alias("end"),
+        F.explode(F.filter(F.array(
+            raised(first, F.col("n_events"), F.col("n_browse"), zero),
+            F.when(counts, raised(F.greatest(first, F.col("before") + 1), zero, zero, one)),
+        ), lambda c: c.isNotNull())).alias("c"),
+    )
+
+    def step(span_no: Column, at: Column, sign: int) -> Column:
+        return F.struct(
+            span_no.alias("span"), at.alias("first"),
+            *[(F.col(f"c.{k}") * sign).alias(k) for k in ("n_events", "n_browse", "n_uids")],
         )
-    return per_account.groupBy("mid", "window_start").agg(
-        F.sum("n_events").alias("n_events"),
-        F.sum("n_browse").alias("n_browse"),
-        F.count_if((F.col("n_coupon") > 0) & F.col("uid").isNotNull()).alias("n_uids"),
+
+    begin, end = F.col("c.begin"), F.col("end")
+    begin_span, end_span = F.floor(begin / span), F.floor((end - 1) / span)
+    steps = changes.select("mid", F.explode(F.filter(F.array(
+        step(begin_span, begin, 1),
+        F.when(begin_span != end_span, step(end_span, end_span * span, 1)),
+        step(end_span, end, -1),
+    ), lambda s: s.isNotNull())).alias("s")).select("mid", "s.*")
+    merged = steps.groupBy("mid", "span", "first").agg(
+        *[F.sum(k).alias(k) for k in ("n_events", "n_browse", "n_uids")]
     )
+    so_far = Window.partitionBy("mid", "span").orderBy("first")
+    totals = merged.select(
+        "mid", "first",
+        F.coalesce(F.lead("first").over(so_far), (F.col("span") + 1) * span).alias("until"),
+        *[F.sum(k).over(so_far).alias(k) for k in ("n_events", "n_browse", "n_uids")],
+    ).where((F.col("n_events") > 0) & (F.col("until") > F.col("first")))
+    return totals.withColumn("first", F.explode(F.sequence(F.col("first"), F.col("until") - 1)))
 
 
 def fired(counts: DataFrame, rule: AlertRule) -> DataFrame:
@@ -93,8 +159,40 @@ def fired(counts: DataFrame, rule: AlertRule) -> DataFrame:
     )
 
 
+def suspects(events: DataFrame, rule: AlertRule, ts: str = "event_time") -> DataFrame:
+    """Device and block pairs outside of which no window can meet the rule.
+
+    Time is cut into blocks as long as the window, so a window lies in two neighbouring
+    blocks. It can have ``min_uids`` coupon accounts only if the accounts of both blocks add
+    up to that many; then every event of both blocks is needed, and no other.
+    """
+    evid, width = F.col("evid"), F.make_dt_interval(secs=F.lit(seconds_of(rule.window)))
+    block = F.col("block")
+    accounts = (
+        events.where(is_coupon(rule, evid) & F.col("uid").isNotNull() & F.col("mid").isNotNull())
+        .select("mid", _block(ts, rule), "uid").distinct()
+        .groupBy("mid", "block").agg(F.count(F.lit(1)).alias("n"))
+    )
+    first_blocks = (
+        accounts.select("mid", F.explode(F.array(block, block - width)).alias("block"), "n")
+        .groupBy("mid", "block").agg(F.sum("n").alias("n")).where(F.col("n") >= rule.min_uids)
+    )
+    return first_blocks.select("mid", F.explode(F.array(block, block + width)).alias("block"))
+
+
+def _block(ts: str, rule: AlertRule) -> Column:
+    return F.window(ts, rule.window)["start"].alias("block")
+
+
 def coupon_alerts(events: DataFrame, rule: AlertRule, ts: str = "event_time") -> DataFrame:
-    """One row per device and window that meets the rule."""
+    """One row per device and window that meets the rule.
+
+    Abuse is rare. Where windows overlap, the events are first cut down to the suspect blocks,
+    so that only few are copied into windows.
+    """
+    if windows_per_event(rule) > 1:
+        blocks = events.withColumn("block", _block(ts, rule))
+        events = is_seen(blocks, suspects(events, rule, ts), ["mid", "block"])
     return fired(window_counts(events, rule, ts), rule)
 
 
@@ -137,10 +235,14 @@ def alert_documents(alerts: DataFrame, events: DataFrame, rule: AlertRule, ts: s
     Spark mostly broadcasts them; beyond its size limit it shuffles, and the events of a hot
     device are spread over several tasks.
     """
-    slice_start = F.window(ts, rule.slide)["start"]
+    slide, kind = seconds_of(rule.slide), events.schema[ts].dataType
+    slot = _slot(events, ts, slide)
+    first = F.explode(F.sequence(slot - (windows_per_event(rule) - 1), slot))
     # Devices without any alert are dropped before events are copied into windows.
     noisy = is_seen(events, alerts, ["mid"])
-    in_windows = noisy.withColumn("window_start", F.explode(_window_starts(slice_start, rule)))
+    in_windows = noisy.withColumn("first", first).withColumn(
+        "window_start", _slot_start(F.col("first"), slide, kind)
+    ).drop("first")
     members = join_spread(in_windows, alerts, ["mid", "window_start"], "inner")
     docs = collect_groups(members, ["mid", "window_start", "window_end", "n_uids", "n_events"],
                           [ts, *order], "n_events", rule)

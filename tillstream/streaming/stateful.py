@@ -159,7 +159,7 @@ def windowed_alerts(events: DataFrame, rule: AlertRule = AlertRule(), watermark:
     """
     evid = F.col("evid")
     per_account = (
-        events.withWatermark(ts, watermark)
+        events.where(F.col("mid").isNotNull()).withWatermark(ts, watermark)
         .groupBy(F.window(ts, rule.window, rule.slide).alias("window"), "mid", "uid")
         .agg(
             F.count(F.lit(1)).alias("n_events"),
@@ -246,7 +246,7 @@ def instant_alerts(events: DataFrame, rule: AlertRule = AlertRule(), watermark:
     """
     k, evid = rule.min_uids, F.col("evid")
     when = F.unix_millis(ts)
-    slim = events.select(
+    slim = events.where(F.col("mid").isNotNull()).select(
         F.col("mid").cast("string").alias("mid"),
         F.when(is_coupon(rule, evid), F.col("uid").cast("string")).alias("uid"),
         F.when(is_coupon(rule, evid), when).alias("coupon_ms"),
