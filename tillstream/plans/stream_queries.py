@@ -6,6 +6,9 @@ is late, and the streaming result is the whole result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.config import JoinBound
@@ -26,22 +29,42 @@ def _zoned(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in columns})
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Start a stream with at most one state partition per core.
+
+    Every batch visits every state partition, so more of them than cores only cost time. A
+    stream keeps the number it started with; the session's own setting is put back.
+    """
+    key = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(usual), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, usual)
+
+
 def _upserted(spark: SparkSession, stream: DataFrame, table: KeyedTable, mode: str) -> DataFrame:
     """Run a stream through a keyed table until its input is used up, and read the result."""
-    done = (
+    writer = (
         stream.writeStream.outputMode(mode).foreachBatch(table.write_batch)
-        .option("checkpointLocation", f"{table.path}-checkpoint").trigger(availableNow=True).start()
+        .option("checkpointLocation", f"{table.path}-checkpoint").trigger(availableNow=True)
     )
+    with _state_partitions(spark):
+        done = writer.start()
     done.awaitTermination()
     return table.read(spark, stream.schema)
 
 
 def _appended(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
-    done = (
+    writer = (
         stream.writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True).start()
+        .option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True)
     )
+    with _state_partitions(spark):
+        done = writer.start()
     done.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 

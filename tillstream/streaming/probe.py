@@ -12,7 +12,10 @@ def probe(df: DataFrame, stage: str) -> DataFrame:
 
 
 class StageCounts(StreamingQueryListener):
-    """Collects the counts of all probes: ``(batch id, stage, rows)``, newest last."""
+    """Collects the counts of all probes: ``(batch id, stage, rows)``, newest last.
+
+    Rows dropped behind the watermark are listed as the stage ``late``.
+    """
 
     def __init__(self, keep: int = 1000) -> None:
         self.keep, self.counts = keep, []
@@ -23,6 +26,9 @@ class StageCounts(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         for stage, row in (event.progress.observedMetrics or {}).items():
             self.counts.append((event.progress.batchId, stage, row["rows"]))
+        late = late_rows(event.progress)
+        if late:
+            self.counts.append((event.progress.batchId, "late", late))
         del self.counts[:-self.keep]
 
     def onQueryIdle(self, event) -> None:
