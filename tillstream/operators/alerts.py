@@ -238,9 +238,10 @@ def alert_documents(alerts: DataFrame, events: DataFrame, rule: AlertRule, ts: s
     slide, kind = seconds_of(rule.slide), events.schema[ts].dataType
     slot = _slot(events, ts, slide)
     first = F.explode(F.sequence(slot - (windows_per_event(rule) - 1), slot))
-    # Devices without any alert are dropped before events are copied into windows.
-    noisy = is_seen(events, alerts, ["mid"])
-    in_windows = noisy.withColumn("first", first).withColumn(
+    if windows_per_event(rule) > 1:
+        # Devices without any alert are dropped before events are copied into windows.
+        events = is_seen(events, alerts, ["mid"])
+    in_windows = events.withColumn("first", first).withColumn(
         "window_start", _slot_start(F.col("first"), slide, kind)
     ).drop("first")
     members = join_spread(in_windows, alerts, ["mid", "window_start"], "inner")
