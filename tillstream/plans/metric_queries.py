@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillstream.functions import day_of, hour_of
+from tillstream.functions import hour_of
 from tillstream.operators import dedup, metrics
 from tillstream.plans.catalog import query
 from tillstream.sources import domain

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tillstream import schemas
-from tillstream.config import AlertRule, JoinBound, Settings
+from tillstream.config import Settings
 from tillstream.functions import day_of, minute_doc_id
 from tillstream.operators import ingest
 from tillstream.operators.joins import enrich_with_users, two_level_users
