@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_point
+from tillstream.plans.catalog import ORACLES, QUERIES
 from tests.oracle import compare, connect
 
 
@@ -13,10 +14,10 @@ def con(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf, con, name):
-    df = entry_point.queries()[name](spark, sf)
-    assert compare(df, con, entry_point.oracle_sql()[name]) > 0
+    df = QUERIES[name](spark, sf)
+    assert compare(df, con, ORACLES[name]) > 0
 
 
 def test_entry_has_rows(spark):

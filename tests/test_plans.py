@@ -7,12 +7,13 @@ import re
 import pytest
 
 import __spark_entry__ as entry_point
+from tillstream.plans.catalog import QUERIES
 from tillstream.config import AlertRule
 from tillstream.operators import alerts, dedup
 from tillstream.sources import domain
 from tillstream.sources.files import table
 
-BATCH = sorted(n for n in entry_point.queries() if not n.startswith("stream_") and n != "table_upsert")
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_") and n != "table_upsert")
 
 
 def plan(df) -> str:
