@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillstream.llm import fragment_join
+from tillstream.llm import block_repeats, decontaminate, fragment_join, secrets_ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,3 +57,68 @@ from named n left join grouped g on g.name = n.name left join lowest l on l.node
 def op1_ngram_join(spark, folder):
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return fragment_join.link_components(read(spark, folder, "documents"), n=3, percent=90)
+
+
+@query(r"""
+with tokens as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+grams as (
+  select doc_id, i as start, array_to_string(w[i:i + 12], ' ') as g
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from tokens where len(w) >= 13)),
+lowest as (select g, min(doc_id) as low from grams group by g),
+covered as (
+  select distinct doc_id, unnest(range(start, start + 13)) as pos from grams join lowest using (g) where doc_id > low),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as pos from tokens),
+kept as (
+  select doc_id, string_agg(word, ' ' order by pos) as text, count(*) as n
+  from words anti join covered using (doc_id, pos) group by doc_id)
+select t.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(k.n, 0) as bigint) as n_removed,
+       sha256(coalesce(k.text, '')) as kept_sha256
+from tokens t left join kept k using (doc_id)
+""")
+def op4_repeated_passages(spark, folder):
+    """Words of passages of 13 words and more that an earlier document holds as well."""
+    return block_repeats.remove_repeats(read(spark, folder, "documents"))
+
+
+@query()
+def op5_secret_scan(spark, folder):
+    """Secrets of every document, each distinct text scanned once."""
+    found, _, _ = secrets_ledger.scan(read(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    kinds = tuple(r.kind for r in secrets_ledger.BASE_RULES)
+
+    def count(kind):
+        return F.size(F.filter("found", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.withColumn("found", F.coalesce("found", F.expr(
+        "cast(array() as array<struct<start: int, kind_order: int, kind: string, end: int>>)"))).select(
+        "doc_id", *map(count, kinds), F.sha2(secrets_ledger.digest("found", kinds), 256).alias("base_sha256"),
+        secrets_ledger.digest("found").alias("spans"))
+
+
+@query(r"""
+with b as (select item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from benchmark),
+items as (select item_id, len(w) as item_size, greatest(1, len(w) - 4) as span, case when len(w) >= 5
+    then [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] else [array_to_string(w, ' ')] end as s
+  from b where item_id is not null and len(w) > 0),
+t as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from documents),
+d as (select doc_id, len(w) as n, unnest([{'p': i - 1, 'g': array_to_string(w[i:i + 4], ' ')} for i in range(1, len(w) - 3)], recursive := true)
+  from t where len(w) >= 5),
+g as (select item_id, item_size, span, unnest(s) as g, unnest(range(len(s))) as q from items),
+known as (select d.* from d semi join g on d.g = g.g),
+meet as (select distinct k.doc_id, k.n, g.item_id, g.item_size, g.span, k.p - o as start
+  from known k join g on k.g = g.g cross join (select unnest(range(0, 60)) as o)
+  where k.p - o >= 0 and o < least(g.span, k.n - 4) and k.p - o <= (k.n - 4) - least(g.span, k.n - 4)),
+mine as (select m.doc_id, m.n, m.item_id, m.item_size, m.span, m.start, k.g, count(*) as here
+  from meet m join known k on k.doc_id = m.doc_id and k.p between m.start and m.start + least(m.span, m.n - 4) - 1
+  group by all),
+theirs as (select item_id, g, count(*) as there from g group by all),
+common as (select doc_id, n, item_id, item_size, span, start, sum(least(here, there)) as common
+  from mine join theirs using (item_id, g) group by all),
+scored as (select *, common / (least(span, n - 4) + span - common) as similarity from common)
+select doc_id, item_id, cast(start as int) as start_word, cast(item_size as int) as item_words, cast(similarity as double) as similarity
+from scored where similarity >= 0.8
+qualify row_number() over (partition by doc_id, item_id order by similarity desc, start, item_size desc) = 1
+""")
+def op10_benchmark_leaks(spark, folder):
+    """Benchmark items that documents hold, with the most similar window."""
+    return decontaminate.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
