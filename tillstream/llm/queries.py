@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillstream.llm import block_repeats, decontaminate, fragment_join, secrets_ledger
+from tillstream.llm import (
+    block_repeats, decontaminate, fragment_join, secrets_ledger, subword_quality,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,3 +124,9 @@ qualify row_number() over (partition by doc_id, item_id order by similarity desc
 def op10_benchmark_leaks(spark, folder):
     """Benchmark items that documents hold, with the most similar window."""
     return decontaminate.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query()
+def op2_quality(spark, folder):
+    """Probability that a text is of good quality, learned from the labels outside fold 0."""
+    return subword_quality.score(read(spark, folder, "documents"), read(spark, folder, "labels"))
