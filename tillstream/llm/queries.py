@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.llm import (
-    block_repeats, decontaminate, fragment_join, secrets_ledger, subword_quality,
+    block_repeats, decontaminate, fragment_join, mixing, secrets_ledger, subword_quality,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,36 @@ def op10_benchmark_leaks(spark, folder):
 def op2_quality(spark, folder):
     """Probability that a text is of good quality, learned from the labels outside fold 0."""
     return subword_quality.score(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query(r"""
+with rows as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
+    (cast('0x' || substr(md5(concat(coalesce(cast(doc_id as varchar), ''), chr(31), coalesce(text, ''), chr(31), '1')), 1, 13) as bigint)
+      + 0.5::double) / 4503599627370496::double as u
+  from documents),
+sizes as (select source, sum(size) as s from rows group by source),
+weighted as (
+  select *, ((row_number() over (order by encode(source) nulls last) - 1) % 3 + 1)::double as w from sizes),
+filled as (
+  select *, (sum(s) over () - 3.0::double * coalesce(sum(s) over (o rows between unbounded preceding and 1 preceding), 0))::double
+      / sum(w) over (o rows between current row and unbounded following) as c
+  from weighted window o as (order by s / w, encode(source) nulls last)),
+share as (select max(c) as c from filled where c * w <= 3.0::double * s),
+wanted as (
+  select source, s, least(3.0::double * s, w * share.c) as target, case when s > 0 then least(3.0::double * s, w * share.c) / s else 0 end as ratio
+  from filled cross join share),
+odds as (
+  select r.*, w.s, w.target, floor(ratio) as copies, ratio - floor(ratio) as chance,
+    case when ratio > floor(ratio) then (u / (1 - u)) / ((ratio - floor(ratio)) / (1 - (ratio - floor(ratio)))) else 0 end as odds
+  from rows r join wanted w on r.source is not distinct from w.source),
+running as (
+  select *, coalesce(sum(size) over (partition by source order by odds, doc_id, size rows between unbounded preceding and 1 preceding), 0) as before
+  from odds)
+select doc_id, cast(size as bigint) as size, cast(s as bigint) as source_size, target,
+  cast((copies + case when chance > 0 and before + size / 2 <= target - copies * s then 1 else 0 end) * size as bigint) as taken
+from running
+""")
+def op3_source_mix(spark, folder):
+    """Words that a mix of all sources by weights 1, 2, 3 takes of every document."""
+    return mixing.mix(read(spark, folder, "documents"))
