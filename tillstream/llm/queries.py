@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.llm import (
-    block_repeats, decontaminate, fragment_join, mixing, secrets_ledger, subword_quality,
+    block_repeats, decontaminate, fragment_join, line_labels, mixing, notice_search, secrets_ledger, subword_quality,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +163,26 @@ from running
 def op3_source_mix(spark, folder):
     """Words that a mix of all sources by weights 1, 2, 3 takes of every document."""
     return mixing.mix(read(spark, folder, "documents"))
+
+
+@query()
+def op7_license_notices(spark, folder):
+    """Licence notices of every document: exact phrases, and short notices with bounded edits."""
+    found = notice_search.find_notices(read(spark, folder, "documents"))
+    base = F.filter("matches", lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["first_word"])
+
+    def labels(matches):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels(base).alias("base_labels"),
+        labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["score"])), F.lit(0.0)).alias("score"))
+
+
+@query()
+def op8_quality_rules(spark, folder):
+    """Counts, base rules and the share of content lines of every document."""
+    return line_labels.judge(read(spark, folder, "documents"), read(spark, folder, "labels")).drop("line_labels")
