@@ -26,6 +26,8 @@ from tillstream.llm.words import Batches, WordIds, texts, windows
 
 #: Bytes of text per range of hashes.
 RANGE_BYTES = 24_000_000
+#: Keys that are sorted and packed together.
+GROUP_KEYS = 1_500_000
 PACKED = "bin int, docs array<long>, counts array<int>, flagged array<int>, packed binary"
 
 
@@ -51,8 +53,23 @@ def _rows(bins: np.ndarray, docs: np.ndarray, keys: np.ndarray, flags: np.ndarra
         ["bin", "docs", "counts", "flagged", "packed"])
 
 
+def _groups(described):
+    """Documents in groups of about ``GROUP_KEYS`` keys, so that memory doesn't follow the batch."""
+    docs, keys, flags, held = [], [], [], 0
+    for doc_id, own, flag in described:
+        docs.append(doc_id)
+        keys.append(own)
+        flags.append(flag)
+        held += len(own)
+        if held >= GROUP_KEYS:
+            yield docs, keys, flags
+            docs, keys, flags, held = [], [], [], 0
+    if docs:
+        yield docs, keys, flags
+
+
 def _local(docs: list[int], keys: list[np.ndarray], flags: list[np.ndarray]):
-    """All keys of a batch sorted by key and document, and the first entry of every key."""
+    """All keys of a group sorted by key and document, and the first entry of every key."""
     k = np.concatenate(keys) if keys else np.empty(0, np.uint64)
     f = np.concatenate(flags) if flags else np.empty(0, bool)
     d = np.repeat(np.array(docs, np.int64), [len(x) for x in keys])
@@ -68,27 +85,26 @@ def _probes(block: int, bins: int):
     def run(batches: Batches) -> Batches:
         ids = WordIds()
         for batch in batches:
-            docs, keys, flags = [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                probes = windows(ids.of((text or b"").split()), block)
-                if doc_id is None or not len(probes):
-                    continue
-                own, at = np.unique(probes, return_index=True)
+            for docs, keys, flags in _groups(described(batch, ids)):
+                yield from packed(docs, keys, flags)
+
+    def described(batch, ids):
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+            probes = windows(ids.of((text or b"").split()), block)
+            if doc_id is not None and len(probes):
+                own = np.unique(probes)
                 indexed = np.zeros(len(own), bool)
                 indexed[np.searchsorted(own, probes[::block])] = True
-                docs.append(doc_id)
-                keys.append(own)
-                flags.append(indexed)
-            k, d, f, first = _local(docs, keys, flags)
-            if not len(k):
-                continue
-            group = np.cumsum(first) - 1
-            starts = np.flatnonzero(first)
-            many = np.bincount(group)[group] > 1
-            p = _bin_of(k, bins)
-            yield _rows(p[first], d[first], k[first], np.logical_or.reduceat(f, starts), np.uint32)
-            if many.any():
-                yield _rows(p[many] + bins, d[many], k[many], f[many], np.uint32)
+                yield doc_id, own, indexed
+
+    def packed(docs, keys, flags):
+        k, d, f, first = _local(docs, keys, flags)
+        group = np.cumsum(first) - 1
+        many = np.bincount(group)[group] > 1
+        p = _bin_of(k, bins)
+        yield _rows(p[first], d[first], k[first], np.logical_or.reduceat(f, np.flatnonzero(first)), np.uint32)
+        if many.any():
+            yield _rows(p[many] + bins, d[many], k[many], f[many], np.uint32)
 
     return run
 
@@ -140,32 +156,36 @@ def _candidates(window: int, block: int, bins: int):
     def run(batches: Batches) -> Batches:
         ids = WordIds()
         for batch in batches:
-            rows = sorted(zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("hits").to_pylist()),
-                          key=lambda r: r[0])
-            docs, keys = [], []
-            for doc_id, text, hits in rows:
-                numbers = ids.of((text or b"").split())
-                exact = windows(numbers, window)
-                if not len(exact):
-                    continue
-                probes = windows(numbers, block)
-                name = (_bin_of(probes, bins).astype(np.uint64) << np.uint64(32)) | (probes & np.uint64(0xFFFFFFFF))
-                known = np.concatenate([
-                    np.frombuffer(h["packed"], np.uint32).astype(np.uint64) | np.uint64(h["bin"] << 32) for h in hits])
-                met = np.r_[0, np.cumsum(np.isin(name, known))]
-                span = window - block + 1
-                around = met[span:][: len(exact)] > met[:-span][: len(exact)]
-                docs.append(doc_id)
-                keys.append(np.unique(exact[around]))
-            k, d, _, first = _local(docs, keys, [np.zeros(len(x), bool) for x in keys])
-            if not len(k):
+            for docs, keys, flags in _groups(described(batch, ids)):
+                yield from packed(docs, keys, flags)
+
+    def described(batch, ids):
+        for doc_id, text, hits in zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("hits").to_pylist()):
+            if not hits:
+                continue
+            numbers = ids.of((text or b"").split())
+            exact = windows(numbers, window)
+            if not len(exact):
                 continue
-            later = d > d[np.flatnonzero(first)][np.cumsum(first) - 1]
-            p = _bin_of(k, bins)
-            none = np.zeros(len(k), bool)
-            yield _rows(p[first], d[first], k[first], none[first], np.uint64)
-            if later.any():
-                yield _rows(p[later] + bins, d[later], k[later], none[later], np.uint64)
+            probes = windows(numbers, block)
+            name = (_bin_of(probes, bins).astype(np.uint64) << np.uint64(32)) | (probes & np.uint64(0xFFFFFFFF))
+            known = np.concatenate([
+                np.frombuffer(h["packed"], np.uint32).astype(np.uint64) | np.uint64(h["bin"] << 32) for h in hits])
+            met = np.r_[0, np.cumsum(np.isin(name, known))]
+            span = window - block + 1
+            around = met[span:][: len(exact)] > met[:-span][: len(exact)]
+            own = np.unique(exact[around])
+            yield doc_id, own, np.zeros(len(own), bool)
+
+    def packed(docs, keys, flags):
+        k, d, none, first = _local(docs, keys, flags)
+        if not len(k):
+            return
+        later = d > d[np.flatnonzero(first)][np.cumsum(first) - 1]
+        p = _bin_of(k, bins)
+        yield _rows(p[first], d[first], k[first], none[first], np.uint64)
+        if later.any():
+            yield _rows(p[later] + bins, d[later], k[later], none[later], np.uint64)
 
     return run
 
@@ -240,7 +260,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, with_text: bool = False) -
 
     probes = rows.mapInArrow(_probes(block, bins), PACKED)
     hit = by_document(probes, _met(bins))
-    candidates = rows.join(hit, "doc_id").mapInArrow(_candidates(window, block, bins), PACKED)
+    # Both joins are left joins over the same rows, so the exchange of the texts is made once.
+    candidates = rows.join(hit, "doc_id", "left").mapInArrow(_candidates(window, block, bins), PACKED)
     repeats = by_document(candidates, _later(bins))
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     return rows.join(repeats, "doc_id", "left").mapInArrow(
