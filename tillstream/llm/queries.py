@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.llm import (
-    block_repeats, decontaminate, fragment_join, line_labels, mixing, notice_search, secrets_ledger, subword_quality,
+    block_repeats, decontaminate, fragment_join, host_reputation, line_labels, mixing, notice_search,
+    perspectives, secrets_ledger, subword_quality,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +187,83 @@ def op7_license_notices(spark, folder):
 def op8_quality_rules(spark, folder):
     """Counts, base rules and the share of content lines of every document."""
     return line_labels.judge(read(spark, folder, "documents"), read(spark, folder, "labels")).drop("line_labels")
+
+
+def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """Outcome of labelled pages: bad if the document named at the end of the path is poor or toxic."""
+    _, path = host_reputation.host_and_path("url")
+    named = pages.select("page_id", F.regexp_extract(path, r"/([0-9]{1,18})(?:\.[a-z]+)?/?$", 1).alias("name"))
+    known = labels.select(
+        F.col("doc_id").cast("string").alias("name"), F.expr("if(quality = 0 or toxic = 1, 1, 0)").alias("bad"))
+    return named.join(known, "name").select("page_id", "bad")
+
+
+@query(r"""
+with parts as (
+  select page_id, url, case when contains(url, '://') then regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', ['host', 'path'])
+    else {'host': '', 'path': ''} end as p from pages),
+placed as (select page_id, translate(p.host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, p.path as path from parts),
+outcomes as (
+  select page_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad
+  from placed join labels on cast(doc_id as varchar) = regexp_extract(path, '/([0-9]{1,18})(?:\.[a-z]+)?/?$', 1) group by page_id),
+hosts as (
+  select host, array_to_string(string_split(host, '.')[-2:], '.') as domain, string_split(host, '.')[-1] as suffix,
+    count(bad) as n, coalesce(sum(bad), 0) as bad
+  from placed left join outcomes using (page_id) group by host),
+suffixes as (select suffix, sum(n) as n, sum(bad) as bad, (select coalesce(sum(bad) / sum(n), 0) from hosts) as mean from hosts group by suffix),
+s1 as (select count(*) as k, sum(n) as n, sum(n * n) as sq, sum(n * (bad / n - mean) ** 2) as b, sum(n * (bad / n) * (1 - bad / n)) as w from suffixes where n > 0),
+m1 as (select case when k < 2 or n <= k then 1 else (with t as (select w / (n - k) as mw, b / (k - 1) - w / (n - k) as sp, (n - sq / n) / (k - 1) as ty)
+  select case when sp > 0 and sp + ty * mw > 0 then least(1000, greatest(1, (sp + ty * mw) / sp - 1)) else 1000 end from t) end as m from s1),
+r1 as (select suffix, (mean * m + bad) / (n + m) as mean from suffixes, m1),
+domains as (select domain, suffix, sum(n) as n, sum(bad) as bad, any_value(mean) as mean from hosts join r1 using (suffix) group by domain, suffix),
+s2 as (select count(*) as k, sum(n) as n, sum(n * n) as sq, sum(n * (bad / n - mean) ** 2) as b, sum(n * (bad / n) * (1 - bad / n)) as w from domains where n > 0),
+m2 as (select case when k < 2 or n <= k then 1 else (with t as (select w / (n - k) as mw, b / (k - 1) - w / (n - k) as sp, (n - sq / n) / (k - 1) as ty)
+  select case when sp > 0 and sp + ty * mw > 0 then least(1000, greatest(1, (sp + ty * mw) / sp - 1)) else 1000 end from t) end as m from s2),
+r2 as (select domain, (mean * m + bad) / (n + m) as mean from domains, m2),
+leaves as (select host, n, bad, mean from hosts join r2 using (domain)),
+s3 as (select count(*) as k, sum(n) as n, sum(n * n) as sq, sum(n * (bad / n - mean) ** 2) as b, sum(n * (bad / n) * (1 - bad / n)) as w from leaves where n > 0),
+m3 as (select case when k < 2 or n <= k then 1 else (with t as (select w / (n - k) as mw, b / (k - 1) - w / (n - k) as sp, (n - sq / n) / (k - 1) as ty)
+  select case when sp > 0 and sp + ty * mw > 0 then least(1000, greatest(1, (sp + ty * mw) / sp - 1)) else 1000 end from t) end as m from s3),
+rated as (select host, (mean * m + bad) / (n + m) as rate, n + m as total from leaves, m3),
+bounded as (select host, rate - 1.645 * sqrt(rate * (1 - rate) / (total + 1)) as bound from rated),
+ruled as (
+  select placed.*, case
+      when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
+      when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
+      when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'
+      when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/' end as rule
+  from placed)
+select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/') then 'block' when rule is not null then 'allow'
+    when bound > 0.5 then 'block' else 'allow' end as verdict
+from ruled join bounded using (host)
+""")
+def op9_url_filter(spark, folder):
+    """Verdict on every page's URL by rules, else by the reputation of its host."""
+    pages = read(spark, folder, "pages")
+    outcomes = page_outcomes(pages, read(spark, folder, "labels"))
+    return host_reputation.filter_urls(pages.select("page_id", "url"), outcomes).drop("bad_rate", "lower_bound")
+
+
+@query(r"""
+with said as (
+  select distinct conv_id, turn, coalesce(role, 'unknown') as role, coalesce(text, '') as text, turn // 64 as part from conversations
+  where conv_id is not null and turn is not null),
+views as (select distinct conv_id, part, role as participant from said where role <> 'system'),
+pieces as (
+  select v.*, turn, role, text, role = participant as mine,
+    case when role = participant then '<|im_start|>assistant' || chr(10) when role = 'system' then '<|im_start|>system' || chr(10)
+      else '<|im_start|>user name=' || replace(role, '<|im_', '< |im_') || chr(10) end as head,
+    replace(text, '<|im_', '< |im_') || '<|im_end|>' as body
+  from views v join said using (conv_id, part)),
+placed as (
+  select *, coalesce(sum(length(head) + length(body) + 1) over (
+    partition by conv_id, part, participant order by turn, role, text rows between unbounded preceding and 1 preceding), 0) + length(head) as start
+  from pieces)
+select conv_id, participant, cast(part as bigint) as part, cast(count(*) as int) as n_turns, cast(count_if(mine) as int) as n_trained,
+  string_agg(head || body || chr(10), '' order by turn, role, text) as text,
+  string_agg(start::bigint || '-' || (start + length(body))::bigint, ',' order by turn, role, text) filter (where mine) as mask
+from placed group by conv_id, part, participant
+""")
+def op6_perspectives(spark, folder):
+    """Every conversation as training text from each participant's perspective."""
+    return perspectives.render(read(spark, folder, "conversations"))
