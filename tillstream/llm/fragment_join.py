@@ -233,3 +233,13 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node"))
     plain = described.where("set_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return named_rows.select("doc_id", "n_shingles", component.alias("component_id")).union(plain)
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that are the smallest of their component, with all their columns.
+
+    Of repeated rows of one ``doc_id`` one stays; rows without ``doc_id`` all stay.
+    """
+    first = link_components(docs, n, percent).where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")), "doc_id", "left_semi")
+    return kept.dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id is null"))

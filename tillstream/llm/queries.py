@@ -94,7 +94,7 @@ def op5_secret_scan(spark, folder):
 
     return found.withColumn("found", F.coalesce("found", F.expr(
         "cast(array() as array<struct<start: int, kind_order: int, kind: string, end: int>>)"))).select(
-        "doc_id", *map(count, kinds), F.sha2(secrets_ledger.digest("found", kinds), 256).alias("base_sha256"),
+        "row.doc_id", *map(count, kinds), F.sha2(secrets_ledger.digest("found", kinds), 256).alias("base_sha256"),
         secrets_ledger.digest("found").alias("spans"))
 
 

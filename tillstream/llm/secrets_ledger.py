@@ -77,12 +77,6 @@ def spans(text: str, rule: Rule) -> Column:
     return F.aggregate(pieces, none, step)["kept"]
 
 
-def with_blobs(versions: DataFrame) -> DataFrame:
-    """Every path with its text (null: empty) and the text's content address."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return versions.withColumn("text", text).withColumn("blob", F.sha2(text, 256))
-
-
 def unseen(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """``(blob, path_id, missing)``: blobs that lack rules, one path that holds each, the rules.
 
@@ -116,16 +110,18 @@ def scan(versions: DataFrame, path_column: str, rules: tuple[Rule, ...] = RULES,
          findings: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scan what the ledger lacks. Gives ``(found, ledger, findings)``.
 
-    ``found`` has every row of ``versions`` with its ``blob`` and ``found``, the spans of all rules
-    in their current version as ``array<struct<start, kind_order, kind, end>>`` sorted by start and
-    then by the order of ``rules``. ``ledger`` and ``findings`` hold the old rows and the new ones and
-    belong into the next call. A null text is the empty blob; repeated paths and texts give equal
-    spans; further columns of ``versions`` stay, but for ``text``, which is left out.
+    ``found`` has every row of ``versions`` as the struct ``row``, with its ``blob`` and ``found``, the
+    spans of all rules in their current version as ``array<struct<start, kind_order, kind, end>>``,
+    sorted by start and then by the order of ``rules`` (null: none). ``ledger`` and ``findings`` hold
+    the old rows and the new ones and belong into the next call. A null text is the empty blob;
+    repeated paths and texts give equal spans; a null path is a path like any other.
     """
     spark = versions.sparkSession
     ledger = ledger if ledger is not None else spark.createDataFrame([], LEDGER)
     findings = findings if findings is not None else spark.createDataFrame([], FINDINGS)
-    paths = with_blobs(versions).withColumn("path_id", F.coalesce(F.col(path_column).cast("string"), F.lit("")))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = versions.select(F.struct("*").alias("row"), text.alias("text"), F.sha2(text, 256).alias("blob"))
+    paths = rows.select("blob", "text", F.coalesce(F.col("row")[path_column].cast("string"), F.lit("")).alias("path_id"))
     lacking = save(unseen(paths.select("path_id", "blob"), ledger, rules), "unseen")
     texts = lacking.join(paths.select("path_id", "blob", "text"), ["path_id", "blob"]).dropDuplicates(["blob"])
     new_findings = save(findings_of(texts.select("blob", "text", "missing"), rules), "findings")
@@ -142,7 +138,7 @@ def scan(versions: DataFrame, path_column: str, rules: tuple[Rule, ...] = RULES,
             "start", order.alias("kind_order"), F.col("rule").alias("kind"), "end").alias("f")).distinct()
         .groupBy("blob").agg(F.array_sort(F.collect_list("f")).alias("found"))
     )
-    found = paths.drop("text", "path_id").join(by_blob, "blob", "left")
+    found = rows.select("row", "blob").join(by_blob, "blob", "left")
     return found, ledger, findings
 
 
@@ -154,7 +150,7 @@ def digest(found: str, kinds: tuple[str, ...] | None = None) -> Column:
 
 
 def masked(text: str, found: str, mask: str = "[secret]") -> Column:
-    """``text`` with every found span replaced; overlapping spans are one."""
+    """``text`` with every found span replaced; overlapping spans are one. Without spans, unchanged."""
     state = F.expr("struct(0 as at, '' as out)")
 
     def step(s, f):

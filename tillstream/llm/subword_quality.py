@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillstream.llm.words import Batches, WordIds, texts
 
@@ -135,7 +135,7 @@ class _Sums(dict):
         return row
 
 
-def _scorer(weights: np.ndarray, bias: float, settings: Settings) -> Callable[[Batches], Batches]:
+def _scorer(weights: np.ndarray, bias: float, settings: Settings, name: str) -> Callable[[Batches], Batches]:
     mark = float(weights[again_bucket(settings)])
 
     def score(text: bytes | None, words_of: _Sums) -> float:
@@ -153,7 +153,7 @@ def _scorer(weights: np.ndarray, bias: float, settings: Settings) -> Callable[[B
         for batch in batches:
             scores = [score(t, words_of) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
+                [*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, name])
 
     return run
 
@@ -185,6 +185,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> lis
     return [(t, y) for _, t, y in found]
 
 
+def with_score(docs: DataFrame, labels: DataFrame, name: str, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` with the probability of label 1 as a further column ``name``, which must be new."""
+    weights, bias = train(training_rows(docs, labels, settings), settings)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.mapInArrow(_scorer(weights, bias, settings, name), schema)
+
+
 def score(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), threshold: float = 0.3) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``held_out``, ``score``, ``predicted``.
 
@@ -193,10 +200,15 @@ def score(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), t
     documents whose fold is 0, whose labels are never used; a null ``doc_id`` is not held out. No
     labels at all give everyone 0.5. Further columns of ``docs`` and ``labels`` are ignored.
     """
-    weights, bias = train(training_rows(docs, labels, settings), settings)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        _scorer(weights, bias, settings), f"doc_id {kind}, score double")
-    return scored.select(
+    plain = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return with_score(plain, labels, "score", settings).select(
         "doc_id", F.coalesce(fold_of() == 0, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose score reaches ``threshold``, with all their columns."""
+    name = "score"
+    while name in docs.columns:
+        name = f"_{name}"
+    return with_score(docs, labels, name, settings).where(F.col(name) >= threshold).drop(name)
