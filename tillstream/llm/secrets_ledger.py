@@ -38,7 +38,7 @@ BASE_RULES = (
 MORE_RULES = (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 1),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 1),
-    Rule("url_login", r"[a-z][a-z0-9+]{1,15}://[^\s:@/]{1,64}:[^\s:@/]{3,64}@[A-Za-z0-9]", 1),
+    Rule("url_login", r"[a-z][a-z0-9+]{1,15}://[^\s:@/]{1,64}:[^\s:@/]{3,64}@(?=[A-Za-z0-9])", 1),
 )
 RULES = BASE_RULES + MORE_RULES
 #: A pattern that only texts with a long enough match can pass; it is far cheaper than all matches.
