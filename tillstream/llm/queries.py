@@ -86,7 +86,7 @@ def op4_repeated_passages(spark, folder):
 @query()
 def op5_secret_scan(spark, folder):
     """Secrets of every document, each distinct text scanned once."""
-    found, _, _ = secrets_ledger.scan(read(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    found, _, _ = secrets_ledger.scan(read(spark, folder, "documents"), "doc_id", carry=["doc_id"])
     kinds = tuple(r.kind for r in secrets_ledger.BASE_RULES)
 
     def count(kind):

@@ -107,10 +107,11 @@ def findings_of(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def scan(versions: DataFrame, path_column: str, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None,
-         findings: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+         findings: DataFrame | None = None, carry: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scan what the ledger lacks. Gives ``(found, ledger, findings)``.
 
-    ``found`` has every row of ``versions`` as the struct ``row``, with its ``blob`` and ``found``, the
+    ``found`` has every row of ``versions`` (its columns ``carry``, or all) as the struct ``row``, with
+    its ``blob`` and ``found``, the
     spans of all rules in their current version as ``array<struct<start, kind_order, kind, end>>``,
     sorted by start and then by the order of ``rules`` (null: none). ``ledger`` and ``findings`` hold
     the old rows and the new ones and belong into the next call. A null text is the empty blob;
@@ -120,11 +121,14 @@ def scan(versions: DataFrame, path_column: str, rules: tuple[Rule, ...] = RULES,
     ledger = ledger if ledger is not None else spark.createDataFrame([], LEDGER)
     findings = findings if findings is not None else spark.createDataFrame([], FINDINGS)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = versions.select(F.struct("*").alias("row"), text.alias("text"), F.sha2(text, 256).alias("blob"))
-    paths = rows.select("blob", "text", F.coalesce(F.col("row")[path_column].cast("string"), F.lit("")).alias("path_id"))
+    rows = versions.select(F.struct(*(carry or versions.columns)).alias("row"), F.sha2(text, 256).alias("blob"))
+    paths = versions.select(
+        F.sha2(text, 256).alias("blob"), text.alias("text"),
+        F.coalesce(F.col(path_column).cast("string"), F.lit("")).alias("path_id"))
     lacking = save(unseen(paths.select("path_id", "blob"), ledger, rules), "unseen")
-    texts = lacking.join(paths.select("path_id", "blob", "text"), ["path_id", "blob"]).dropDuplicates(["blob"])
-    new_findings = save(findings_of(texts.select("blob", "text", "missing"), rules), "findings")
+    # A path that is listed twice is scanned twice here; its findings are made one.
+    texts = lacking.join(paths, ["path_id", "blob"])
+    new_findings = save(findings_of(texts.select("blob", "text", "missing"), rules).distinct(), "findings")
     marked = lacking.select("blob", F.explode("missing").alias("m")).select("blob", F.split("m", "@").alias("m")).select(
         "blob", F.col("m")[0].alias("rule"), F.col("m")[1].cast("int").alias("version"))
     ledger, findings = ledger.unionByName(marked), findings.unionByName(new_findings)
@@ -138,7 +142,7 @@ def scan(versions: DataFrame, path_column: str, rules: tuple[Rule, ...] = RULES,
             "start", order.alias("kind_order"), F.col("rule").alias("kind"), "end").alias("f")).distinct()
         .groupBy("blob").agg(F.array_sort(F.collect_list("f")).alias("found"))
     )
-    found = rows.select("row", "blob").join(by_blob, "blob", "left")
+    found = rows.join(by_blob, "blob", "left")
     return found, ledger, findings
 
 
