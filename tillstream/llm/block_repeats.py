@@ -10,12 +10,15 @@ What travels: for each group of documents read together and each range of hashes
 packed numbers (four bytes per probe, eight per exact window) instead of a row per window. A hash
 is sent at most once per such group, so a passage in a third of all documents is no hot key. The
 number of ranges grows with the text, and with it the bits that tell two hashes apart. The text is
-shuffled once and read twice; nothing is collected per passage.
+shuffled once and read twice; nothing is collected per passage. Replies go back in packed rows as
+well, to groups of documents by a hash of their id.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -119,20 +122,39 @@ def _unpack(table: pa.Table, kind):
     return docs[owner], inside < flagged[owner], keys
 
 
-def _replies(bin_: int, docs: np.ndarray, keys: np.ndarray) -> pa.Table:
-    """One row per document with its packed keys."""
+def _replies(bin_: int, docs: np.ndarray, keys: np.ndarray, groups: int) -> pa.Table:
+    """One row per group of documents; inside a row the keys lie by document."""
     order = np.argsort(docs, kind="stable")
     docs, keys = docs[order], keys[order]
     runs = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else np.empty(0, int)
     ends = np.r_[runs[1:], len(docs)] if len(docs) else runs
+    rows = defaultdict(lambda: ([], [], []))
+    for doc_id, a, b in zip(docs[runs].tolist(), runs, ends):
+        ids, counts, parts = rows[zlib.crc32(b"%d" % doc_id) % groups]
+        ids.append(doc_id)
+        counts.append(b - a)
+        parts.append(keys[a:b])
     return pa.table({
-        "doc_id": pa.array(docs[runs], pa.int64()),
-        "hit": pa.array([{"bin": bin_, "packed": keys[a:b].tobytes()} for a, b in zip(runs, ends)],
-                        pa.struct([("bin", pa.int32()), ("packed", pa.binary())])),
+        "part": pa.array(rows.keys(), pa.int64()), "bin": pa.array([bin_] * len(rows), pa.int32()),
+        "docs": pa.array([r[0] for r in rows.values()], pa.list_(pa.int64())),
+        "counts": pa.array([r[1] for r in rows.values()], pa.list_(pa.int32())),
+        "packed": pa.array([np.concatenate(r[2]).tobytes() for r in rows.values()], pa.binary()),
     })
 
 
-def _met(bins: int):
+def _hits(replies: pa.Table, kind) -> dict[int, list[tuple[int, np.ndarray]]]:
+    """(bin, keys) of every document that has a reply."""
+    hits = defaultdict(list)
+    for row in replies.to_pylist():
+        keys = np.frombuffer(row["packed"], kind)
+        at = 0
+        for doc_id, count in zip(row["docs"], row["counts"]):
+            hits[doc_id].append((row["bin"], keys[at : at + count]))
+            at += count
+    return hits
+
+
+def _met(bins: int, groups: int):
     """Probes of one range of hashes that meet an indexed block, and blocks that are met."""
 
     def run(key, table):
@@ -145,7 +167,7 @@ def _met(bins: int):
             sizes = np.diff(np.r_[starts, len(keys)])
             live = np.repeat((sizes > 1) & np.logical_or.reduceat(indexed, starts), sizes)
             docs, keys = docs[live], keys[live]
-        return _replies(bin_ % bins, docs, keys)
+        return _replies(bin_ % bins, docs, keys, groups)
 
     return run
 
@@ -153,15 +175,13 @@ def _met(bins: int):
 def _candidates(window: int, block: int, bins: int):
     """Packed exact windows around the hits of every document."""
 
-    def run(batches: Batches) -> Batches:
-        ids = WordIds()
-        for batch in batches:
-            for docs, keys, flags in _groups(described(batch, ids)):
-                yield from packed(docs, keys, flags)
+    def run(rows, replies):
+        out = [b for group in _groups(described(rows, _hits(replies, np.uint32), WordIds())) for b in packed(*group)]
+        return pa.Table.from_batches(out, _rows(*[np.empty(0, int)] * 3, np.empty(0, bool), np.uint64).schema)
 
-    def described(batch, ids):
-        for doc_id, text, hits in zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("hits").to_pylist()):
-            if not hits:
+    def described(rows, hits, ids):
+        for doc_id, text in zip(rows.column("doc_id").to_pylist(), texts(rows)):
+            if doc_id not in hits:
                 continue
             numbers = ids.of((text or b"").split())
             exact = windows(numbers, window)
@@ -169,8 +189,7 @@ def _candidates(window: int, block: int, bins: int):
                 continue
             probes = windows(numbers, block)
             name = (_bin_of(probes, bins).astype(np.uint64) << np.uint64(32)) | (probes & np.uint64(0xFFFFFFFF))
-            known = np.concatenate([
-                np.frombuffer(h["packed"], np.uint32).astype(np.uint64) | np.uint64(h["bin"] << 32) for h in hits])
+            known = np.concatenate([k.astype(np.uint64) | np.uint64(b << 32) for b, k in hits[doc_id]])
             met = np.r_[0, np.cumsum(np.isin(name, known))]
             span = window - block + 1
             around = met[span:][: len(exact)] > met[:-span][: len(exact)]
@@ -190,7 +209,7 @@ def _candidates(window: int, block: int, bins: int):
     return run
 
 
-def _later(bins: int):
+def _later(bins: int, groups: int):
     """Exact windows of one range of hashes that also start in a smaller document."""
 
     def run(key, table):
@@ -202,38 +221,35 @@ def _later(bins: int):
             starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             least = np.repeat(docs[starts], np.diff(np.r_[starts, len(keys)]))
             docs, keys = docs[docs > least], keys[docs > least]
-        return _replies(bin_ % bins, docs, keys)
+        return _replies(bin_ % bins, docs, keys, groups)
 
     return run
 
 
 def _cut(window: int, with_text: bool):
-    def run(batches: Batches) -> Batches:
-        ids = WordIds()
-        for batch in batches:
-            sizes, removed, digests, kept_texts = [], [], [], []
-            for text, hits in zip(texts(batch), batch.column("hits").to_pylist()):
-                words = (text or b"").split()
-                kept = words
-                if hits:
-                    known = np.concatenate([np.frombuffer(h["packed"], np.uint64) for h in hits])
-                    starts = np.flatnonzero(np.isin(windows(ids.of(words), window), known))
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    edge[starts] += 1
-                    np.subtract.at(edge, starts + window, 1)
-                    kept = [w for w, depth in zip(words, np.cumsum(edge).tolist()) if not depth]
-                joined = b" ".join(kept)
-                sizes.append(len(words))
-                removed.append(len(words) - len(kept))
-                digests.append(hashlib.sha256(joined).hexdigest())
-                kept_texts.append(joined if with_text else None)
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                       pa.array(digests, pa.string())]
-            names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-            if with_text:
-                columns.append(pa.array(kept_texts, pa.binary()).cast(pa.string()))
-                names.append("kept_text")
-            yield pa.RecordBatch.from_arrays(columns, names)
+    def run(rows, replies):
+        ids, hits = WordIds(), _hits(replies, np.uint64)
+        sizes, removed, digests, kept_texts = [], [], [], []
+        for doc_id, text in zip(rows.column("doc_id").to_pylist(), texts(rows)):
+            words = (text or b"").split()
+            kept = words
+            if doc_id in hits:
+                known = np.concatenate([k for _, k in hits[doc_id]])
+                starts = np.flatnonzero(np.isin(windows(ids.of(words), window), known))
+                edge = np.zeros(len(words) + 1, np.int64)
+                edge[starts] += 1
+                np.subtract.at(edge, starts + window, 1)
+                kept = [w for w, depth in zip(words, np.cumsum(edge).tolist()) if not depth]
+            joined = b" ".join(kept)
+            sizes.append(len(words))
+            removed.append(len(words) - len(kept))
+            digests.append(hashlib.sha256(joined).hexdigest())
+            kept_texts.append(joined if with_text else None)
+        columns = {"doc_id": rows.column("doc_id"), "n_words": pa.array(sizes, pa.int64()),
+                   "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())}
+        if with_text:
+            columns["kept_text"] = pa.array(kept_texts, pa.binary()).cast(pa.string())
+        return pa.table(columns)
 
     return run
 
@@ -252,17 +268,18 @@ def remove_repeats(docs: DataFrame, window: int = 13, with_text: bool = False) -
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bins = max(partitions(docs.sparkSession), size // RANGE_BYTES + 1)
-    reply = "doc_id long, hit struct<bin int, packed binary>"
+    groups = 4 * bins
+    part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")).cast("binary")) % groups
+    placed = rows.withColumn("part", part)
+    reply = "part long, bin int, docs array<long>, counts array<int>, packed binary"
 
-    def by_document(packed: DataFrame, merge) -> DataFrame:
-        met = packed.groupBy("bin").applyInArrow(merge, reply)
-        return met.groupBy("doc_id").agg(F.collect_list("hit").alias("hits"))
+    def with_replies(packed: DataFrame, merge, then, schema: str) -> DataFrame:
+        """``then`` over the texts and replies of each group of documents."""
+        replies = packed.groupBy("bin").applyInArrow(merge, reply)
+        return placed.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(then, schema)
 
     probes = rows.mapInArrow(_probes(block, bins), PACKED)
-    hit = by_document(probes, _met(bins))
-    # Both joins are left joins over the same rows, so the exchange of the texts is made once.
-    candidates = rows.join(hit, "doc_id", "left").mapInArrow(_candidates(window, block, bins), PACKED)
-    repeats = by_document(candidates, _later(bins))
-    out = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return rows.join(repeats, "doc_id", "left").mapInArrow(
-        _cut(window, with_text), out + (", kept_text string" if with_text else ""))
+    # The exchange of the texts is the same in both, so it is made once.
+    candidates = with_replies(probes, _met(bins, groups), _candidates(window, block, bins), PACKED)
+    out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
+    return with_replies(candidates, _later(bins, groups), _cut(window, with_text), out)

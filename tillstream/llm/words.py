@@ -57,8 +57,8 @@ def shingle_set(ids: np.ndarray, n: int) -> np.ndarray:
     return np.unique(windows(ids, min(n, len(ids)))) if len(ids) else np.empty(0, np.uint64)
 
 
-def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
-    """The texts of an Arrow batch as bytes, without decoding."""
+def texts(batch: pa.RecordBatch | pa.Table, column: str = "text") -> list[bytes | None]:
+    """The texts of an Arrow batch or table as bytes, without decoding."""
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
