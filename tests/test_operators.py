@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from datetime import datetime, timedelta
 from random import Random
@@ -172,29 +173,37 @@ def test_alerts_equal_brute_force(spark, slide):
         assert got[key] == (len(uids), len(members))
 
 
-@pytest.mark.parametrize("part_rows", [10_000, 3])
-def test_documents_hold_every_event(spark, part_rows):
-    rule, data = AlertRule(part_rows=part_rows), random_events(150, 8)
+@pytest.mark.parametrize("slide", ["1 minute", "5 minutes"])
+def test_members_hold_every_event(spark, slide):
+    rule, data = AlertRule(slide=slide), random_events(150, 8)
     events = spark.createDataFrame(data, EVENTS)
-    docs = alerts.alert_documents(alerts.coupon_alerts(events, rule), events, rule).collect()
-    want = brute_force(data, rule)
+    found = alerts.alert_members(alerts.coupon_alerts(events, rule), events, rule).collect()
     merged = defaultdict(lambda: (set(), set(), []))
-    for d in docs:
-        uids, items, evs = merged[d.mid, d.window_start]
-        uids |= set(d.uids)
-        items |= set(d.item_ids)
-        evs += d.events
+    for m in found:
+        uids, items, evs = merged[m.mid, m.window_start]
+        if m.kind == "event":
+            evs.append((m.event_time, m.event_id, m.value, m.n))
+        else:
+            assert m.n == 1 and m.event_time is None
+            (uids if m.kind == "uid" else items).add(m.value)
+    want = brute_force(data, rule)
     assert merged.keys() == want.keys()
     for key, members in want.items():
         uids, items, evs = merged[key]
         coupons = [m for m in members if m[3] == "coupon"]
         assert uids == {m[2] for m in coupons if m[2] is not None} and items == {m[4] for m in coupons}
-        ordered = [m[3] for m in sorted(members, key=lambda m: (m[5], m[0]))]
-        assert sorted(evs) == sorted(ordered)
-        if part_rows > 100:
-            assert evs == ordered
-    if part_rows == 3:
-        assert max(d.parts for d in docs) > 1
+        assert [e[2:] for e in sorted(evs)] == [(m[3], 1) for m in sorted(members, key=lambda m: (m[5], m[0]))]
+
+
+def test_large_group_has_the_same_shape(spark):
+    n = 50_000
+    events = spark.range(n).selectExpr(
+        "id as event_id", "'m' as mid", "concat('u', id % 4) as uid", "'coupon' as evid", "string(id % 7) as itemid",
+        "timestamp_seconds(1704067200 + id % 200) as event_time")
+    rule = AlertRule(slide="5 minutes")
+    members = alerts.alert_members(alerts.coupon_alerts(events, rule), events, rule)
+    assert {(r.kind, r["count"]) for r in members.groupBy("kind").count().collect()} == {("event", n), ("uid", 4), ("item", 7)}
+    assert members.select("doc_id").distinct().count() == 1
 
 
 @pytest.mark.parametrize("accounts, browse, fires", [
@@ -209,6 +218,19 @@ def test_rule_cases(spark, accounts, browse, fires):
     assert (alerts.coupon_alerts(spark.createDataFrame(data, EVENTS), rule).count() > 0) == fires
 
 
+def test_unknown_hours_and_days_without_rows(spark):
+    hours = spark.createDataFrame([("2024-01-01", "03", 5), ("2024-01-01", None, 2)], "log_date string, log_hour string, ct bigint")
+    assert metrics.hour_map(hours, "log_date", "log_hour", "ct").first().hours == {"03": 5}
+    dense = metrics.densify_hours(hours, "log_date", "log_hour", "ct", ["2024-01-01", "2024-01-02"]).collect()
+    assert len(dense) == 48 and sum(r.ct for r in dense) == 5
+
+
+def test_unknown_order_values_come_last(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("b", None, 3)], "k string, ts int, v int")
+    assert rows(dedup.first_per_key(df, ["k"], ["ts"])) == [("a", 5, 2), ("b", None, 3)]
+    assert rows(dedup.latest_by_key(df, ["k"], ["ts"])) == [("a", 5, 2), ("b", None, 3)]
+
+
 def test_one_alert_per_minute(spark):
     df = spark.createDataFrame(
         [("m", T0 + timedelta(seconds=s), n) for s, n in ((1, 3), (59, 4), (61, 5))], "mid string, window_end timestamp, n_uids int")
@@ -260,9 +282,10 @@ def test_paging(spark):
     order = [F.col("id")]
     assert [r.id for r in search.page(df, order, 3, 10).collect()] == [20, 21, 22, 23, 24]
     assert search.page(df, order, 4, 10).count() == 0
-    assert [r.id for r in search.page_at_row(df, order, 10, 10).collect()] == list(range(10, 20))
+    assert [r.id for r in search.page_at_row(df, order, 7, 10).collect()] == list(range(7, 17))
+    assert [r.id for r in search.page(spark.range(30_000), order, 1502, 10).collect()] == list(range(15_010, 15_020))
     with pytest.raises(ValueError):
-        search.page(df, order, 1002, 10)
+        search.page(df, order, 0, 10)
     last, seen = None, []
     while page := search.page_after(df, ["g", "id"], last, 7).collect():
         seen += [(r.g, r.id) for r in page]
@@ -270,6 +293,31 @@ def test_paging(spark):
     assert seen == sorted((i % 3, i) for i in range(25))
 
 
+def test_paging_past_null_keys(spark):
+    data = [(None, 1), (None, 2), (1, None), (1, 3), (2, 4)]
+    df = spark.createDataFrame(data, "g int, id int")
+    last, seen = None, []
+    while page := search.page_after(df, ["g", "id"], last, 1).collect():
+        seen += [tuple(r) for r in page]
+        last = seen[-1]
+    assert seen == data
+
+
+def test_one_search_honours_every_part_of_the_request(students):
+    request = search.Request(terms={"class_id": "0621"}, sort=("-age",), page=2, size=1)
+    reply = search.search(students, request, ("gender",), "age")
+    assert [r.stu_id for r in reply.page.collect()] == [1003]
+    assert reply.total.first().total == 3 and reply.maximum.first().maximum == 99999
+    assert rows(reply.facets) == [("gender", "false", 1), ("gender", "true", 2), ("total", None, 3)]
+
+
+def test_shares_of_no_hits_are_null(spark):
+    none = spark.createDataFrame([], "user_gender string, user_age int, id int")
+    document = json.loads(search.stat_document(none, [F.col("id")], 1, 5).first().document)
+    assert document["total"] == 0 and document["detail"] == []
+    assert all("value" not in o for chart in document["stat"] for o in chart["options"])
+
+
 # --- upsert ----------------------------------------------------------------------------------
 
 def test_upsert(spark):

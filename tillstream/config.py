@@ -76,7 +76,6 @@ class AlertRule:
     min_uids: int = 3
     coupon: tuple[str, ...] = (COUPON_EVENT,)
     browse: tuple[str, ...] = (BROWSE_EVENT,)
-    part_rows: int = 10_000
 
 
 @dataclass(frozen=True)

@@ -48,5 +48,6 @@ def pct(part: Column, total: Column) -> Column:
 
 
 def pct_text(part: Column, total: Column) -> Column:
-    """Text form of :func:`pct`, always with one decimal."""
-    return F.format_string("%.1f", pct(part, total))
+    """Text form of :func:`pct`, always with one decimal; null when total is 0."""
+    share = pct(part, total)
+    return F.when(share.isNotNull(), F.format_string("%.1f", share))

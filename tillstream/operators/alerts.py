@@ -3,8 +3,8 @@
 The rule is decided on counts, never on collected groups. Events are first counted per
 device, time slot and account; these counts are merged into one row per device and window.
 Every step has a map-side part, so a device that sends a large share of
-all events arrives as a few partial rows per task. Only for windows that fired are the events
-themselves gathered, and then in parts of bounded size.
+all events arrives as a few partial rows per task. The accounts, items and events of windows
+that fired are flat member rows, so a group of any size has the same shape.
 """
 
 from __future__ import annotations
@@ -202,49 +202,49 @@ def one_per_minute(alerts: DataFrame) -> DataFrame:
     return latest_by_key(ids, ["doc_id"], ["window_end"])
 
 
-def collect_groups(events: DataFrame, keys: list[str], order: list[str], n_events: str, rule: AlertRule) -> DataFrame:
-    """Account set, item set and event list per group, in parts of about ``part_rows`` events.
+def group_members(events: DataFrame, keys: list[str], order: list[str], rule: AlertRule) -> DataFrame:
+    """Account set, item set and event list of every group as flat rows, whatever its size.
 
-    ``events`` carries the known size of its group in ``n_events``. A group within the limit
-    is one part (``part`` 0 of ``parts`` 1) and is the whole document. A larger one is spread
-    by hash over ``parts`` rows that together hold every event, so no task and no row holds
-    an unbounded group.
+    Rows are ``(*keys, kind, value, *order, n)``: kind ``uid`` and ``item`` once per value of the
+    coupon events, kind ``event`` once per event, with its place in the order columns; ``n`` counts
+    equal events. Equal rows are merged in the map tasks and no group is gathered.
     """
-    parts = F.greatest(F.lit(1), F.ceil(F.col(n_events) / F.lit(rule.part_rows))).cast("int")
-    spread = F.pmod(F.xxhash64(*order), F.col("parts")).cast("int")
     coupon = is_coupon(rule, F.col("evid"))
-    return (
-        events.withColumn("parts", parts)
-        .withColumn("part", F.when(F.col("parts") > 1, spread).otherwise(F.lit(0)))
-        .groupBy(*keys, "parts", "part")
-        .agg(
-            F.array_sort(F.collect_set(F.when(coupon, F.col("uid")))).alias("uids"),
-            F.array_sort(F.collect_set(F.when(coupon, F.col("itemid")))).alias("item_ids"),
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(*order, "evid"))), lambda e: e["evid"]
-            ).alias("events"),
-        )
-    )
+
+    def member(kind: str, value: Column, placed: bool) -> Column:
+        at = [(F.col(c) if placed else F.lit(None).cast(events.schema[c].dataType)).alias(c) for c in order]
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"), *at)
+
+    members = F.filter(F.array(
+        member("event", F.col("evid"), True),
+        F.when(coupon & F.col("uid").isNotNull(), member("uid", F.col("uid"), False)),
+        F.when(coupon & F.col("itemid").isNotNull(), member("item", F.col("itemid"), False)),
+    ), lambda m: m.isNotNull())
+    counted = events.select(*keys, F.explode(members).alias("m")).select(*keys, "m.*").groupBy(
+        *keys, "kind", "value", *order).agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumn("n", F.when(F.col("kind") == "event", F.col("n")).otherwise(F.lit(1).cast("bigint")))
 
 
-def alert_documents(alerts: DataFrame, events: DataFrame, rule: AlertRule, ts: str = "event_time",
-                    order: tuple[str, ...] = ("event_id",)) -> DataFrame:
-    """Alert rows with their accounts, items and events.
+def alert_members(alerts: DataFrame, events: DataFrame, rule: AlertRule, ts: str = "event_time",
+                  order: tuple[str, ...] = ("event_id",)) -> DataFrame:
+    """Accounts, items and events of alerts, as member rows under the alert's ``doc_id``.
 
-    ``alerts`` are joined back to the events of their windows. They are few, so at run time
-    Spark mostly broadcasts them; beyond its size limit it shuffles, and the events of a hot
-    device are spread over several tasks.
+    Events are first cut down to the blocks of time that the alerts of their device touch, then
+    placed into windows and joined back. Alerts are few, so Spark mostly broadcasts them; beyond
+    its size limit it shuffles, and the events of a hot device are spread over several tasks.
     """
-    slide, kind = seconds_of(rule.slide), events.schema[ts].dataType
+    slide, width, kind = seconds_of(rule.slide), seconds_of(rule.window), events.schema[ts].dataType
     slot = _slot(events, ts, slide)
     first = F.explode(F.sequence(slot - (windows_per_event(rule) - 1), slot))
     if windows_per_event(rule) > 1:
-        # Devices without any alert are dropped before events are copied into windows.
-        events = is_seen(events, alerts, ["mid"])
+        # A window lies in the block of its start and the one after it.
+        start = F.window("window_start", rule.window)["start"]
+        touched = alerts.select("mid", F.explode(F.array(
+            start, start + F.make_dt_interval(secs=F.lit(width)))).alias("block")).distinct()
+        events = is_seen(events.withColumn("block", _block(ts, rule)), touched, ["mid", "block"]).drop("block")
     in_windows = events.withColumn("first", first).withColumn(
         "window_start", _slot_start(F.col("first"), slide, kind)
     ).drop("first")
-    members = join_spread(in_windows, alerts, ["mid", "window_start"], "inner")
-    docs = collect_groups(members, ["mid", "window_start", "window_end", "n_uids", "n_events"],
-                          [ts, *order], "n_events", rule)
-    return docs.withColumn("doc_id", minute_doc_id(F.col("mid"), F.col("window_end")))
+    found = alerts.select("mid", "window_start", minute_doc_id(F.col("mid"), F.col("window_end")).alias("doc_id"))
+    members = join_spread(in_windows, found, ["mid", "window_start"], "inner")
+    return group_members(members, ["doc_id", "mid", "window_start"], [ts, *order], rule)

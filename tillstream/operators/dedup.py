@@ -10,26 +10,34 @@ Keys = list[str]
 UNORDERED = (T.MapType, T.VariantType)
 
 
-def _pick(df: DataFrame, keys: Keys, order: Keys, pick, pick_by) -> DataFrame:
+def _pick(df: DataFrame, keys: Keys, order: Keys, pick, pick_by, unknown_last: bool = False) -> DataFrame:
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     if not order and not rest:
         return df.select(*keys).distinct().select(*df.columns)
     if order and any(isinstance(df.schema[c].dataType, UNORDERED) for c in rest):
-        row = pick_by(F.struct(*order, *rest), F.struct(*order))
+        row = pick_by(F.struct(*order, *rest), F.struct(*_ranked(order, unknown_last)))
     else:
         # Equal order values are told apart by the other columns, so reruns give the same row.
-        row = pick(F.struct(*order, *rest))
+        row = pick(F.struct(*_ranked(order, unknown_last), *rest))
     return df.groupBy(*keys).agg(row.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
+def _ranked(order: Keys, unknown_last: bool) -> list[Column]:
+    """Order columns, each behind a flag that puts its nulls last."""
+    if not unknown_last:
+        return [F.col(c) for c in order]
+    return [x for i, c in enumerate(order) for x in (F.col(c).isNull().alias(f"_unknown_{i}"), F.col(c))]
+
+
 def first_per_key(df: DataFrame, keys: Keys, order: Keys) -> DataFrame:
     """The first row of every key in the order of the given columns, with all columns.
 
     A minimum over whole rows, not a ranking: it is taken in the map tasks first, so a key that
     holds a large part of the table sends one row per map task, and nothing is sorted by time.
+    A null order value comes last.
     """
-    return _pick(df, keys, order, F.min, F.min_by)
+    return _pick(df, keys, order, F.min, F.min_by, unknown_last=True)
 
 
 def latest_by_key(df: DataFrame, keys: Keys, order: Keys) -> DataFrame:

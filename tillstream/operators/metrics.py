@@ -55,8 +55,8 @@ def gmv_by_hour(orders: DataFrame, day: str | None = None) -> DataFrame:
 
 
 def hour_map(hours: DataFrame, day: str, hour: str, value: str) -> DataFrame:
-    """One map of hour to value per day; at most 24 entries each."""
-    entries = F.sort_array(F.collect_list(F.struct(hour, value)))
+    """One map of hour to value per day; at most 24 entries each. An unknown hour is no entry."""
+    entries = F.sort_array(F.collect_list(F.when(F.col(hour).isNotNull(), F.struct(hour, value))))
     return hours.groupBy(day).agg(F.map_from_entries(entries).alias("hours"))
 
 
@@ -64,9 +64,10 @@ def new_devices(logs: DataFrame, day: str | None = None) -> DataFrame:
     """Devices by the first day they were ever seen.
 
     ``logs`` may be raw logs or the deduplicated table; the minimum is taken in the map tasks
-    before the shuffle.
+    before the shuffle. With a day, later days are not read: they cannot change a first day.
     """
-    first_day = logs.groupBy("mid").agg(F.min("log_date").alias("log_date"))
+    known = logs if day is None else logs.where(F.col("log_date") <= day)
+    first_day = known.groupBy("mid").agg(F.min("log_date").alias("log_date"))
     return _of_day(first_day, "log_date", day).groupBy("log_date").agg(F.count(F.lit(1)).alias("ct"))
 
 
@@ -130,17 +131,23 @@ def day_over_day(hours: DataFrame, day: str, hour: str, value: str, only: str |
     return out if only is None else out.where(F.col("day") == only)
 
 
-def densify_hours(hours: DataFrame, day: str, hour: str, value: str) -> DataFrame:
-    """All 24 hours of every day present; a missing value becomes 0.
+def densify_hours(hours: DataFrame, day: str, hour: str, value: str, days: list[str] | None = None) -> DataFrame:
+    """All 24 hours of every day present, or of the given ``days``; a missing value becomes 0.
 
     The days come from the already aggregated series, and each one expands to 24 slots, so
-    nothing is joined to the raw data.
+    nothing is joined to the raw data. A given day without rows has 24 zeros. An unknown hour
+    belongs to no slot.
     """
     zero = F.lit(0).cast(hours.schema[value].dataType)
     slots = F.transform(F.sequence(F.lit(0), F.lit(HOURS - 1)), lambda h: F.lpad(h.cast("string"), 2, "0"))
     per_day = hours.groupBy(day).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(hour), F.col(value)))).alias("_m")
+        F.map_from_entries(F.collect_list(
+            F.when(F.col(hour).isNotNull(), F.struct(F.col(hour), F.col(value))))).alias("_m")
     )
+    if days is not None:
+        wanted = hours.sparkSession.createDataFrame([(d,) for d in days], "_day string")
+        wanted = wanted.select(F.col("_day").cast(hours.schema[day].dataType).alias(day)).distinct()
+        per_day = wanted.join(per_day, day, "left")
     return per_day.select(day, F.explode(slots).alias(hour), "_m").select(
         day, hour, F.coalesce(F.try_element_at("_m", F.col(hour)), zero).alias(value)
     )

@@ -5,14 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tillstream.config import GENDER_MALE, SENIOR_FROM, YOUNG_BELOW
 from tillstream.functions import all_terms, any_term, pct, pct_text
 
-# Facet size, paging window of the search store, titles of the reply.
+# Facet size, titles of the reply.
 FACET_SIZE = 10
-PAGE_WINDOW = 10_000
 GENDER_TITLE = "用户性别占比"
 MALE_NAME = "男"
 FEMALE_NAME = "女"
@@ -24,7 +23,11 @@ SENIOR_NAME = "30岁及30岁以上"
 
 @dataclass(frozen=True)
 class Request:
-    """A search: exact terms AND a text match, sorted and paged."""
+    """A search: exact terms AND a text match, sorted and paged.
+
+    ``sort`` names columns, with a leading ``-`` for descending. Without it, and for equal rows,
+    the other columns of the documents decide, so every page has one meaning.
+    """
 
     terms: dict[str, object] = field(default_factory=dict)
     match: tuple[str, str] | None = None
@@ -141,30 +144,27 @@ def age_ratio(found: DataFrame, age: str = "user_age") -> DataFrame:
 
 
 def page(found: DataFrame, order: list[Column], page_no: int, size: int) -> DataFrame:
-    """Page ``page_no`` (from 1) of the hits in a total order.
+    """Page ``page_no`` (from 1) of the hits in a total order, at any depth.
 
-    Each task keeps only its first ``offset + size`` rows. Past the paging window, where that
-    would grow without limit, go on with :func:`page_after`, which reaches any depth.
+    Each task keeps its first ``offset + size`` rows, so a deep page costs its depth;
+    :func:`page_after` goes on from a known row at the cost of one page.
     """
-    if page_no < 1 or size < 0:
-        raise ValueError("page numbers start at 1 and sizes at 0")
-    offset = (page_no - 1) * size
-    if offset + size > PAGE_WINDOW:
-        raise ValueError(f"pages beyond {PAGE_WINDOW} rows: use page_after")
-    return found.orderBy(*order).offset(offset).limit(size)
+    if page_no < 1:
+        raise ValueError("page numbers start at 1")
+    return page_at_row(found, order, (page_no - 1) * size, size)
 
 
 def page_at_row(found: DataFrame, order: list[Column], start: int, length: int) -> DataFrame:
-    """The same by 0-based row offset, as grids send it."""
-    if start % length:
-        raise ValueError("start must be a multiple of length")
-    return page(found, order, start // length + 1, length)
+    """``length`` rows from any 0-based row offset, as grids send it."""
+    if start < 0 or length < 0:
+        raise ValueError("offsets and sizes start at 0")
+    return found.orderBy(*order).offset(start).limit(length)
 
 
 def page_after(found: DataFrame, keys: list[str], last: tuple | None, size: int) -> DataFrame:
     """The page after the row whose ascending sort keys are ``last``; None for the first page.
 
-    The keys must be non-null and unique together. Cost does not grow with depth: the filter
+    The keys must be unique together; nulls come first. Cost does not grow with depth: the filter
     on the first key reaches the scan, and each task keeps ``size`` rows.
     """
     if last is not None:
@@ -173,11 +173,43 @@ def page_after(found: DataFrame, keys: list[str], last: tuple | None, size: int)
         beyond = F.lit(False)
         for i in reversed(range(len(keys))):
             k, v = F.col(keys[i]), F.lit(last[i])
-            beyond = (k > v) | ((k == v) & beyond)
-        found = found.where((F.col(keys[0]) >= F.lit(last[0])) & beyond)
+            after = k.isNotNull() if last[i] is None else F.coalesce(k > v, F.lit(False))
+            beyond = after | (k.eqNullSafe(v) & beyond)
+        if last[0] is not None:
+            found = found.where(F.col(keys[0]) >= F.lit(last[0]))
+        found = found.where(beyond)
     return found.orderBy(*keys).limit(size)
 
 
+def order_of(docs: DataFrame, request: Request) -> list[Column]:
+    """The request's order, made total by the remaining columns that can be ordered."""
+    named = {c.removeprefix("-") for c in request.sort}
+    asked = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in request.sort]
+    rest = [f.name for f in docs.schema.fields
+            if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return asked + [F.asc(c) for c in rest]
+
+
+@dataclass(frozen=True)
+class Reply:
+    """Parts of a search, each of its own shape; a part that nobody reads is never computed."""
+
+    total: DataFrame
+    page: DataFrame
+    facets: DataFrame | None
+    maximum: DataFrame | None
+
+
+def search(docs: DataFrame, request: Request, facet_columns: tuple[str, ...] = (), max_column: str | None = None) -> Reply:
+    """Filter, match, facets, maximum, order and page of one request."""
+    found = hits(docs, request)
+    return Reply(
+        hit_total(found), page(found, order_of(docs, request), request.page, request.size),
+        facets(found, list(facet_columns)) if facet_columns else None,
+        max_metric(found, max_column, "maximum") if max_column else None,
+    )
+
+
 def stat_document(found: DataFrame, order: list[Column], page_no: int, size: int,
                   gender: str = "user_gender", age: str = "user_age",
                   male: object = GENDER_MALE) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, functions as F
 
 from tillstream.functions import day_of
 from tillstream.operators import alerts
-from tillstream.operators.skew import join_spread
 from tillstream.plans.catalog import query
 from tillstream.sources import domain
 from tillstream.sources.files import table
@@ -74,58 +73,64 @@ def any_browse_veto(spark, folder):
     return counts.select("mid", day_of(F.col("window_start")).alias("day"), (F.col("n_browse") == 0).alias("kept"))
 
 
+BOTH_SQL = " union all ".join(
+    f"select mid, window_start, window_start + interval 1 day as window_end, n_uids, n_events from ({sql})"
+    f" where n_uids >= 3 and n_browse = 0" for sql in (DAILY_SQL, SLIDING_SQL))
+
+
 @query(f"""
-with a as (select mid, window_start + interval 1 day as window_end, n_uids from ({SLIDING_SQL})
-           where n_uids >= 3 and n_browse = 0)
-select mid || '-' || strftime(window_end, '%Y-%m-%d %H:%M') as doc_id, mid, n_uids from a
+select doc_id, mid, n_uids, n_events from (
+  select *, row_number() over (
+    partition by doc_id order by window_end desc, mid desc, window_start desc, n_uids desc, n_events desc) as rn
+  from (select *, mid || '-' || strftime(window_end, '%Y-%m-%d %H:%M') as doc_id from ({BOTH_SQL}))) where rn = 1
 """)
 def alert_minute_dedup(spark, folder):
-    found = alerts.coupon_alerts(logs(spark, folder), domain.SLIDING_RULE)
-    return alerts.one_per_minute(found).select("doc_id", "mid", "n_uids")
+    # Days and sliding days both end at midnight, so those alerts come twice.
+    events = logs(spark, folder)
+    found = alerts.coupon_alerts(events, domain.SLIDING_RULE).unionByName(alerts.coupon_alerts(events, domain.DAILY_RULE))
+    return alerts.one_per_minute(found).select("doc_id", "mid", "n_uids", "n_events")
 
 
-LISTS_SQL = """
-string_agg(distinct case when evid in ('purchase', 'click') then cast(uid as varchar) end, ','
-           order by case when evid in ('purchase', 'click') then cast(uid as varchar) end) as uids,
-string_agg(distinct case when evid in ('purchase', 'click') then itemid end, ','
-           order by case when evid in ('purchase', 'click') then itemid end) as item_ids,
-string_agg(evid, ',' order by ts, event_id) as events
+def _members_sql(keys: str, rows: str) -> str:
+    """Member rows of groups in SQL; ``rows`` are the events with the group's keys."""
+    coupon = "evid in ('purchase', 'click')"
+    at = "cast(null as varchar) as at, cast(null as bigint) as event_id, cast(1 as bigint) as n"
+    return f"""
+with m as ({rows})
+select {keys}, 'event' as kind, evid as value, {TEXT.format('ts')} as at, event_id, count(*) as n from m group by all
+union all
+select distinct {keys}, 'uid', cast(uid as varchar), {at} from m where {coupon} and uid is not null
+union all
+select distinct {keys}, 'item', itemid, {at} from m where {coupon} and itemid is not null
 """
 
 
-def _joined(rows, *keys: str):
-    """Arrays as one text each, accounts and items in text order."""
-    uids = F.array_sort(F.transform("uids", lambda u: u.cast("string")))
-    # An empty set is no text at all, as in SQL.
-    return rows.select(
-        *keys,
-        F.nullif(F.array_join(uids, ","), F.lit("")).alias("uids"),
-        F.nullif(F.array_join("item_ids", ","), F.lit("")).alias("item_ids"),
-        F.array_join("events", ",").alias("events"),
-    )
+def _members(rows, *keys: str):
+    return rows.select(*keys, "kind", "value", _text("event_time").alias("at"), "event_id", "n")
 
 
-@query(f"""
-select mid, strftime(ts, '%Y-%m-%d') as day, {LISTS_SQL} from ({LOGS_SQL}) group by 1, 2
-""")
+@query(_members_sql("mid, day", f"select *, strftime(ts, '%Y-%m-%d') as day from ({LOGS_SQL})"))
 def group_collect(spark, folder):
-    rows = logs(spark, folder).withColumn("day", F.to_date("event_time"))
-    sizes = rows.groupBy("mid", "day").agg(F.count(F.lit(1)).alias("n_events"))
-    grouped = alerts.collect_groups(
-        join_spread(rows, sizes, ["mid", "day"], "inner"),
-        ["mid", "day"], ["event_time", "event_id"], "n_events", domain.DAILY_RULE,
-    )
-    return _joined(grouped.withColumn("day", F.col("day").cast("string")), "mid", "day")
+    rows = logs(spark, folder).withColumn("day", day_of(F.col("event_time")))
+    return _members(alerts.group_members(rows, ["mid", "day"], ["event_time", "event_id"], domain.DAILY_RULE), "mid", "day")
 
 
-@query(f"""
-with m as (select *, date_trunc('day', ts)::timestamp as window_start from ({LOGS_SQL})),
-a as (select mid, window_start from ({DAILY_SQL}) where n_uids >= 3 and n_browse = 0)
-select m.mid || '-' || strftime(window_start + interval 1 day, '%Y-%m-%d %H:%M') as doc_id, {LISTS_SQL}
-from m join a using (mid, window_start) group by 1
-""")
+@query(_members_sql("doc_id", f"""
+select e.*, e.mid || '-' || strftime(window_start + interval 1 day, '%Y-%m-%d %H:%M') as doc_id
+from (select *, date_trunc('day', ts)::timestamp as window_start from ({LOGS_SQL})) e
+join (select mid, window_start from ({DAILY_SQL}) where n_uids >= 3 and n_browse = 0) using (mid, window_start)
+"""))
 def alert_documents(spark, folder):
-    rule = domain.DAILY_RULE
-    events = logs(spark, folder)
-    docs = alerts.alert_documents(alerts.coupon_alerts(events, rule), events, rule)
-    return _joined(docs, "doc_id")
+    rule, events = domain.DAILY_RULE, logs(spark, folder)
+    return _members(alerts.alert_members(alerts.coupon_alerts(events, rule), events, rule), "doc_id")
+
+
+@query(_members_sql("doc_id", f"""
+select e.*, e.mid || '-' || strftime(w.window_start + interval 1 day, '%Y-%m-%d %H:%M') as doc_id
+from ({LOGS_SQL}) e
+join (select mid, window_start from ({SLIDING_SQL}) where n_uids >= 3 and n_browse = 0) w
+on e.mid = w.mid and e.ts >= w.window_start and e.ts < w.window_start + interval 1 day
+"""))
+def sliding_alert_documents(spark, folder):
+    rule, events = domain.SLIDING_RULE, logs(spark, folder)
+    return _members(alerts.alert_members(alerts.coupon_alerts(events, rule), events, rule), "doc_id")
