@@ -193,6 +193,121 @@ def test_alert_job_equals_batch(spark, tmp_path):
     assert got.count() > 0
 
 
+def test_alert_members_from_the_stored_stream(spark, tmp_path):
+    data = events(150, 6)
+    for i in range(3):
+        write(tmp_path / "in", f"f{i}", data[i * 50:(i + 1) * 50])
+    write(tmp_path / "in", "z", [{"mid": "end", "evid": "addCart", "ts": ms(100_000)}])
+    root = str(tmp_path / "out")
+    finish(jobs.alert_job(stream(spark, tmp_path / "in"), root, once=True))
+    batch_events = ingest.event_rows(batch(spark, tmp_path / "in"))
+    found = alerts.one_per_minute(alerts.coupon_alerts(batch_events, AlertRule()))
+    want = alerts.alert_members(found, batch_events, AlertRule(), order=("ts", "uid", "itemid"))
+    for days in (None, ["2024-01-01"]):
+        got = jobs.alert_members(spark, root, days=days)
+        assert rows(got) == rows(want) and got.count() > 0
+
+
+def test_both_alert_jobs_keep_their_own_table(spark, tmp_path):
+    write(tmp_path / "in", "a", events(100, 3))
+    write(tmp_path / "in", "z", [{"mid": "end", "evid": "addCart", "ts": ms(100_000)}])
+    root = str(tmp_path / "out")
+    finish(jobs.alert_job(stream(spark, tmp_path / "in"), root, once=True))
+    before = rows(jobs.alert_table(root).read(spark, jobs.ALERT_TABLE))
+    finish(jobs.instant_alert_job(stream(spark, tmp_path / "in"), root, once=True))
+    assert rows(jobs.alert_table(root).read(spark, jobs.ALERT_TABLE)) == before != []
+
+
+def quarantined(spark, root, job):
+    return [(r.kind, r.reason, r.value) for r in spark.read.schema("kind string, reason string, value string").json(
+        f"{root}/quarantine/{job}").collect()]
+
+
+def test_every_job_quarantines_what_it_cannot_use(spark, tmp_path):
+    root = str(tmp_path / "out")
+    good = {
+        "startup": {"mid": "m", "ts": ms(0), "uid": "1"}, "event": {"mid": "m", "evid": "coupon", "uid": "1", "ts": ms(0)},
+        "order": {"id": "1", "total_amount": "1.5", "create_time": "2024-01-01 10:00:00"},
+        "detail": {"id": "1", "order_id": "1", "order_price": "2"}, "user": {"id": "1", "birthday": "2000-01-01"},
+        "change": {"table": "order_info", "op": "INSERT", "after": {"id": "1"}},
+    }
+    bad = {
+        "startup": ["broken", {"mid": "m"}, {"mid": "m", "ts": "x"}], "event": ["broken", {"mid": "m", "evid": "coupon"}],
+        "order": ["broken", {"id": "2", "total_amount": "x"}], "detail": ["[1]", {"id": "2", "order_price": "x"}],
+        "user": ["", {"id": "2", "birthday": "x"}], "change": ["broken", {"op": "INSERT"}, {"table": "order_info"}],
+    }
+    for kind in good:
+        write(tmp_path / kind, "a", [good[kind], *bad[kind]])
+    src = lambda kind: stream(spark, tmp_path / kind)
+    sent = []
+    finish(jobs.dau_job(src("startup"), root, once=True))
+    finish(jobs.gmv_job(src("order"), root, once=True))
+    finish(jobs.user_job(src("user"), root, once=True))
+    finish(jobs.sale_detail_job(src("order"), src("detail"), root, once=True))
+    finish(jobs.alert_job(src("event"), root, once=True))
+    finish(jobs.instant_alert_job(src("event"), root, once=True))
+    finish(jobs.change_job(src("change"), root, lambda df: sent.extend(map(tuple, df.collect())), once=True))
+    by_job = {"dau": "startup", "gmv": "order", "user": "user", "sale_detail_orders": "order", "sale_detail_lines": "detail",
+              "alert": "event", "instant_alert": "event", "change": "change"}
+    for job, kind in by_job.items():
+        want = sorted(b if isinstance(b, str) else json.dumps(b) for b in bad[kind])
+        assert sorted(v for _, _, v in quarantined(spark, root, job)) == want, job
+    assert [t for t, _ in sent] == [Settings().topics.order_info] and json.loads(sent[0][1]) == {"id": "1"}
+    assert jobs.dau_table(root).read(spark, jobs.DAU_TABLE).count() == 1
+
+
+def test_intake_stamps_lands_and_routes(spark, tmp_path):
+    lines = [{"type": "startup", "mid": "a", "ts": 1}, {"type": "event", "mid": "b"}, {"mid": "c"}, "not json"]
+    write(tmp_path / "in", "a", lines)
+    root, sent = str(tmp_path / "out"), []
+    finish(jobs.intake_job(stream(spark, tmp_path / "in"), root, lambda df: sent.extend(map(tuple, df.collect())),
+                           clock=F.lit(ms(5)), once=True))
+    topics = Settings().topics
+    got = {v if v == "not json" else json.loads(v)["mid"]: t for t, v in sent}
+    assert got == {"a": topics.startup, "b": topics.event, "c": topics.event, "not json": topics.event}
+    assert all(json.loads(v)["ts"] == str(ms(5)) for _, v in sent if v != "not json")
+    landed = spark.read.text(f"{root}/raw_log")
+    assert sorted(landed.select("value").toPandas()["value"]) == sorted(v for _, v in sent)
+    assert landed.where("log_date = '2024-01-01'").count() == 3
+
+
+def test_dau_keeps_the_earliest_row_in_any_zone(spark, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        # Local times 00:30, 07:59, 08:01 and 23:59 of one day; days of UTC change at 08:00.
+        local = lambda h, m=0, day=2: int(datetime(2024, 1, day, h, m, tzinfo=timezone(timedelta(hours=8))).timestamp() * 1000)
+        logs = [("a", local(9)), ("a", local(0, 30)), ("b", local(8, 1)), ("b", local(7, 59)), ("c", local(23, 59)),
+                ("c", local(0, 0, 3)), ("d", local(7, 59)), ("d", local(8))]
+        for i in range(0, 8, 2):
+            write(tmp_path / "in", f"f{i}", [{"mid": m, "uid": str(t), "ts": t} for m, t in logs[i:i + 2]])
+            finish(jobs.dau_job(stream(spark, tmp_path / "in"), str(tmp_path / "out"), once=True))
+        got = jobs.dau_table(str(tmp_path / "out")).read(spark, jobs.DAU_TABLE)
+        want = dedup.daily_first(ingest.startup_rows(batch(spark, tmp_path / "in")), ["ts", "uid"])
+        assert rows(got.select("logdate", "mid", "ts", "loghour")) == rows(want.select("log_date", "mid", "ts", "log_hour"))
+        assert got.count() == 5
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_new_checkpoint_replaces_nothing(spark, tmp_path):
+    order = lambda i: {"id": str(i), "total_amount": "1", "create_time": "2024-01-01 10:00:00"}
+    root = str(tmp_path / "out")
+    write(tmp_path / "a", "a", [order(1)])
+    finish(jobs.gmv_job(stream(spark, tmp_path / "a"), root, once=True))
+    (tmp_path / "out" / "_checkpoints").rename(tmp_path / "old")
+    write(tmp_path / "b", "b", [order(2)])
+    finish(jobs.gmv_job(stream(spark, tmp_path / "b"), root, once=True))
+    assert sorted(r.id for r in jobs.order_table(root).read(spark, jobs.ORDER_TABLE).collect()) == ["1", "2"]
+
+
+def test_gmv_job_with_upper_case_names(spark, tmp_path):
+    write(tmp_path / "in", "a", [{"id": "1", "total_amount": "1.5", "create_time": "2024-01-01 10:00:00"}])
+    finish(jobs.gmv_job(stream(spark, tmp_path / "in"), str(tmp_path / "out"), once=True, upper=True))
+    stored = spark.read.parquet(str(tmp_path / "out" / Settings().tables.order_info))
+    assert {"ID", "TOTAL_AMOUNT", "CREATE_HOUR", "CREATE_DATE"} <= set(stored.columns)
+
+
 def test_instant_alerts_equal_a_loop(spark, tmp_path):
     data = events(300, 4)
     size, window = 20, 300_000
@@ -202,7 +317,7 @@ def test_instant_alerts_equal_a_loop(spark, tmp_path):
     out = str(tmp_path / "out")
     finish(alerts_of.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
            .trigger(availableNow=True).start())
-    got = {(r.mid, r.ts) for r in spark.read.parquet(out).collect()}
+    got = {(r.mid, r.ts, tuple(r.uids)) for r in spark.read.parquet(out).collect()}
     want, seen = set(), defaultdict(list)
     for i in range(0, len(data), size):
         part = data[i:i + size]
@@ -213,7 +328,7 @@ def test_instant_alerts_equal_a_loop(spark, tmp_path):
             inside = [e for e in seen[mid] if e["ts"] > end - window]
             uids = {e["uid"] for e in inside if e["evid"] == "coupon" and e["uid"]}
             if len(uids) >= 3 and not any(e["evid"] == "clickItem" for e in inside):
-                want.add((mid, end))
+                want.add((mid, end, tuple(sorted(uids))))
     assert got == want and len(want) > 0
 
 

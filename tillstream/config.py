@@ -41,6 +41,9 @@ class Tables:
     order_info: str = "order_info"
     user_info: str = "user_info"
     alert: str = "coupon_alert"
+    instant_alert: str = "instant_coupon_alert"
+    event: str = "event_log"
+    log: str = "raw_log"
     sale_detail: str = "sale_detail"
 
 

@@ -9,6 +9,15 @@ from tillstream.config import DETAIL_TABLE, ORDER_TABLE, STARTUP_TYPE, USER_TABL
 from tillstream.functions import mask_phone, with_create_parts, with_log_parts
 
 CORRUPT = "_corrupt"
+#: Schema, casts and required fields of the rows of each kind.
+KINDS: dict[str, tuple[T.StructType, dict[str, str], tuple[str, ...]]] = {
+    "startup": (schemas.STARTUP_LOG, schemas.STARTUP_CASTS, ("ts",)),
+    "event": (schemas.EVENT_LOG, schemas.EVENT_CASTS, ("ts",)),
+    "order": (schemas.ORDER_INFO, schemas.ORDER_CASTS, ()),
+    "detail": (schemas.ORDER_DETAIL, schemas.DETAIL_CASTS, ()),
+    "user": (schemas.USER_INFO, schemas.USER_CASTS, ()),
+    "change": (schemas.CHANGE_LOG, {}, ("table", "op")),
+}
 
 
 def decode(df: DataFrame, schema: T.StructType, casts: dict[str, str] | None = None,
@@ -47,6 +56,22 @@ def quarantine(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
 
 
+def rejected(df: DataFrame, kind: str) -> DataFrame:
+    """``(kind, reason, value)`` of the lines that the decoder of this kind does not pass on.
+
+    Kinds are ``startup``, ``event``, ``order``, ``detail``, ``user`` and ``change``. Log lines need a
+    time and change records a table and a kind of change; every other line is passed on.
+    """
+    schema, casts, needed = KINDS[kind]
+    bad = decode(df, schema, casts, keep=("value",))
+    missing = F.lit(False)
+    for name in needed:
+        missing = missing | F.col(name).isNull()
+    reason = F.when(F.col(CORRUPT).isNotNull(), "not readable").when(missing, f"without {' or '.join(needed)}")
+    return bad.select(F.lit(kind).alias("kind"), reason.alias("reason"), F.coalesce("value", F.lit("")).alias("value")).where(
+        F.col("reason").isNotNull())
+
+
 def encode(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Whole row to one JSON text column."""
     return df.select(*keep, F.to_json(F.struct("*")).alias(value))

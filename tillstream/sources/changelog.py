@@ -9,7 +9,7 @@ from tillstream.operators import ingest
 
 
 def changes(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Text lines to change records; lines that are not change records are dropped."""
+    """Text lines to change records; the others are given by ``ingest.rejected``."""
     rows = ingest.good_rows(ingest.decode(lines, schemas.CHANGE_LOG, keep=keep))
     return rows.where(F.col("table").isNotNull() & F.col("op").isNotNull())
 

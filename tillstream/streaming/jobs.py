@@ -1,21 +1,27 @@
-"""The five jobs. Each takes decoded-text streams (``value``, ``arrival``) and a root folder.
+"""The jobs. Each takes decoded-text streams (``value``, ``arrival``) and a root folder.
 
 Sources are passed in, so the same job runs on Kafka, on files or in a test. Delivery: the
-offsets live in the checkpoint and every sink replaces what a replayed batch wrote before.
+offsets live in the checkpoint and every sink replaces what a replayed batch wrote before. Every
+job has a second query that appends the lines it cannot use to ``quarantine/<job>``.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tillstream import schemas
 from tillstream.config import Settings
 from tillstream.functions import day_of, minute_doc_id
-from tillstream.operators import ingest
+from tillstream.operators import alerts as alert_rules, ingest
 from tillstream.operators.joins import enrich_with_users, two_level_users
 from tillstream.streaming.probe import probe
-from tillstream.streaming.sinks import KeyedTable
+from tillstream.sources import changelog
+from tillstream.streaming.sinks import KeyedTable, upper_names
 from tillstream.streaming.stateful import (
     daily_first_updates, instant_alerts, orders_with_lines, windowed_alerts,
 )
@@ -36,62 +42,99 @@ ALERT_TABLE = _named(("doc_id", "mid", "ts", "n_uids", "n_events", "dt"), ts=LON
 RECENT_TABLE = _named(("doc_id", "mid", "uids", "ts", "dt"), uids=T.ArrayType(T.StringType()), ts=LONG)
 
 
-def dau_table(root: str, settings: Settings = Settings(), run: int = 0) -> KeyedTable:
-    return KeyedTable(f"{root}/{settings.tables.dau}", ("mid",), "logdate", ("ts",), run)
+def dau_table(root: str, settings: Settings = Settings()) -> KeyedTable:
+    return KeyedTable(f"{root}/{settings.tables.dau}", ("mid",), "logdate", ("ts", "uid"), earliest=True)
+
+
+def order_table(root: str, settings: Settings = Settings()) -> KeyedTable:
+    return KeyedTable(f"{root}/{settings.tables.order_info}", ("id",), "create_date", ("create_time",))
+
+
+def user_table(root: str, settings: Settings = Settings()) -> KeyedTable:
+    return KeyedTable(f"{root}/{settings.tables.user_info}", ("id",), "dt", ("arrival",))
 
 
-def order_table(root: str, settings: Settings = Settings(), run: int = 0) -> KeyedTable:
-    return KeyedTable(f"{root}/{settings.tables.order_info}", ("id",), "create_date", ("create_time",), run)
+def sale_table(root: str, settings: Settings = Settings()) -> KeyedTable:
+    return KeyedTable(f"{root}/{settings.tables.sale_detail}", ("order_detail_id",), "dt", ("create_time",))
 
 
-def user_table(root: str, settings: Settings = Settings(), run: int = 0) -> KeyedTable:
-    return KeyedTable(f"{root}/{settings.tables.user_info}", ("id",), "dt", ("arrival",), run)
+def alert_table(root: str, settings: Settings = Settings()) -> KeyedTable:
+    return KeyedTable(f"{root}/{settings.tables.alert}", ("doc_id",), "dt", ("ts",))
 
 
-def sale_table(root: str, settings: Settings = Settings(), run: int = 0) -> KeyedTable:
-    return KeyedTable(f"{root}/{settings.tables.sale_detail}", ("order_detail_id",), "dt", ("create_time",), run)
+def instant_alert_table(root: str, settings: Settings = Settings()) -> KeyedTable:
+    return KeyedTable(f"{root}/{settings.tables.instant_alert}", ("doc_id",), "dt", ("ts",))
 
 
-def alert_table(root: str, settings: Settings = Settings(), run: int = 0) -> KeyedTable:
-    return KeyedTable(f"{root}/{settings.tables.alert}", ("doc_id",), "dt", ("ts",), run)
+def _checkpoint(root: str, name: str) -> str:
+    return f"{root}/_checkpoints/{name}"
+
+
+def _into(table: KeyedTable, root: str, name: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer under the id that the checkpoint gave the query, looked up at the first batch."""
+    own: list[KeyedTable] = []
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        if not own:
+            spark = df.sparkSession
+            meta = spark.read.text(f"{_checkpoint(root, name)}/metadata").first().value
+            own.append(table.of_writer(spark, json.loads(meta)["id"]))
+        own[0].write_batch(df, batch_id)
+
+    return write
+
+
+def quarantine_job(lines: DataFrame, kind: str, root: str, name: str, interval: str, once: bool = False) -> StreamingQuery:
+    """Lines that the decoder of ``kind`` rejects, with the reason, appended as JSON."""
+    job = f"quarantine/{name}"
+    writer = ingest.rejected(lines, kind).writeStream.format("json").option("path", f"{root}/{job}")
+    query = _start(writer, root, job.replace("/", "_"), interval, once)
+    if once:
+        query.awaitTermination()
+    return query
 
 
 def _start(writer: DataStreamWriter, root: str, name: str, interval: str, once: bool) -> StreamingQuery:
-    writer = writer.option("checkpointLocation", f"{root}/_checkpoints/{name}").queryName(name)
+    writer = writer.option("checkpointLocation", _checkpoint(root, name)).queryName(name)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
-def dau_job(lines: DataFrame, root: str, settings: Settings = Settings(), run: int = 0,
+def dau_job(lines: DataFrame, root: str, settings: Settings = Settings(),
             once: bool = False) -> StreamingQuery:
     """Startup lines to one row per device and day."""
-    logs = probe(ingest.startup_rows(lines), "decoded").where(F.col("event_time").isNotNull())
+    quarantine_job(lines, "startup", root, "dau", settings.intervals.dau, once)
+    logs = probe(ingest.startup_rows(lines).where(F.col("event_time").isNotNull()), "decoded")
     first = daily_first_updates(logs, ["ts", "uid"])
     rows = first.withColumnsRenamed({"log_date": "logdate", "log_hour": "loghour"}).select(*schemas.DAU_COLUMNS)
-    table = dau_table(root, settings, run)
-    writer = rows.writeStream.outputMode("update").foreachBatch(table.write_batch)
+    writer = probe(rows, "first").writeStream.outputMode("update").foreachBatch(_into(dau_table(root, settings), root, "dau"))
     return _start(writer, root, "dau", settings.intervals.dau, once)
 
 
-def gmv_job(lines: DataFrame, root: str, settings: Settings = Settings(), run: int = 0,
-            once: bool = False) -> StreamingQuery:
-    """Order records to the order table."""
+def gmv_job(lines: DataFrame, root: str, settings: Settings = Settings(),
+            once: bool = False, upper: bool = False) -> StreamingQuery:
+    """Order records to the order table.
+
+    With ``upper`` the stored columns have upper-case names, as wide-column stores expect them.
+    """
+    quarantine_job(lines, "order", root, "gmv", settings.intervals.gmv, once)
     orders = ingest.order_rows(lines).select(*ORDER_TABLE.fieldNames())
-    table = order_table(root, settings, run)
-    return _start(orders.writeStream.foreachBatch(table.write_batch), root, "gmv", settings.intervals.gmv, once)
+    table = order_table(root, settings)
+    if upper:
+        orders, table = upper_names(orders), replace(
+            table, keys=("ID",), day="CREATE_DATE", order=("CREATE_TIME",))
+    return _start(orders.writeStream.foreachBatch(_into(table, root, "gmv")), root, "gmv", settings.intervals.gmv, once)
 
 
-def user_job(lines: DataFrame, root: str, settings: Settings = Settings(), run: int = 0,
+def user_job(lines: DataFrame, root: str, settings: Settings = Settings(),
              once: bool = False) -> StreamingQuery:
     """User records to the user table: the newest row per user wins.
 
     Users have no day; one constant folder keeps the table layout the same as the others.
     """
-    users = ingest.user_rows(lines, keep=("arrival",)).withColumn("dt", F.lit("all"))
-    table = user_table(root, settings, run)
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        table.write_batch(df.select("arrival", *USER_TABLE.fieldNames()), batch_id)
-
+    quarantine_job(lines, "user", root, "user", settings.intervals.user, once)
+    users = ingest.user_rows(lines, keep=("arrival",)).withColumn("dt", F.lit("all")).select(
+        "arrival", *USER_TABLE.fieldNames())
+    write = _into(user_table(root, settings), root, "user")
     return _start(users.writeStream.foreachBatch(write), root, "user", settings.intervals.user, once)
 
 
@@ -108,9 +151,11 @@ def current_users(spark: SparkSession, root: str, settings: Settings = Settings(
 
 def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, root: str,
                     base_users: DataFrame | None = None, as_of: Column | None = None,
-                    settings: Settings = Settings(), run: int = 0, once: bool = False,
+                    settings: Settings = Settings(), once: bool = False,
                     users_after: tuple[int, int] | None = None) -> StreamingQuery:
     """Orders meet their lines, get their buyer, and are stored under the line id."""
+    quarantine_job(order_lines, "order", root, "sale_detail_orders", settings.intervals.sale_detail, once)
+    quarantine_job(detail_lines, "detail", root, "sale_detail_lines", settings.intervals.sale_detail, once)
     orders = ingest.order_rows(order_lines, keep=("arrival",)).select(
         F.col("id").alias("o_id"), "order_status", "create_time", "user_id",
         F.col("create_date").alias("dt"), F.col("arrival").alias("order_arrival"),
@@ -120,19 +165,24 @@ def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, root: str,
         F.col("order_price").cast("double").alias("sku_price"), F.col("arrival").alias("detail_arrival"),
     )
     sales = orders_with_lines(orders, details, settings.join, order_key="o_id").drop("o_id")
-    table = sale_table(root, settings, run)
+    store = _into(sale_table(root, settings), root, "sale_detail")
 
     def write(df: DataFrame, batch_id: int) -> None:
         # Inside a batch the plan is adaptive: skewed buyers are split, sizes decide the join.
         users = current_users(df.sparkSession, root, settings, base_users, users_after)
-        table.write_batch(enrich_with_users(df, users, as_of).select(*SALE_TABLE.fieldNames()), batch_id)
+        store(enrich_with_users(df, users, as_of).select(*SALE_TABLE.fieldNames()), batch_id)
 
     return _start(sales.writeStream.foreachBatch(write), root, "sale_detail", settings.intervals.sale_detail, once)
 
 
-def alert_job(lines: DataFrame, root: str, settings: Settings = Settings(), run: int = 0,
+def alert_job(lines: DataFrame, root: str, settings: Settings = Settings(),
               watermark: str = "1 minute", once: bool = False) -> StreamingQuery:
-    """Event lines to alerts of closed windows, one per device and minute."""
+    """Event lines to alerts of closed windows, one per device and minute.
+
+    The events themselves are appended by day beside the alerts; :func:`alert_members` reads both.
+    """
+    quarantine_job(lines, "event", root, "alert", settings.intervals.alert, once)
+    land_events(lines, root, settings, once)
     events = ingest.event_rows(lines).where(F.col("event_time").isNotNull())
     alerts = windowed_alerts(events, settings.alert, watermark)
     docs = alerts.select(
@@ -140,17 +190,80 @@ def alert_job(lines: DataFrame, root: str, settings: Settings = Settings(), run:
         F.unix_millis("window_end").alias("ts"), "n_uids", "n_events",
         day_of(F.col("window_end")).alias("dt"),
     )
-    table = alert_table(root, settings, run)
-    return _start(docs.writeStream.foreachBatch(table.write_batch), root, "alert", settings.intervals.alert, once)
+    return _start(docs.writeStream.foreachBatch(_into(alert_table(root, settings), root, "alert")), root, "alert", settings.intervals.alert, once)
 
 
-def instant_alert_job(lines: DataFrame, root: str, settings: Settings = Settings(), run: int = 0,
+def instant_alert_job(lines: DataFrame, root: str, settings: Settings = Settings(),
                       once: bool = False) -> StreamingQuery:
     """The same rule judged at the end of every micro-batch."""
+    quarantine_job(lines, "event", root, "instant_alert", settings.intervals.alert, once)
     alerts = instant_alerts(ingest.event_rows(lines).where(F.col("event_time").isNotNull()), settings.alert)
     at = F.timestamp_millis("ts")
     docs = alerts.select(
         minute_doc_id(F.col("mid"), at).alias("doc_id"), "mid", "uids", "ts", day_of(at).alias("dt"),
     )
-    table = alert_table(root, settings, run)
-    return _start(docs.writeStream.foreachBatch(table.write_batch), root, "instant_alert", settings.intervals.alert, once)
+    write = _into(instant_alert_table(root, settings), root, "instant_alert")
+    return _start(docs.writeStream.foreachBatch(write), root, "instant_alert", settings.intervals.alert, once)
+
+
+def land_events(lines: DataFrame, root: str, settings: Settings = Settings(), once: bool = False) -> StreamingQuery:
+    """Decoded events with a time, appended as Parquet below one folder per day."""
+    events = ingest.event_rows(lines).where(F.col("event_time").isNotNull()).withColumn("dt", F.col("log_date"))
+    writer = events.writeStream.format("parquet").partitionBy("dt").option("path", f"{root}/{settings.tables.event}")
+    query = _start(writer, root, "event_log", settings.intervals.alert, once)
+    if once:
+        query.awaitTermination()
+    return query
+
+
+def alert_members(spark: SparkSession, root: str, settings: Settings = Settings(), days: list[str] | None = None) -> DataFrame:
+    """All accounts, items and events behind the stored alerts, of the days of their ends or of all.
+
+    Only the days that such windows can touch are read.
+    """
+    rule = settings.alert
+    width = F.make_dt_interval(secs=F.lit(alert_rules.seconds_of(rule.window)))
+    end = F.timestamp_millis("ts")
+    found = alert_table(root, settings).read(spark, ALERT_TABLE, days).select(
+        "mid", (end - width).alias("window_start"), end.alias("window_end"))
+    events = spark.read.parquet(f"{root}/{settings.tables.event}")
+    if days is not None:
+        earliest = F.to_date(F.lit(min(days)).cast("timestamp") - width)
+        events = events.where((F.to_date("dt") >= earliest) & (F.to_date("dt") <= F.lit(max(days)).cast("date")))
+    return alert_rules.alert_members(found, events, rule, order=("ts", "uid", "itemid"))
+
+
+Send = Callable[[DataFrame], None]
+
+
+def intake_job(lines: DataFrame, root: str, send: Send, settings: Settings = Settings(), clock: Column | None = None,
+               once: bool = False) -> StreamingQuery:
+    """Raw log lines: stamp, land by day, route to the two log topics.
+
+    ``send`` takes a batch of ``(topic, value)`` records, for example to the broker. A line that is
+    no JSON object has no stamp; it lands under the unknown day and goes to the event topic, whose
+    decoder puts it into quarantine.
+    """
+    stamped = ingest.stamp_line(lines, clock)
+    kind = F.get_json_object("value", "$.type")
+    routed = ingest.route_by_type(stamped, settings.topics, kind).select("topic", "value")
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        # The stamp must be the same for both uses.
+        df = df.persist()
+        day = day_of(F.timestamp_millis(F.get_json_object("value", "$.ts").try_cast("bigint")))
+        (
+            df.select("value", day.alias("log_date"), F.lit(int(batch_id)).alias("batch")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("log_date", "batch").text(f"{root}/{settings.tables.log}")
+        )
+        send(df)
+        df.unpersist()
+
+    return _start(routed.writeStream.foreachBatch(write), root, "intake", settings.intervals.dau, once)
+
+
+def change_job(lines: DataFrame, root: str, send: Send, settings: Settings = Settings(), once: bool = False) -> StreamingQuery:
+    """Change records to the topics of orders, order lines and users."""
+    quarantine_job(lines, "change", root, "change", settings.intervals.user, once)
+    records = changelog.topic_records(lines, settings.topics)
+    return _start(records.writeStream.foreachBatch(lambda df, _: send(df)), root, "change", settings.intervals.user, once)

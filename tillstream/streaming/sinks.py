@@ -7,22 +7,24 @@ row per key, and :meth:`KeyedTable.publish` writes that view as a plain table fo
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tillstream.operators.dedup import latest_by_key
+from tillstream.operators.dedup import first_per_key, latest_by_key
 
 RUN, BATCH = "_run", "_batch"
+WRITERS = "_writers"
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """``order`` columns decide which row of a key is newest inside one batch.
 
-    ``run`` must be raised when a job starts with a new checkpoint, because batch numbers
-    start at 0 again.
+    Batches are numbered from 0 again under each new checkpoint, so each checkpoint is a ``run``
+    of its own. :meth:`of_writer` gives a writer its run, the same one on every restart. With
+    ``earliest`` the table keeps the first row by ``order`` instead, whenever it was written.
     """
 
     path: str
@@ -30,12 +32,34 @@ class KeyedTable:
     day: str
     order: tuple[str, ...] = ()
     run: int = 0
+    earliest: bool = False
+
+    def of_writer(self, spark: SparkSession, writer: str) -> KeyedTable:
+        """This table with the run of ``writer``, the id of a streaming query.
+
+        A writer not seen before gets the next run and is recorded beside the data, so nothing that
+        another one wrote is replaced. A table is written by one job at a time.
+        """
+        path = f"{self.path}/{WRITERS}"
+        try:
+            known = {r.writer: r.run for r in spark.read.schema("writer string, run int").json(path).collect()}
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            known = {}
+        if writer not in known:
+            known[writer] = max(known.values(), default=-1) + 1
+            spark.createDataFrame([(writer, known[writer])], "writer string, run int").coalesce(1).write.mode("append").json(path)
+        return replace(self, run=known[writer])
+
+    def _pick(self, df: DataFrame, order: list[str]) -> DataFrame:
+        keys, chosen = [self.day, *self.keys], list(self.order or self.keys)
+        return first_per_key(df, keys, chosen) if self.earliest else latest_by_key(df, keys, order or chosen)
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Write one micro-batch; an empty one changes nothing. Usable in ``foreachBatch``."""
-        newest = latest_by_key(df, [self.day, *self.keys], list(self.order or self.keys))
         (
-            newest.withColumns({RUN: F.lit(self.run), BATCH: F.lit(int(batch_id)).cast("bigint")})
+            self._pick(df, []).withColumns({RUN: F.lit(self.run), BATCH: F.lit(int(batch_id)).cast("bigint")})
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.day, RUN, BATCH).parquet(self.path)
         )
@@ -55,7 +79,7 @@ class KeyedTable:
 
     def read(self, spark: SparkSession, schema: T.StructType, days: list[str] | None = None,
              after: tuple[int, int] | None = None) -> DataFrame:
-        """Newest row per key, of some days or of all.
+        """Newest row per key (or the earliest, if the table keeps that), of some days or of all.
 
         ``after`` is a run and batch: only later batches are read. Both choices prune folders.
         """
@@ -65,8 +89,7 @@ class KeyedTable:
             rows = rows.where((F.col(RUN) > run) | ((F.col(RUN) == run) & (F.col(BATCH) > batch)))
         if days is not None:
             rows = rows.where(F.col(self.day).isin(*days))
-        newest = latest_by_key(rows, [self.day, *self.keys], [RUN, BATCH])
-        return newest.select(*schema.fieldNames())
+        return self._pick(rows, [RUN, BATCH]).select(*schema.fieldNames())
 
     def publish(self, spark: SparkSession, schema: T.StructType, target: str,
                 days: list[str] | None = None) -> None:

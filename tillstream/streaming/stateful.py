@@ -43,7 +43,8 @@ def daily_first_updates(logs: DataFrame, order: list[str], watermark: str = "1 d
 
     Built-in and exact: a row that arrives late but is earlier replaces the one given out
     before, through the upsert key (day, device). The day window carries the watermark that
-    drops old state; ``day_start`` shifts it for time zones other than UTC.
+    drops old state. Where the session's days start at another time than the window's, which
+    ``day_start`` can shift, a device has two rows for a day; the table keeps the earliest.
     """
     first = [*order, *[c for c in logs.columns if c not in order and c not in (day, device)]]
     return (
@@ -190,15 +191,14 @@ RECENT_ALERT = T.StructType([
 ])
 
 
-def newest_accounts(rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Last coupon time of the ``k`` accounts seen last; equal times go by account."""
-    last = rows.dropna(subset=["uid", "coupon_ms"]).groupby("uid", as_index=False)["coupon_ms"].max()
-    return last.sort_values(["coupon_ms", "uid"], ascending=[False, True]).head(k)
+def last_coupons(rows: pd.DataFrame) -> pd.DataFrame:
+    """Last coupon time of every account."""
+    return rows.dropna(subset=["uid", "coupon_ms"]).groupby("uid", as_index=False)["coupon_ms"].max()
 
 
 class RecentCoupons(StatefulProcessor):
-    """Watches one device. "At least k accounts in the window" holds exactly when the k-th
-    newest account is inside it, so k accounts and two times are all the state there is."""
+    """Watches one device: its accounts that took coupons within the window, with their last
+    times, and the times of its last browse and last event. Older accounts leave the state."""
 
     def __init__(self, k: int, window_ms: int) -> None:
         self.k, self.window_ms = k, window_ms
@@ -215,18 +215,18 @@ class RecentCoupons(StatefulProcessor):
             self.handle.deleteTimer(seen + 2 * self.window_ms)
         known = pd.DataFrame({"uid": list(uids), "coupon_ms": list(coupons)})
         for pdf in rows:
-            known = newest_accounts(pd.concat([known, pdf[["uid", "coupon_ms"]]]), self.k)
+            known = last_coupons(pd.concat([known, pdf[["uid", "coupon_ms"]]]))
             browse = max([browse, *pdf["browse_ms"].dropna()])
             seen = max([seen, *pdf["seen_ms"].dropna()])
         browse, seen = int(browse), int(seen)
+        start = seen - self.window_ms
+        known = known[known["coupon_ms"] > start]
         self.recent.update((
             known["uid"].tolist(), [int(c) for c in known["coupon_ms"]], browse, seen,
         ))
         self.handle.registerTimer(seen + 2 * self.window_ms)
-        start = seen - self.window_ms
-        inside = known[known["coupon_ms"] > start]
-        if len(inside) >= self.k and browse <= start:
-            yield pd.DataFrame({"mid": [key[0]], "uids": [sorted(inside["uid"])], "ts": [seen]})
+        if len(known) >= self.k and browse <= start:
+            yield pd.DataFrame({"mid": [key[0]], "uids": [sorted(known["uid"])], "ts": [seen]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.recent.clear()
@@ -241,8 +241,8 @@ def instant_alerts(events: DataFrame, rule: AlertRule = AlertRule(), watermark:
     """Alerts at the end of every micro-batch, without waiting for the watermark.
 
     For devices with new events, the last ``rule.window`` up to their newest event is judged.
-    ``uids`` are the ``min_uids`` newest accounts, the proof of the alert. Assumes batches
-    arrive in time order per device; the windowed form is exact for any order.
+    ``uids`` are all accounts with coupons in that time. Assumes batches arrive in time order per
+    device; the windowed form is exact for any order.
     """
     k, evid = rule.min_uids, F.col("evid")
     when = F.unix_millis(ts)
@@ -260,8 +260,6 @@ def instant_alerts(events: DataFrame, rule: AlertRule = AlertRule(), watermark:
         last = (
             pdf.dropna(subset=["uid", "coupon_ms"])
             .groupby(["mid", "uid"], as_index=False, dropna=False)["coupon_ms"].max()
-            .sort_values(["coupon_ms", "uid"], ascending=[False, True])
-            .groupby("mid", dropna=False).head(k)
         )
         out = pd.concat([times, last], ignore_index=True)
         for c in ("coupon_ms", "browse_ms", "seen_ms"):
