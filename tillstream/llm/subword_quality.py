@@ -9,6 +9,7 @@ feature, so a text costs one lookup per word.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tillstream.llm.words import Batches, WordIds, texts
+from tillstream.llm.words import Batches, WordIds, texts, windows
 
 
 @dataclass(frozen=True)
@@ -35,25 +36,23 @@ class Settings:
     seed: int = 7
 
 
-class Features(dict):
-    """Feature numbers of a word, remembered up to a bound."""
+def word_features(words: list[bytes], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words and of their character n-grams, and for each the place of its word.
 
-    LIMIT = 200_000
-
-    def __init__(self, settings: Settings):
-        super().__init__()
-        self.settings = settings
-
-    def __missing__(self, word: bytes) -> np.ndarray:
-        s = self.settings
-        # Beyond 64 bytes a "word" is a blob; its ends and its hash describe it well enough.
-        marked = b"<" + (word if len(word) <= 64 else word[:32] + word[-32:]) + b">"
-        grams = [marked[i : i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(marked) - n + 1)]
-        value = np.array([xxhash.xxh3_64_intdigest(g) % s.buckets for g in [b"w" + word, *grams]], np.int64)
-        if len(self) >= self.LIMIT:
-            self.clear()
-        self[word] = value
-        return value
+    All words are hashed at once, as one long array of bytes whose windows inside a word count.
+    """
+    # Beyond 64 bytes a "word" is a blob; its ends describe it well enough.
+    marked = [b"<" + (w if len(w) <= 64 else w[:32] + w[-32:]) + b">" for w in words]
+    flat = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
+    owner = np.repeat(np.arange(len(marked)), [len(m) for m in marked])
+    found = [np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))]
+    owners = [np.arange(len(words))]
+    for n in range(settings.shortest, settings.longest + 1):
+        grams = windows(flat, n)
+        inside = owner[: len(grams)] == owner[n - 1 :] if len(grams) else np.empty(0, bool)
+        found.append(grams[inside] + np.uint64(n))
+        owners.append(owner[: len(grams)][inside])
+    return (np.concatenate(found) % np.uint64(settings.buckets)).astype(np.int64), np.concatenate(owners)
 
 
 def again(numbers: np.ndarray, look_back: int) -> int:
@@ -68,14 +67,17 @@ def again_bucket(settings: Settings) -> int:
     return xxhash.xxh3_64_intdigest(b"\x00again") % settings.buckets
 
 
-def features(text: bytes | None, table: Features) -> np.ndarray:
-    """All features of a whole text, repeats included."""
+def features(text: bytes | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the features of a whole text, and the share of each; both empty without words."""
     words = (text or b"").split()
     if not words:
-        return np.empty(0, np.int64)
-    s = table.settings
-    marks = np.full(again(WordIds().of(words), s.look_back), again_bucket(s))
-    return np.concatenate([*map(table.__getitem__, words), marks])
+        return np.empty(0, np.int64), np.empty(0)
+    distinct, counts = zip(*Counter(words).items())
+    found, owner = word_features(list(distinct), settings)
+    total = np.bincount(found, np.array(counts, float)[owner], settings.buckets)
+    total[again_bucket(settings)] += again(WordIds().of(words), settings.look_back)
+    used = np.flatnonzero(total)
+    return used, total[used] / total.sum()
 
 
 def train(rows: list[tuple[bytes | None, int]], settings: Settings) -> tuple[np.ndarray, float]:
@@ -84,15 +86,11 @@ def train(rows: list[tuple[bytes | None, int]], settings: Settings) -> tuple[np.
     Without rows of both classes every weight is 0 and the bias says the known class.
     """
     rng = np.random.default_rng(settings.seed)
-    table = Features(settings)
     labels = np.array([y for _, y in rows])
     if not len(rows) or labels.min() == labels.max():
         known = 0.0 if not len(rows) else (4.0 if labels[0] == 1 else -4.0)
         return np.zeros(settings.buckets), known
-    bags = []
-    for text, _ in rows:
-        found, counts = np.unique(features(text, table), return_counts=True)
-        bags.append((found, counts / max(1, counts.sum())))
+    bags = [features(text, settings) for text, _ in rows]
     vectors = rng.uniform(-1, 1, (settings.buckets, settings.width)) / settings.width
     layer = np.zeros((settings.width, 2))
     bias = np.zeros(2)
@@ -123,35 +121,55 @@ class _Sums(dict):
 
     def __init__(self, weights: np.ndarray, settings: Settings):
         super().__init__()
-        self.weights, self.table = weights, Features(settings)
-        self.sums, self.counts = np.zeros(1024), np.zeros(1024)
+        self.weights, self.settings = weights, settings
+        self.sums, self.counts = np.zeros(0), np.zeros(0)
+
+    def learn(self, texts_: list[list[bytes]]) -> None:
+        """Make sure that all words of these texts have a row."""
+        if len(self) > self.LIMIT:
+            self.clear()
+            self.sums, self.counts = np.zeros(0), np.zeros(0)
+        new = [w for w in set().union(*texts_) if w not in self]
+        if new:
+            found, owner = word_features(new, self.settings)
+            self.update(zip(new, range(len(self), len(self) + len(new))))
+            self.sums = np.r_[self.sums, np.bincount(owner, self.weights[found], len(new))]
+            self.counts = np.r_[self.counts, np.bincount(owner, minlength=len(new))]
 
-    def __missing__(self, word: bytes) -> int:
-        row = self[word] = len(self)
-        if row >= len(self.sums):
-            self.sums, self.counts = (np.concatenate([x, np.zeros(len(x))]) for x in (self.sums, self.counts))
-        found = self.table[word]
-        self.sums[row], self.counts[row] = self.weights[found].sum(), len(found)
-        return row
+
+#: Words of texts that are looked up together.
+CHUNK_WORDS = 300_000
+
+
+def _chunks(batch: pa.RecordBatch):
+    held, n = [], 0
+    for text in texts(batch):
+        words = (text or b"").split()
+        held.append(words)
+        n += len(words)
+        if n >= CHUNK_WORDS:
+            yield held
+            held, n = [], 0
+    yield held
 
 
 def _scorer(weights: np.ndarray, bias: float, settings: Settings, name: str) -> Callable[[Batches], Batches]:
     mark = float(weights[again_bucket(settings)])
 
-    def score(text: bytes | None, words_of: _Sums) -> float:
-        words = (text or b"").split()
-        if len(words_of) > _Sums.LIMIT:
-            words_of.clear()
-        rows = np.fromiter(map(words_of.__getitem__, words), np.int64, len(words))
+    def score(words: list[bytes], known: _Sums) -> float:
+        rows = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         marks = again(rows, settings.look_back)
-        n = words_of.counts[rows].sum() + marks
-        z = bias + ((words_of.sums[rows].sum() + marks * mark) / n if n else 0.0)
+        n = known.counts[rows].sum() + marks
+        z = bias + ((known.sums[rows].sum() + marks * mark) / n if n else 0.0)
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
     def run(batches: Batches) -> Batches:
-        words_of = _Sums(weights, settings)
+        known = _Sums(weights, settings)
         for batch in batches:
-            scores = [score(t, words_of) for t in texts(batch)]
+            scores = []
+            for chunk in _chunks(batch):
+                known.learn(chunk)
+                scores += [score(words, known) for words in chunk]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, name])
 
