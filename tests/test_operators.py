@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.config import AlertRule
-from tillstream.operators import alerts, dedup, fixtures, joins, metrics, search
+from tests import fixtures
+from tillstream.operators import alerts, dedup, joins, metrics, search
 from tillstream.streaming.sinks import KeyedTable, upsert, with_auto_id
 
 

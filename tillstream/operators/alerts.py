@@ -67,19 +67,29 @@ def _slot_start(slot: Column, seconds: int, like: T.DataType) -> Column:
     return F.timestamp_seconds(slot * seconds)
 
 
+def event_counts(rule: AlertRule) -> list[Column]:
+    """Counts of one device and account: events, browses, coupons."""
+    evid = F.col("evid")
+    return [
+        F.count(F.lit(1)).alias("n_events"),
+        F.count_if(is_browse(rule, evid)).alias("n_browse"),
+        F.count_if(is_coupon(rule, evid)).alias("n_coupon"),
+    ]
+
+
 def window_counts(events: DataFrame, rule: AlertRule, ts: str = "event_time") -> DataFrame:
     """Counts per device and window: events, browses, coupon accounts.
 
     Events without a device are left out: they come from many unknown devices, not from one.
     """
-    evid, slide = F.col("evid"), seconds_of(rule.slide)
     per_slot = events.where(F.col("mid").isNotNull()).groupBy(
-        "mid", _slot(events, ts, slide).alias("slot"), "uid"
-    ).agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.count_if(is_browse(rule, evid)).alias("n_browse"),
-        F.count_if(is_coupon(rule, evid)).alias("n_coupon"),
-    )
+        "mid", _slot(events, ts, seconds_of(rule.slide)).alias("slot"), "uid").agg(*event_counts(rule))
+    return windows_of_slots(per_slot, rule, events.schema[ts].dataType)
+
+
+def windows_of_slots(per_slot: DataFrame, rule: AlertRule, kind: T.DataType) -> DataFrame:
+    """Window counts from counts per device, slot and account; slots are as long as the slide."""
+    slide = seconds_of(rule.slide)
     if windows_per_event(rule) == 1:
         counts = per_slot.groupBy("mid", F.col("slot").alias("first")).agg(
             F.sum("n_events").alias("n_events"),
@@ -88,7 +98,7 @@ def window_counts(events: DataFrame, rule: AlertRule, ts: str = "event_time") ->
         )
     else:
         counts = _sliding_counts(per_slot, windows_per_event(rule))
-    start = _slot_start(F.col("first"), slide, events.schema[ts].dataType)
+    start = _slot_start(F.col("first"), slide, kind)
     return counts.select("mid", start.alias("window_start"), "n_events", "n_browse", "n_uids")
 
 

@@ -21,6 +21,45 @@ def json_decode(spark, folder):
     return ingest.good_rows(decoded)
 
 
+LINES_SQL = """
+select event_id, event_type, json_extract_string(props, '$.k') as mid, case event_type
+    when 'error' then 'broken ' || event_id
+    when 'signup' then '{"mid":"' || json_extract_string(props, '$.k') || '","uid":"' || event_id || '"}'
+    else '{"mid":"' || json_extract_string(props, '$.k') || '","uid":"' || event_id || '","ts":' || epoch_ms(ts) || '}' end as value
+from events
+"""
+
+
+def _lines(spark, folder) -> DataFrame:
+    """Events as raw log lines, of which some are no JSON and some have no time."""
+    mid, uid = F.get_json_object("props", "$.k"), F.col("event_id").cast("string")
+    kind, ms = F.col("event_type"), F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    head = F.concat(F.lit('{"mid":"'), mid, F.lit('","uid":"'), uid)
+    value = F.when(kind == "error", F.concat(F.lit("broken "), uid)).when(
+        kind == "signup", F.concat(head, F.lit('"}'))).otherwise(F.concat(head, F.lit('","ts":'), ms, F.lit("}")))
+    return table(spark, folder, "events").select("event_id", value.alias("value"))
+
+
+@query(f"""
+select 'event' as kind, case event_type when 'error' then 'not readable' else 'without ts' end as reason, value
+from ({LINES_SQL}) where event_type in ('error', 'signup')
+""")
+def json_quarantine(spark, folder):
+    return ingest.rejected(_lines(spark, folder), "event")
+
+
+@query(f"""
+select event_id, case when event_type <> 'error' then '1704067200000' end as ts,
+       case when event_type <> 'error' then mid end as mid, case when event_type = 'error' then value end as unchanged
+from ({LINES_SQL})
+""")
+def stamp_line(spark, folder):
+    stamped = ingest.stamp_line(_lines(spark, folder), F.lit(1704067200000))
+    ts = F.get_json_object("value", "$.ts")
+    return stamped.select(
+        "event_id", ts.alias("ts"), F.get_json_object("value", "$.mid").alias("mid"), F.when(ts.isNull(), F.col("value")).alias("unchanged"))
+
+
 @query("""
 select o_orderkey, to_json({'id': o_orderkey, 'user_id': o_custkey, 'order_status': o_orderstatus})::varchar as value
 from orders

@@ -9,7 +9,8 @@ from tillstream.plans.catalog import query
 from tillstream.plans.ingest_queries import DETAIL_ID, USERS_SQL
 from tillstream.sources import domain
 from tillstream.sources.files import table
-from tillstream.streaming.sinks import upsert
+from tillstream.session import scratch_path
+from tillstream.streaming.sinks import KeyedTable
 
 SALES_DOC_SQL = f"""
 select {DETAIL_ID} as order_detail_id, o_orderkey as order_id, o_orderstatus as order_status,
@@ -60,33 +61,31 @@ def unmatched_side(spark, folder):
 
 @query(f"""
 select o_orderkey, o_custkey, c_mktsegment as user_gender, user_level, age as user_age from orders left join (
-  select *, case when c_mktsegment = 'MACHINERY' then c_nationkey + 100 else c_nationkey end as user_level
-  from ({USERS_SQL}) where c_mktsegment = 'MACHINERY' or c_nationkey <> 0
+  select *, case when c_mktsegment = 'MACHINERY' then c_nationkey + 100 else c_nationkey end as user_level from ({USERS_SQL})
 ) on o_custkey = c_custkey
 """)
 def user_enrich(spark, folder):
-    # Recently changed users come from the cache, the others from the base table, some from neither.
+    # Recently changed users come from the cache with their new level, all others from the base table.
     users = domain.user_infos(table(spark, folder, "customer"))
     cache = users.where(F.col("gender") == "MACHINERY").withColumn("user_level", F.col("user_level") + 100)
-    base = users.where(F.col("user_level") != 0)
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
-    out = joins.enrich_with_users(orders, joins.two_level_users(cache, base), F.lit(domain.AS_OF))
+    out = joins.enrich_with_users(orders, joins.two_level_users(cache, users), F.lit(domain.AS_OF))
     return out.withColumnRenamed("user_id", "o_custkey")
 
 
 @query("""
-with s as (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as rn
-           from events where event_type in ('signup', 'purchase'))
-select cast(user_id as varchar) as doc_id, event_id, event_type, value from (
-  select *, row_number() over (partition by user_id order by case event_type when 'purchase' then 0 else 1 end) as pick
-  from s where rn = 1) where pick = 1
+with d as (select cast(user_id as varchar) as doc_id, event_id, event_type, value, ts,
+                  case when event_type = 'purchase' then 1 else 0 end as batch from events)
+select doc_id, event_id, event_type, value from (
+  select *, row_number() over (partition by doc_id order by batch desc, ts desc, event_id desc) as rn from d) where rn = 1
 """)
 def doc_upsert_bulk(spark, folder):
-    # Stored documents: the last sign-up per user. Upserted: purchases, several per user.
+    # Two batches through the table that the jobs use: purchases come last, several per document.
     docs = table(spark, folder, "events").select(
-        F.col("user_id").cast("string").alias("doc_id"), "event_id", "event_type", "value", "ts"
+        F.col("user_id").cast("string").alias("doc_id"), "event_id", "event_type", "value", "ts", F.lit("all").alias("dt")
     )
-    order = ["ts", "event_id"]
-    none = docs.where(F.lit(False))
-    stored = upsert(none, docs.where(F.col("event_type") == "signup"), ["doc_id"], order)
-    return upsert(stored, docs.where(F.col("event_type") == "purchase"), ["doc_id"], order).drop("ts")
+    stored = KeyedTable(scratch_path(spark, "documents"), ("doc_id",), "dt", ("ts", "event_id"))
+    bought = F.col("event_type") == "purchase"
+    for batch_id, rows in enumerate((docs.where(~bought), docs.where(bought), docs.where(bought))):
+        stored.write_batch(rows, min(batch_id, 1))
+    return stored.read(spark, docs.schema).drop("ts", "dt")

@@ -1,17 +1,16 @@
 """Streaming forms run over the whole tables, each compared with the SQL of its batch form.
 
-A table need not arrive in time order, so the watermarks here are wider than the data: no row
-is late, and the streaming result is the whole result.
+Each table is one file and so arrives in one batch. The watermark moves between batches only, so
+no row is late and the streaming result is the whole result, with watermarks as a job would set
+them; the batch without data that follows drops the state behind them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.config import JoinBound
+from tillstream.operators.alerts import fired, windows_of_slots
 from tillstream.plans.alert_queries import SLIDING_SQL, TEXT
 from tillstream.plans.catalog import query
 from tillstream.plans.metric_queries import FIRST_SQL
@@ -21,39 +20,19 @@ from tillstream.sources.files import table_stream
 from tillstream.streaming import stateful
 from tillstream.streaming.sinks import KeyedTable, upper_names
 
-NEVER_LATE = "36500 days"
-
 
 def _zoned(df: DataFrame, *columns: str) -> DataFrame:
     """Watermarks need timestamps with a zone."""
     return df.withColumns({c: F.col(c).cast("timestamp") for c in columns})
 
 
-@contextmanager
-def _state_partitions(spark: SparkSession) -> Iterator[None]:
-    """Start a stream with at most one state partition per core.
-
-    Every batch visits every state partition, so more of them than cores only cost time. A
-    stream keeps the number it started with; the session's own setting is put back.
-    """
-    key = "spark.sql.shuffle.partitions"
-    usual = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(usual), spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, usual)
-
-
 def _upserted(spark: SparkSession, stream: DataFrame, table: KeyedTable, mode: str) -> DataFrame:
     """Run a stream through a keyed table until its input is used up, and read the result."""
     writer = (
         stream.writeStream.outputMode(mode).foreachBatch(table.write_batch)
         .option("checkpointLocation", f"{table.path}-checkpoint").trigger(availableNow=True)
     )
-    with _state_partitions(spark):
-        done = writer.start()
-    done.awaitTermination()
+    writer.start().awaitTermination()
     return table.read(spark, stream.schema)
 
 
@@ -63,9 +42,7 @@ def _appended(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
         stream.writeStream.format("parquet").option("path", path)
         .option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True)
     )
-    with _state_partitions(spark):
-        done = writer.start()
-    done.awaitTermination()
+    writer.start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -79,8 +56,8 @@ DAILY_SQL = f"select log_date, log_hour, event_id, user_id as mid, event_type as
 
 @query(DAILY_SQL)
 def stream_daily_first(spark, folder):
-    first = stateful.daily_first_updates(_logs(spark, folder), ["event_time", "event_id"], NEVER_LATE)
-    table = KeyedTable(scratch_path(spark, "daily"), ("mid",), "log_date", ("event_time",))
+    first = stateful.daily_first_updates(_logs(spark, folder), ["event_time", "event_id"])
+    table = KeyedTable(scratch_path(spark, "daily"), ("mid",), "log_date", ("event_time", "event_id"), earliest=True)
     return _upserted(spark, first, table, "update").drop("event_time")
 
 
@@ -97,7 +74,7 @@ def stream_order_detail_join(spark, folder):
     )
     joined = stateful.orders_with_lines(
         _zoned(orders, "order_arrival"), _zoned(details, "detail_arrival"),
-        JoinBound(seconds=30 * 86400, watermark=NEVER_LATE, salts=4), "o_orderkey", "l_orderkey",
+        JoinBound(seconds=30 * 86400, watermark="30 days", salts=4), "o_orderkey", "l_orderkey",
     )
     columns = ["o_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     return _appended(spark, joined.select(*columns), "joined")
@@ -106,15 +83,17 @@ def stream_order_detail_join(spark, folder):
 @query(f"""
 select mid, {TEXT.format('window_start')} as window_start, n_uids, n_events from ({SLIDING_SQL})
 where n_uids >= 3 and n_browse = 0
-  and window_start + interval 1 day <= (select max(ts) - interval 1 minute from events)
 """)
 def stream_sliding_alert(spark, folder):
-    # Append mode gives out a window once the watermark, a minute behind the newest event,
-    # has passed its end.
+    # Counts per slot are kept up to date in a table; windows that are still open count as well.
+    rule = domain.SLIDING_RULE
     events = _zoned(domain.event_logs(table_stream(spark, folder, "events")), "event_time")
-    alerts = stateful.windowed_alerts(events, domain.SLIDING_RULE, "1 minute")
-    start = F.substring(F.col("window_start").cast("string"), 1, 19).alias("window_start")
-    return _appended(spark, alerts.select("mid", start, "n_uids", "n_events"), "alerts")
+    slots = stateful.slot_counts(events, rule)
+    day = F.to_date("slot_start").cast("string")
+    table = KeyedTable(scratch_path(spark, "slots"), ("slot", "mid", "uid"), "dt")
+    stored = _upserted(spark, slots.withColumn("dt", day), table, "update").drop("dt", "slot_start")
+    found = fired(windows_of_slots(stored, rule, events.schema["event_time"].dataType), rule)
+    return found.select("mid", F.substring(F.col("window_start").cast("string"), 1, 19).alias("window_start"), "n_uids", "n_events")
 
 
 @query("""

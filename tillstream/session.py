@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,17 +34,10 @@ def configure(builder: SparkSession.Builder, shuffle_partitions: int | None = No
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for checkpoints and intermediate tables.
-
-    A cluster names a shared folder in ``spark.checkpoint.dir``. Only where that is unset and
-    everything runs on one machine (tests) a temporary folder is made.
-    """
+    """Folder for checkpoints and intermediate tables: ``spark.checkpoint.dir``, which a cluster
+    sets to a folder that all executors share, or else one in the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="tillstream-")
+    return (root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

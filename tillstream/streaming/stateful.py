@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 import tillstream
 from tillstream.config import AlertRule, JoinBound
-from tillstream.operators.alerts import fired, is_browse, is_coupon, seconds_of
+from tillstream.operators.alerts import event_counts, fired, is_browse, is_coupon, seconds_of
 
 # The processors travel to the workers as code, so these need no copy of the package.
 cloudpickle.register_pickle_by_value(tillstream)
@@ -151,6 +151,25 @@ def _near(bound: JoinBound, order_key: str, detail_key: str, order_time: str, de
 # --- coupon alerts ---------------------------------------------------------------------------
 
 
+def slot_counts(events: DataFrame, rule: AlertRule = AlertRule(), watermark: str = "1 minute",
+                ts: str = "event_time") -> DataFrame:
+    """Counts per device, slot and account as a streaming aggregate (use output mode ``update``).
+
+    A row of state per slot instead of one per window, whatever the slide. Stored under (slot,
+    device, account), they give the counts of all windows, open ones included, through
+    ``alerts.windows_of_slots``.
+    """
+    slide = seconds_of(rule.slide)
+    counted = (
+        events.where(F.col("mid").isNotNull()).withWatermark(ts, watermark)
+        .groupBy(F.window(ts, rule.slide).alias("window"), "mid", "uid").agg(*event_counts(rule))
+    )
+    start = F.col("window.start")
+    return counted.select(
+        F.floor(F.unix_seconds(start) / slide).alias("slot"), start.alias("slot_start"), "mid", "uid",
+        "n_events", "n_browse", "n_coupon")
+
+
 def windowed_alerts(events: DataFrame, rule: AlertRule = AlertRule(), watermark: str = "1 minute",
                     ts: str = "event_time") -> DataFrame:
     """Alerts of closed windows, in append mode.
@@ -158,15 +177,10 @@ def windowed_alerts(events: DataFrame, rule: AlertRule = AlertRule(), watermark:
     Two chained aggregates: per account first, then per device. Distinct accounts are counted
     rows, so the state holds numbers only and a hot device is spread over its accounts.
     """
-    evid = F.col("evid")
     per_account = (
         events.where(F.col("mid").isNotNull()).withWatermark(ts, watermark)
         .groupBy(F.window(ts, rule.window, rule.slide).alias("window"), "mid", "uid")
-        .agg(
-            F.count(F.lit(1)).alias("n_events"),
-            F.count_if(is_browse(rule, evid)).alias("n_browse"),
-            F.count_if(is_coupon(rule, evid)).alias("n_coupon"),
-        )
+        .agg(*event_counts(rule))
     )
     counts = per_account.groupBy("window", "mid").agg(
         F.sum("n_events").alias("n_events"),
