@@ -7,6 +7,10 @@ and only documents that meet are compared. Overlaps are then counted fragment by
 summed per pair. The hash order needs no counting pass and cuts evenly; a common passage never
 fills a whole fragment, so it makes nobody meet.
 
+Before that, most documents are found to have no partner at all: in one stretch of the order all
+n-grams are counted, and a set with more n-grams there that no other set has than a link allows to
+differ is left alone. Only the others are cut into fragments.
+
 How copies stay cheap without losing a link between different texts:
 
 * equal sets are one node, named by its smallest ``doc_id``;
@@ -25,8 +29,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tillstream.llm import block_repeats as packing
 from tillstream.llm.components import components
-from tillstream.llm.scratch import save
+from tillstream.llm.scratch import partitions, save
 from tillstream.llm.words import Batches, WordIds, lists, mix, shingle_set, signed, texts
 
 #: Fragments for counting overlaps, and finer ones whose sizes bound the difference of two sets.
@@ -35,6 +40,9 @@ SIZE_BITS = 6
 #: Fragments beyond ``d + 1``: so many may be empty in a set before "empty" is announced as well.
 SPARE = 2
 GROWTH = 1.25
+#: Eighths of the order in which n-grams are counted. A set without partner has about this share of
+#: its n-grams there, which must be clearly more than the share that a link allows to differ.
+COUNTED_EIGHTHS = 3
 
 
 @dataclass(frozen=True)
@@ -81,6 +89,87 @@ def meeting_keys(values: np.ndarray, table: list[Level], percent: int) -> np.nda
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
+def _names(n: int):
+    def run(batches: Batches) -> Batches:
+        ids = WordIds()
+        for batch in batches:
+            sets = [shingle_set(ids.of((t or b"").lower().split()), n) for t in texts(batch)]
+            names = [xxhash.xxh3_128_digest(v.tobytes()) if len(v) else None for v in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(v) for v in sets], pa.int64()), pa.array(names, pa.binary())],
+                ["doc_id", "n_shingles", "set_id"])
+
+    return run
+
+
+def _counted(n: int, bins: int):
+    """Packed n-grams of the counted stretch; flagged are those that a group holds more than once."""
+
+    def run(batches: Batches) -> Batches:
+        ids = WordIds()
+        for batch in batches:
+            for docs, keys, flags in packing._groups(described(batch, ids)):
+                k, d, _, first = packing._local(docs, keys, flags)
+                if len(k):
+                    starts = np.flatnonzero(first)
+                    many = np.diff(np.r_[starts, len(k)]) > 1
+                    yield packing._rows(packing._bin_of(k[starts], bins), d[starts], k[starts], many, np.uint32)
+
+    def described(batch, ids):
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+            values = shingle_set(ids.of((text or b"").lower().split()), n)
+            values = values[: np.searchsorted(values, np.uint64(COUNTED_EIGHTHS << 61))]
+            if doc_id is not None and len(values):
+                yield doc_id, values, np.zeros(len(values), bool)
+
+    return run
+
+
+def _alone(groups: int):
+    """For each document of one range of hashes, how many n-grams no other one has; packed by group."""
+
+    def run(key, table):
+        docs, many, grams = packing._unpack(table, np.uint32)
+        order = np.argsort(grams, kind="stable")
+        docs, many, grams = docs[order], many[order], grams[order]
+        edge = grams[1:] != grams[:-1]
+        own = np.r_[True, edge] & np.r_[edge, True] & ~many
+        found, counts = np.unique(docs[own], return_counts=True)
+        part = found % groups
+        order = np.argsort(part, kind="stable")
+        part, found, counts = part[order], found[order], counts[order]
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.empty(0, int)
+        offsets = pa.array(np.r_[starts, len(part)].astype(np.int32))
+        return pa.table({
+            "part": pa.array(part[starts], pa.int64()),
+            "docs": pa.ListArray.from_arrays(offsets, pa.array(found, pa.int64())),
+            "counts": pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int32()))})
+
+    return run
+
+
+def _summed(table):
+    docs, counts = (np.concatenate([np.asarray(x) for x in table.column(c).to_pylist()]) for c in ("docs", "counts"))
+    found, place = np.unique(docs.astype(np.int64), return_inverse=True)
+    return pa.table({"doc_id": pa.array(found, pa.int64()), "n_alone": pa.array(np.bincount(place, counts).astype(np.int64))})
+
+
+def may_link(rows: DataFrame, named: DataFrame, n: int, percent: int) -> DataFrame:
+    """``doc_id`` of the documents that the n-grams of the counted stretch leave a chance of a partner.
+
+    A partner must hold all but ``(100 - percent) %`` of a set. A document with more n-grams of its own
+    than that is left out; rows that share a ``doc_id`` are judged for the smallest of their sets.
+    """
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bins = max(partitions(rows.sparkSession), size // packing.RANGE_BYTES + 1)
+    packed = rows.mapInArrow(_counted(n, bins), packing.PACKED).groupBy("bin").applyInArrow(
+        _alone(bins), "part long, docs array<long>, counts array<int>")
+    alone = packed.groupBy("part").applyInArrow(_summed, "doc_id long, n_alone long")
+    per_doc = named.groupBy("doc_id").agg(F.sum("n_shingles").alias("total"), F.min("n_shingles").alias("least"))
+    left = 100 * F.coalesce("n_alone", F.lit(0)) <= 100 * F.col("total") - percent * F.col("least")
+    return per_doc.join(alone, "doc_id", "left").where(left).select("doc_id")
+
+
 def _describe(n: int, percent: int):
     table = levels(percent)
 
@@ -130,13 +219,6 @@ def _segments(n: int):
     return run
 
 
-def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """One row per document: size of its set, the set's name, its meeting keys and fragment sizes."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _describe(n, percent),
-        "doc_id long, n_shingles long, set_id binary, keys array<long>, shape array<short>")
-
-
 def _verified(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that link: overlaps counted by fragment, then summed."""
     left = segments.select(F.col("node").alias("a"), F.col("set_id").alias("set_a"), "part", F.col("grams").alias("x"))
@@ -208,17 +290,20 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     and form a component of their own. Rows that share a ``doc_id`` are one document, and rows
     without one get a null component. Further columns of ``docs`` are ignored; no rows give none.
     """
-    described = save(describe(docs, n, percent), "sets")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    described = save(rows.mapInArrow(_names(n), "doc_id long, n_shingles long, set_id binary"), "sets")
     named = described.where("doc_id is not null and set_id is not null")
-    sizes = named.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"))
-    sizes = save(sizes, "set_names")
-    nodes = named.join(
-        sizes.select(F.col("node").alias("doc_id"), "set_id"), ["doc_id", "set_id"], "left_semi")
+    sizes = save(named.groupBy("set_id").agg(
+        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles")), "set_names")
+    open_ = may_link(rows, named, n, percent).join(sizes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    rows = save(rows.join(open_, "doc_id", "left_semi"), "open_texts")
+    keyed = rows.mapInArrow(
+        _describe(n, percent), "doc_id long, n_shingles long, set_id binary, keys array<long>, shape array<short>")
+    nodes = save(keyed.join(sizes.select(F.col("node").alias("doc_id"), "set_id"), ["doc_id", "set_id"], "left_semi"), "nodes")
     meetings = save(_meetings(nodes), "meetings")
     wanted = meetings.select(F.col("node").alias("doc_id")).distinct()
     segments = save(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .join(wanted, "doc_id", "left_semi").mapInArrow(
+        rows.join(wanted, "doc_id", "left_semi").mapInArrow(
             _segments(n), "node long, set_id binary, part int, grams array<long>")
         .dropDuplicates(["node", "set_id", "part"]), "segments")
     stars = save(_stars(meetings), "stars")
