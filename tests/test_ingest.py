@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillstream import schemas
@@ -82,4 +83,6 @@ def test_connector_options(spark):
     raw = spark.createDataFrame([(bytearray(b"{}"),)], "value binary").withColumn("timestamp", F.current_timestamp())
     assert kafka.lines(raw).first().value == "{}"
     r = jdbc.read_options("u", "t", partition_column="id", lower=0, upper=10, partitions=4)
+    with pytest.raises(ValueError):
+        jdbc.read(None, "u", "t")
     assert r["numPartitions"] == "4" and jdbc.write_options("u", "t", batch_size=7)["batchsize"] == "7"

@@ -14,6 +14,8 @@ from tillstream.config import METRIC_DAU, METRIC_NEW_DEVICE, METRIC_ORDER_AMOUNT
 from tillstream.functions import exact_sum, prev_day
 
 HOURS = 24
+# Titles of the totals.
+TOTAL_NAMES = {METRIC_DAU: "新增日活", METRIC_NEW_DEVICE: "新增设备", METRIC_ORDER_AMOUNT: "新增交易额"}
 
 
 def _of_day(df: DataFrame, column: str, day: str | None) -> DataFrame:
@@ -72,10 +74,10 @@ def new_devices(logs: DataFrame, day: str | None = None) -> DataFrame:
 
 
 def concat_metrics(frames: list[tuple[str, DataFrame]], day: str, value: str) -> DataFrame:
-    """Several per-day metrics as rows ``(day, ord, id, value)`` in the given order."""
+    """Several per-day metrics as rows ``(day, ord, id, name, value)`` in the given order."""
     parts = [
         df.select(
-            F.col(day), F.lit(i).alias("ord"), F.lit(name).alias("id"),
+            F.col(day), F.lit(i).alias("ord"), F.lit(name).alias("id"), F.lit(TOTAL_NAMES.get(name)).alias("name"),
             F.col(value).cast("double").alias("value"),
         )
         for i, (name, df) in enumerate(frames)
@@ -131,6 +133,18 @@ def day_over_day(hours: DataFrame, day: str, hour: str, value: str, only: str |
     return out if only is None else out.where(F.col("day") == only)
 
 
+def hours_reply(hours: DataFrame, day: str, hour: str, value: str, only: str | None = None) -> DataFrame:
+    """One row per day with two maps of hour to value, ``yesterday`` and ``today``; at most 24 entries
+    each. A day of which neither side has a row gives no row."""
+    sides = day_over_day(hours, day, hour, value, only)
+
+    def side(name: str) -> Column:
+        known = F.col("hour").isNotNull() & F.col(name).isNotNull()
+        return F.map_from_entries(F.sort_array(F.collect_list(F.when(known, F.struct("hour", name))))).alias(name)
+
+    return sides.groupBy("day").agg(side("yesterday"), side("today"))
+
+
 def densify_hours(hours: DataFrame, day: str, hour: str, value: str, days: list[str] | None = None) -> DataFrame:
     """All 24 hours of every day present, or of the given ``days``; a missing value becomes 0.
 

@@ -139,12 +139,12 @@ def rows_to_map(spark, folder):
 
 
 @query(f"""
-select log_date, 0 as ord, 'dau' as id, cast(count(*) as double) as value from ({FIRST_SQL}) group by 1
+select log_date, 0 as ord, 'dau' as id, '{metrics.TOTAL_NAMES['dau']}' as name, cast(count(*) as double) as value from ({FIRST_SQL}) group by 1
 union all
-select first_day, 1, 'new_mid', cast(count(*) as double) from (
+select first_day, 1, 'new_mid', '{metrics.TOTAL_NAMES['new_mid']}', cast(count(*) as double) from (
   select user_id, strftime(min(ts), '%Y-%m-%d') as first_day from events group by 1) group by 1
 union all
-select create_date, 2, 'order_amount', cast(sum(cast(sum_amount as decimal(18, 2))) as double)
+select create_date, 2, 'order_amount', '{metrics.TOTAL_NAMES['order_amount']}', cast(sum(cast(sum_amount as decimal(18, 2))) as double)
 from ({SALES_SQL}) group by 1
 """)
 def realtime_total(spark, folder):
@@ -175,6 +175,21 @@ def day_over_day(spark, folder):
     return metrics.day_over_day(metrics.dau_by_hour(visits(spark, folder)), "log_date", "log_hour", "ct")
 
 
+@query(f"""
+select day, coalesce(string_agg(hour || '=' || yesterday, ',' order by hour), '') as yesterday,
+       coalesce(string_agg(hour || '=' || today, ',' order by hour), '') as today
+from ({_day_over_day_sql(DAU_HOURS_SQL, "log_date", "log_hour", "ct")}) group by day
+""")
+def realtime_hours_reply(spark, folder):
+    reply = metrics.hours_reply(metrics.dau_by_hour(visits(spark, folder)), "log_date", "log_hour", "ct")
+
+    def text(side):
+        entries = F.transform(F.map_entries(side), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+        return F.array_join(F.array_sort(entries), ",").alias(side)
+
+    return reply.select("day", text("yesterday"), text("today"))
+
+
 @query(_day_over_day_sql(SALES_SQL, "create_date", "create_hour", "sum_amount"))
 def day_over_day_amount(spark, folder):
     hours, day, hour, value = metrics.select_metric("order_amount", visits(spark, folder), sales(spark, folder))

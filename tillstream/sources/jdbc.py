@@ -20,8 +20,13 @@ def read_options(url: str, table: str, user: str = "", password: str = "", fetch
     return options
 
 
-def read(spark: SparkSession, url: str, table: str, **kwargs) -> DataFrame:
-    """A table as a DataFrame; filters and column lists are pushed to the database."""
+def read(spark: SparkSession, url: str, table: str, single_task: bool = False, **kwargs) -> DataFrame:
+    """A table as a DataFrame; filters and column lists are pushed to the database.
+
+    Name a partition column, or say that the table is small enough for one task.
+    """
+    if kwargs.get("partition_column") is None and not single_task:
+        raise ValueError("give a partition column with its range, or single_task=True for a small table")
     return spark.read.format("jdbc").options(**read_options(url, table, **kwargs)).load()
 
 
