@@ -16,8 +16,9 @@ How copies stay cheap without losing a link between different texts:
 * equal sets are one node, named by its smallest ``doc_id``;
 * in every meeting list one central set (the one that meets most others) is compared with the
   rest first, and the links found are contracted to components;
-* after that, only members of different components are compared, and only if the sizes of their
-  fragments allow a link (``|x - y|`` cannot be below the sum of the size differences).
+* after that, only members of different components are compared, and only if the parities of their
+  fragment sizes allow a link (sets differ in at least as many n-grams as there are fragments of
+  which one has an even and the other an odd number).
 """
 
 from __future__ import annotations
@@ -34,9 +35,9 @@ from tillstream.llm.components import components
 from tillstream.llm.scratch import partitions, save
 from tillstream.llm.words import Batches, WordIds, lists, mix, shingle_set, signed, texts
 
-#: Fragments for counting overlaps, and finer ones whose sizes bound the difference of two sets.
+#: Fragments for counting overlaps, and finer ones whose parities bound the difference of two sets.
 COUNT_BITS = 4
-SIZE_BITS = 6
+PARITY_BITS = 10
 #: Fragments beyond ``d + 1``: so many may be empty in a set before "empty" is announced as well.
 SPARE = 2
 GROWTH = 1.25
@@ -176,23 +177,24 @@ def _describe(n: int, percent: int):
     def run(batches: Batches) -> Batches:
         ids = WordIds()
         for batch in batches:
-            sizes, names, keys, shape = [], [], [], []
+            sizes, names, keys, parities = [], [], [], []
             for text in texts(batch):
                 values = shingle_set(ids.of((text or b"").lower().split()), n)
                 sizes.append(len(values))
                 if not len(values):
                     names.append(None)
                     keys.append(values.view(np.int64))
-                    shape.append(np.empty(0, np.int16))
+                    parities.append(np.empty(0, np.int64))
                     continue
                 names.append(xxhash.xxh3_128_digest(values.tobytes()))
                 keys.append(signed(meeting_keys(values, table, percent)))
-                fine = (values >> np.uint64(64 - SIZE_BITS)).astype(np.int64)
-                shape.append(np.minimum(np.bincount(fine, minlength=1 << SIZE_BITS), 32767).astype(np.int16))
+                fine = (values >> np.uint64(64 - PARITY_BITS)).astype(np.int64)
+                odd = np.bincount(fine, minlength=1 << PARITY_BITS) & 1
+                parities.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
-                 lists(keys), lists(shape, pa.int16())],
-                ["doc_id", "n_shingles", "set_id", "keys", "shape"])
+                 lists(keys), lists(parities)],
+                ["doc_id", "n_shingles", "set_id", "keys", "parities"])
 
     return run
 
@@ -260,18 +262,18 @@ def _stars(meetings: DataFrame) -> DataFrame:
 
 
 def _rest(meetings: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs from different components that meet and whose fragment sizes allow a link."""
+    """Pairs from different components that meet and whose sizes and parities allow a link."""
     marked = meetings.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
     open_keys = (
         marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low <> high").select("key")
     )
     rows = marked.join(open_keys, "key").join(
-        nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "shape"), "node"
-    ).select("key", "node", "label", "size", "shape")
+        nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "parities"), "node"
+    ).select("key", "node", "label", "size", "parities")
     x, y = rows.alias("x"), rows.alias("y")
-    differ = F.aggregate(
-        F.zip_with("x.shape", "y.shape", lambda p, q: F.abs(p.cast("int") - q.cast("int"))), F.lit(0), lambda s, v: s + v)
+    differ = F.expr(" + ".join(
+        f"bit_count(x.parities[{i}] ^ y.parities[{i}])" for i in range((1 << PARITY_BITS) // 64)))
     may_link = (
         (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
         & (100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size"))
@@ -298,7 +300,7 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     open_ = may_link(rows, named, n, percent).join(sizes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     rows = save(rows.join(open_, "doc_id", "left_semi"), "open_texts")
     keyed = rows.mapInArrow(
-        _describe(n, percent), "doc_id long, n_shingles long, set_id binary, keys array<long>, shape array<short>")
+        _describe(n, percent), "doc_id long, n_shingles long, set_id binary, keys array<long>, parities array<long>")
     nodes = save(keyed.join(sizes.select(F.col("node").alias("doc_id"), "set_id"), ["doc_id", "set_id"], "left_semi"), "nodes")
     meetings = save(_meetings(nodes), "meetings")
     wanted = meetings.select(F.col("node").alias("doc_id")).distinct()
