@@ -352,6 +352,7 @@ def test_stage_counts_and_log_landing(spark, tmp_path):
     finally:
         spark.streams.removeListener(counts)
     assert [n for _, s, n in counts.counts if s == "decoded"][:2] == [30, 20]
+    assert counts.totals["decoded"] == sum(n for _, s, n in counts.counts if s == "decoded") and counts.totals["first"] > 0
     assert sum(n for _, s, n in counts.counts if s == "late") == 1
     lines = stream(spark, tmp_path / "in").withColumn("ts", F.get_json_object("value", "$.ts").cast("bigint"))
     landed = str(tmp_path / "landed")

@@ -14,23 +14,28 @@ def probe(df: DataFrame, stage: str) -> DataFrame:
 class StageCounts(StreamingQueryListener):
     """Collects the counts of all probes: ``(batch id, stage, rows)``, newest last.
 
-    Rows dropped behind the watermark are listed as the stage ``late``.
+    Rows dropped behind the watermark are listed as the stage ``late``. Single counts beyond the
+    last ``keep`` leave the list; ``totals`` holds the sum of every stage since the start.
     """
 
     def __init__(self, keep: int = 1000) -> None:
-        self.keep, self.counts = keep, []
+        self.keep, self.counts, self.totals = keep, [], {}
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         for stage, row in (event.progress.observedMetrics or {}).items():
-            self.counts.append((event.progress.batchId, stage, row["rows"]))
+            self._count(event.progress.batchId, stage, row["rows"])
         late = late_rows(event.progress)
         if late:
-            self.counts.append((event.progress.batchId, "late", late))
+            self._count(event.progress.batchId, "late", late)
         del self.counts[:-self.keep]
 
+    def _count(self, batch_id: int, stage: str, n: int) -> None:
+        self.counts.append((batch_id, stage, n))
+        self.totals[stage] = self.totals.get(stage, 0) + n
+
     def onQueryIdle(self, event) -> None:
         pass
 
