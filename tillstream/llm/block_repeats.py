@@ -268,7 +268,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, with_text: bool = False) -
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bins = max(partitions(docs.sparkSession), size // RANGE_BYTES + 1)
-    groups = 4 * bins
+    groups = 2 * bins
     part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")).cast("binary")) % groups
     placed = rows.withColumn("part", part)
     reply = "part long, bin int, docs array<long>, counts array<int>, packed binary"
