@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.llm import block_repeats as packing
 from tillstream.llm.components import components
@@ -37,7 +37,7 @@ from tillstream.llm.words import Batches, WordIds, lists, mix, shingle_set, sign
 
 #: Fragments for counting overlaps, and finer ones whose parities bound the difference of two sets.
 COUNT_BITS = 4
-PARITY_BITS = 10
+PARITY_BITS = 9
 #: Fragments beyond ``d + 1``: so many may be empty in a set before "empty" is announced as well.
 SPARE = 2
 GROWTH = 1.25
@@ -261,6 +261,22 @@ def _stars(meetings: DataFrame) -> DataFrame:
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
+def _may_link(x: str, y: str, percent: int) -> Column:
+    """Whether sizes and parities of two nodes allow a link."""
+    differ = F.expr(" + ".join(
+        f"bit_count({x}.parities[{i}] ^ {y}.parities[{i}])" for i in range((1 << PARITY_BITS) // 64)))
+    a, b = F.col(f"{x}.size"), F.col(f"{y}.size")
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * differ <= (100 - percent) * (a + b))
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and parities allow a link; no other is worth shipping its n-grams."""
+    known = nodes.select("doc_id", F.col("n_shingles").alias("size"), "parities")
+    x, y = known.alias("x"), known.alias("y")
+    joined = pairs.join(x, F.col("a") == F.col("x.doc_id")).join(y, F.col("b") == F.col("y.doc_id"))
+    return joined.where(_may_link("x", "y", percent)).select("a", "b").distinct()
+
+
 def _rest(meetings: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs from different components that meet and whose sizes and parities allow a link."""
     marked = meetings.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
@@ -272,14 +288,8 @@ def _rest(meetings: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int
         nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "parities"), "node"
     ).select("key", "node", "label", "size", "parities")
     x, y = rows.alias("x"), rows.alias("y")
-    differ = F.expr(" + ".join(
-        f"bit_count(x.parities[{i}] ^ y.parities[{i}])" for i in range((1 << PARITY_BITS) // 64)))
-    may_link = (
-        (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
-        & (100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size"))
-        & ((100 + percent) * differ <= (100 - percent) * (F.col("x.size") + F.col("y.size")))
-    )
-    return x.join(y, (F.col("x.key") == F.col("y.key")) & may_link).select(
+    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & apart & _may_link("x", "y", percent)).select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
@@ -308,7 +318,7 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         rows.join(wanted, "doc_id", "left_semi").mapInArrow(
             _segments(n), "node long, set_id binary, part int, grams array<long>")
         .dropDuplicates(["node", "set_id", "part"]), "segments")
-    stars = save(_stars(meetings), "stars")
+    stars = save(_plausible(_stars(meetings), nodes, percent), "stars")
     links = save(_verified(stars, segments, sizes, percent), "links")
     rest = _rest(meetings, components(links, "a", "b"), nodes, percent).join(stars, ["a", "b"], "left_anti")
     links = links.union(_verified(rest, segments, sizes, percent))
