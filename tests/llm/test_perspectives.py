@@ -36,3 +36,35 @@ def test_equal_brute_force(spark):
 
 def test_empty_table(spark):
     assert perspectives.render(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_parts_are_one_dialogue(spark):
+    """Parts in order against the brute-force rendering of the whole conversation."""
+    rows = [(1, 0, "system", "rules"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 64, "ann", "late \U0001F600"),
+            (1, 70, "system", "more"), (1, 130, "eve", "new"), (1, 10**12, "bob", "far"), (2, 200, None, "x"), (2, 3, "b", "y"),
+            (3, 0, "system", "nobody"), (None, 0, "user", "lost"), (4, None, "user", "lost"), (4, None, "user", "too"), (4, 1, "user", "in")]
+    rows += [(5, t, ["ann", "bob", "system", "eve"][t % 4], f"say {t}") for t in range(200)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = {}
+    for c, who, _, n, k, text, mask in _brute_whole(rows):
+        whole.setdefault((c, who), []).append((n, k, text, mask))
+    got = {}
+    for r in sorted(perspectives.dialogues(turns, context=True).collect(), key=lambda r: (r.part is not None, r.part or 0, r.text)):
+        joined = got.setdefault((r.conv_id, r.participant, None if r.part is not None else r.text), [])
+        if r.conv_id == 1:
+            assert r.context.count("rules") == (r.part > 0) and r.context.count("more") == (r.part > 1)
+        joined.append(r)
+    merged = {}
+    for (c, who, _), rs in got.items():
+        merged.setdefault((c, who), []).append((sum(r.n_turns for r in rs), sum(r.n_trained for r in rs), "".join(r.text for r in rs),
+                                                ",".join(r.mask for r in rs if r.mask)))
+    assert {k: sorted(v) for k, v in merged.items()} == {k: sorted(v) for k, v in whole.items()}
+    assert sorted(r.part for r in got[1, "eve", None]) == [0, 1, 2, 10**12 // 64]
+
+
+def _brute_whole(rows):
+    turns, perspectives.TURNS = perspectives.TURNS, 10**15
+    try:
+        return brute(rows)
+    finally:
+        perspectives.TURNS = turns

@@ -266,4 +266,4 @@ from placed group by conv_id, part, participant
 """)
 def op6_perspectives(spark, folder):
     """Every conversation as training text from each participant's perspective."""
-    return perspectives.render(read(spark, folder, "conversations"))
+    return perspectives.dialogues(read(spark, folder, "conversations"))
