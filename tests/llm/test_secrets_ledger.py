@@ -65,3 +65,23 @@ def test_further_rules_and_masking(spark, make_docs):
 def test_empty_table(spark, make_docs):
     found, done, findings = ledger.scan(make_docs([]), "doc_id")
     assert found.count() == done.count() == findings.count() == 0
+
+
+def test_no_line_of_a_key_is_left(spark, make_docs):
+    lines = ["MIIEow" + "aB3+/" * 11 + "xyz", "Q" * 64, "r7" * 32, "Zk9=="]
+    body = "\n".join(lines)
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB12\n\n"
+    big = "\n".join(["mN" * 32] * 20_000)
+    keys = [f"{head}\n{body}\n{end}", f"{head}\r\n{fields}{body}\n{end}", f"{head} {' '.join(lines)} {end}", f"{head}\n{body}",
+            f"{head}\n{fields}{body}", f"{head}\\n" + "\\n".join(lines), f"{head}\n{big}\n{end}", f"{head}\n{big}"]
+    docs = [(i, f"before\n{key}\nplain words after") for i, key in enumerate(keys)]
+    two = f"{head} is named first, then\n{head}\n{body}\n{end} and {head}\n{body}\n{end} out"
+    login = f"x https://{'u' * 90}:{'p' * 500}@host y"
+    found, _, _ = ledger.scan(make_docs([*docs, (50, two), (51, login)]), "doc_id")
+    shown = found.selectExpr("row.doc_id as doc_id", "row.text as text", "found as spans").withColumn(
+        "text", ledger.masked("text", "spans"))
+    got = {r.doc_id: r.text for r in shown.collect()}
+    assert {got.pop(50)} == {"[secret] is named first, then\n[secret] and [secret] out"}
+    assert got.pop(51) == "x [secret]host y"
+    assert set(got.values()) == {"before\n[secret]\nplain words after"}

@@ -34,11 +34,21 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]+", 24),
 )
-#: Public formats of credentials beside the base rules.
+_HEADER = r"-----BEGIN ((?:(?!PRIVATE KEY-----)[A-Z]++ )*+)PRIVATE KEY-----"
+#: Up to the END line of the same kind, not across another BEGIN or END.
+_TO_END = r"(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END \1PRIVATE KEY-----"
+_BREAK = r"[\x20\t]*+(?:\r?\n|\r|(?:\\r)?\\n)"
+#: Without END: header fields, then lines of base64 alone, and long runs of it wherever lines were joined.
+_LINES = (
+    rf"(?:{_BREAK}[A-Za-z][A-Za-z0-9-]*+:[^\r\n\\]*+)*+"
+    rf"(?:(?:{_BREAK}){{1,2}}+[\x20\t]*+[A-Za-z0-9+/=]++(?=[\x20\t]*+(?:[\r\n\\\x22']|\z))"
+    rf"|(?:{_BREAK})*+[\x20\t]*+[A-Za-z0-9+/=]{{32,}}+)++"
+)
+#: Public formats of credentials beside the base rules. Repeats are possessive, so matches of any length need no stack.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 1),
+    Rule("private_key", rf"{_HEADER}(?:{_TO_END}|{_LINES})?+", 1, version=2),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 1),
-    Rule("url_login", r"[a-z][a-z0-9+]{1,15}://[^\s:@/]{1,64}:[^\s:@/]{3,64}@(?=[A-Za-z0-9])", 1),
+    Rule("url_login", r"[a-z][a-z0-9+]{1,15}://[^\s:@/]++:[^\s:@/]{3,}+@(?=[A-Za-z0-9])", 1, version=2),
 )
 RULES = BASE_RULES + MORE_RULES
 #: A pattern that only texts with a long enough match can pass; it is far cheaper than all matches.
@@ -46,6 +56,7 @@ QUICK = {
     "assign": r"(?i:(?:password|passwd|secret|token|api_?key)[\x22']?\x20*[:=])",
     "access": r"AKIA[A-Z0-9]{16}",
     "hex": r"[0-9a-f]{24}",
+    "private_key": _HEADER,
 }
 
 
