@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tillstream.llm import subword_quality as quality
@@ -35,3 +36,27 @@ def test_odd_rows_and_missing_labels(spark, make_docs, odd_rows):
     assert quality.score(make_docs([]), labels).count() == 0
     kept = quality.keep_good(docs, labels.limit(0))
     assert kept.columns == docs.columns and kept.count() == len(odd_rows)
+
+
+def test_middle_of_a_long_word_counts(monkeypatch):
+    settings = quality.Settings()
+    a, b = (b"x" * 50 + middle * 40 + b"y" * 50 for middle in (b"good", b"poor"))
+    # All features but the hash of the whole word.
+    inner = [{int(i) for f, _ in list(quality.word_features([w], settings))[1:] for i in f} for w in (a, b)]
+    assert len(inner[0] - inner[1]) > 5 and len(inner[1] - inner[0]) > 5
+    whole = sum(len(f) for f, _ in quality.word_features([a], settings))
+    assert whole == 1 + sum(len(a) + 2 - n + 1 for n in (3, 4, 5))
+    long = [b"ab", a, b"c", b]
+    want = [quality.features(b" ".join(w), settings) for w in ([a], long)]
+    monkeypatch.setattr(quality, "PIECE", 16)
+    for w, (used, share) in zip(([a], long), want):
+        got = quality.features(b" ".join(w), settings)
+        assert (got[0] == used).all() and abs(got[1] - share).max() < 1e-12
+    weights = np.random.default_rng(1).normal(size=settings.buckets)
+    cut = quality._Sums(weights, settings)
+    cut.learn([long])
+    monkeypatch.undo()
+    full = quality._Sums(weights, settings)
+    full.learn([long])
+    for w in long:
+        assert cut.counts[cut[w]] == full.counts[full[w]] and abs(cut.sums[cut[w]] - full.sums[full[w]]) < 1e-9

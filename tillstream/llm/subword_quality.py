@@ -10,7 +10,7 @@ feature, so a text costs one lookup per word.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,23 +36,49 @@ class Settings:
     seed: int = 7
 
 
-def word_features(words: list[bytes], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+#: Bytes whose n-grams are hashed at once; a longer word is cut into such pieces.
+PIECE = 1 << 20
+
+
+def _pieces(words: list[bytes], settings: Settings) -> Iterator[tuple[list[bytes], list[int]]]:
+    """The marked words in groups of bounded size, and the place of each.
+
+    A word beyond ``PIECE`` comes alone, in pieces that overlap by ``longest - 1`` bytes.
+    """
+    held, places, n = [], [], 0
+    for place, word in enumerate(words):
+        marked = b"<" + word + b">"
+        if n and n + len(marked) > PIECE:
+            yield held, places
+            held, places, n = [], [], 0
+        if len(marked) > PIECE:
+            for i in range(0, len(marked), PIECE):
+                yield [marked[i : i + PIECE + settings.longest - 1]], [place]
+        else:
+            held.append(marked)
+            places.append(place)
+            n += len(marked)
+    if held:
+        yield held, places
+
+
+def word_features(words: list[bytes], settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Buckets of all words and of their character n-grams, and for each the place of its word.
 
-    All words are hashed at once, as one long array of bytes whose windows inside a word count.
+    They come in parts of bounded size. The words of a part are hashed at once, as one long array of
+    bytes whose windows inside a word count.
     """
-    # Beyond 64 bytes a "word" is a blob; its ends describe it well enough.
-    marked = [b"<" + (w if len(w) <= 64 else w[:32] + w[-32:]) + b">" for w in words]
-    flat = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
-    owner = np.repeat(np.arange(len(marked)), [len(m) for m in marked])
-    found = [np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))]
-    owners = [np.arange(len(words))]
-    for n in range(settings.shortest, settings.longest + 1):
-        grams = windows(flat, n)
-        inside = owner[: len(grams)] == owner[n - 1 :] if len(grams) else np.empty(0, bool)
-        found.append(grams[inside] + np.uint64(n))
-        owners.append(owner[: len(grams)][inside])
-    return (np.concatenate(found) % np.uint64(settings.buckets)).astype(np.int64), np.concatenate(owners)
+    yield (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(settings.buckets)
+           ).astype(np.int64), np.arange(len(words))
+    for marked, places in _pieces(words, settings):
+        flat = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
+        owner = np.repeat(places, [len(m) for m in marked])
+        for n in range(settings.shortest, settings.longest + 1):
+            grams = windows(flat, n)
+            inside = owner[: len(grams)] == owner[n - 1 :] if len(grams) else np.empty(0, bool)
+            # What begins in the overlap belongs to the next piece.
+            inside[PIECE if len(marked) == 1 else len(inside) :] = False
+            yield ((grams[inside] + np.uint64(n)) % np.uint64(settings.buckets)).astype(np.int64), owner[: len(grams)][inside]
 
 
 def again(numbers: np.ndarray, look_back: int) -> int:
@@ -73,8 +99,9 @@ def features(text: bytes | None, settings: Settings) -> tuple[np.ndarray, np.nda
     if not words:
         return np.empty(0, np.int64), np.empty(0)
     distinct, counts = zip(*Counter(words).items())
-    found, owner = word_features(list(distinct), settings)
-    total = np.bincount(found, np.array(counts, float)[owner], settings.buckets)
+    total, times = np.zeros(settings.buckets), np.array(counts, float)
+    for found, owner in word_features(list(distinct), settings):
+        total += np.bincount(found, times[owner], settings.buckets)
     total[again_bucket(settings)] += again(WordIds().of(words), settings.look_back)
     used = np.flatnonzero(total)
     return used, total[used] / total.sum()
@@ -118,23 +145,29 @@ class _Sums(dict):
     """Row of each word in arrays with the weight and the number of its features."""
 
     LIMIT = 500_000
+    LIMIT_BYTES = 1 << 26
 
     def __init__(self, weights: np.ndarray, settings: Settings):
         super().__init__()
         self.weights, self.settings = weights, settings
-        self.sums, self.counts = np.zeros(0), np.zeros(0)
+        self.sums, self.counts, self.held = np.zeros(0), np.zeros(0), 0
 
     def learn(self, texts_: list[list[bytes]]) -> None:
         """Make sure that all words of these texts have a row."""
-        if len(self) > self.LIMIT:
+        if len(self) > self.LIMIT or self.held > self.LIMIT_BYTES:
             self.clear()
-            self.sums, self.counts = np.zeros(0), np.zeros(0)
+            self.sums, self.counts, self.held = np.zeros(0), np.zeros(0), 0
         new = [w for w in set().union(*texts_) if w not in self]
         if new:
-            found, owner = word_features(new, self.settings)
+            sums, counts = np.zeros(len(new)), np.zeros(len(new))
+            for found, owner in word_features(new, self.settings):
+                low, high = (owner[0], owner[-1] + 1) if len(owner) else (0, 0)
+                sums[low:high] += np.bincount(owner - low, self.weights[found], high - low)
+                counts[low:high] += np.bincount(owner - low, minlength=high - low)
             self.update(zip(new, range(len(self), len(self) + len(new))))
-            self.sums = np.r_[self.sums, np.bincount(owner, self.weights[found], len(new))]
-            self.counts = np.r_[self.counts, np.bincount(owner, minlength=len(new))]
+            self.held += sum(map(len, new))
+            self.sums = np.r_[self.sums, sums]
+            self.counts = np.r_[self.counts, counts]
 
 
 #: Words of texts that are looked up together.
