@@ -76,3 +76,27 @@ def test_beyond_the_broadcast_bound(spark, make_docs, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 0)
     one = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert [tuple(r)[:3] for r in decontaminate.leaks(make_docs([(1, "x a b c d e f")]), one).collect()] == [(1, 1, 1)]
+
+
+def test_no_pair_is_missed(spark, make_docs):
+    """Edited items of 5 to 70 words, some with repeats or words in common, against all comparisons."""
+    rng = random.Random(4)
+    items = [(i, " ".join(f"b{i}_{j}" for j in range(5 + 3 * i))) for i in range(22)]
+    items += [(200 + i, " ".join(rng.choice("abcd") if i % 2 else "a" for _ in range(5 + 6 * i))) for i in range(4)]
+    shared = " ".join(f"c{j}" for j in range(40))
+    items += [(300 + i, f"{shared} " + " ".join(f"t{i}_{j}" for j in range(i % 9))) for i in range(4)]
+    docs = []
+    for i, text in items:
+        for k in range(6):
+            w = text.split()
+            for _ in range(1 + (len(w) > 45)):
+                at = 0 if k == 0 else len(w) - 1 if k == 1 else rng.randrange(len(w))
+                w[at : at + 1] = [["edited"], [], ["edited", w[at]]][k % 3]
+            docs.append((len(docs), " ".join(["x"] * rng.randrange(3) + w + ["y", "z"][: rng.randrange(3)])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.leaks(make_docs(docs), bench).collect()}
+    want = brute(docs, items)
+    assert len(want) > 60 and got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    near = decontaminate.leaks(make_docs(docs), bench, radius=11).count()
+    assert near < len(want)

@@ -1,11 +1,13 @@
 """Benchmark passages in documents by SimHash of item-sized windows. DataFrame functions only.
 
 Texts become lower-case words of letters and digits, and every run of ``n`` words a 64-bit shingle.
-A window has as many words as a benchmark item. Its fingerprint is the majority of each bit over
-its shingles, counted with repeats; shingles that no item holds carry no weight there. Fingerprints
-are cut into ``radius + 1`` blocks, so any two within ``radius`` bits agree in one block at least,
-and windows meet items of their own size by block. What meets within the radius is verified by the
-exact weighted similarity: sum of the smaller over sum of the larger shingle counts.
+A window has as many words as a benchmark item. Windows meet items of their own size by a shingle
+among the item's rarest: so many that a window without any of them lacks too much of the item to
+reach the similarity. The fingerprint is the majority of each bit over the shingles, counted with
+repeats; shingles that no item holds carry no weight there. A bit of an item whose majority is larger
+than all that a similar window can lack or have besides is firm, and a window that differs in a firm
+bit goes. What is left is verified by the exact weighted similarity: sum of the smaller over sum of
+the larger shingle counts. Neither step loses a pair, so the result is that of all comparisons.
 
 A window can only reach the similarity if enough of its shingles occur in some item. Positions
 without such a shingle are left out before any window is built, which loses nothing and leaves a
@@ -15,13 +17,11 @@ have been counted; beyond ``BROADCAST_SHINGLES`` the positions are shuffled to t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillstream.llm.scratch import save
 
 BROADCAST_SHINGLES = 2_000_000
-#: Largest Hamming distance of fingerprints that are compared exactly.
-RADIUS = 11
 BITS = 64
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
@@ -38,26 +38,43 @@ def _words(text: str) -> Column:
     return F.array_remove(F.split(F.lower(F.col(text).cast("string")), WORD_BREAK), "")
 
 
-def _fingerprint(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """SimHash of the shingles ``h`` of each group. Two bit counts travel in one number."""
+def _fingerprint(rows: DataFrame, keys: list[str], margin: str | None = None) -> DataFrame:
+    """SimHash of the shingles ``h`` of each group. Two bit counts travel in one number.
+
+    With ``margin``, an expression over keys and ``weight``, also the mask ``firm`` of the bits whose
+    majority is larger than that.
+    """
     half = BITS // 2
     counts = [
         F.sum(F.expr(f"shiftrightunsigned(h, {i}) & 4294967297L")).alias(f"c{i}") for i in range(half)
     ]
     grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("weight"), *counts)
-    bits = [f"if(2 * (c{i} & 4294967295L) > weight, shiftleft(1L, {i}), 0L)" for i in range(half)]
-    bits += [f"if(2 * shiftrightunsigned(c{i}, {half}) > weight, shiftleft(1L, {i + half}), 0L)" for i in range(half)]
-    return grouped.select(*keys, F.expr(" | ".join(bits)).alias("print"))
+    ones = [f"(c{i} & 4294967295L)" for i in range(half)] + [f"shiftrightunsigned(c{i}, {half})" for i in range(half)]
+
+    def mask(test: str) -> Column:
+        return F.expr(" | ".join(f"if({test.format(c)}, shiftleft(1L, {i}), 0L)" for i, c in enumerate(ones)))
+
+    out = [mask("2 * {} > weight").alias("print")]
+    if margin is not None:
+        out.append(mask(f"abs(2 * {{}} - weight) > {margin}").alias("firm"))
+    return grouped.select(*keys, *out)
 
 
-def _blocks(print_: str, radius: int) -> Column:
-    """The blocks of a fingerprint as (block, value)."""
-    edges = [BITS * i // (radius + 1) for i in range(radius + 2)]
-    return F.explode(F.array(*[
-        F.struct(F.lit(i).alias("block"),
-                 F.expr(f"shiftrightunsigned({print_}, {low}) & {(1 << (high - low)) - 1}L").alias("value"))
-        for i, (low, high) in enumerate(zip(edges, edges[1:]))
-    ]))
+def _rarest(grams: DataFrame, similarity: float) -> DataFrame:
+    """``(item_id, item_size, h)``: shingles of each item, rarest first, of which a similar window holds one.
+
+    A window has ``similarity`` times the item's positions in common at least; the shingles left out
+    here have fewer together.
+    """
+    counted = grams.groupBy("item_id", "h").agg(F.count(F.lit(1)).alias("there"))
+    common = grams.groupBy("h").agg(F.count_distinct("item_id").alias("holders"))
+    item = Window.partitionBy("item_id", "item_size")
+    before = item.orderBy("holders", "h").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        grams.select("item_id", "item_size", "item_span").distinct().join(counted, "item_id").join(common, "h")
+        .withColumns({"before": F.coalesce(F.sum("there").over(before), F.lit(0)), "weight": F.sum("there").over(item)})
+        .where(F.expr(f"before <= weight - ceil({similarity} * item_span - 1e-9)")).select("item_id", "item_size", "h")
+    )
 
 
 def _windows(hits: DataFrame, sizes: list[int], n: int, similarity: float) -> DataFrame:
@@ -82,11 +99,11 @@ def _windows(hits: DataFrame, sizes: list[int], n: int, similarity: float) -> Da
 
 
 def leaks(docs: DataFrame, items: DataFrame, n: int = 5, similarity: float = 0.8,
-          radius: int = RADIUS) -> DataFrame:
+          radius: int | None = None) -> DataFrame:
     """``(doc_id, item_id, start_word, item_words, similarity)``: the best window per document and item.
 
-    Pairs with a weighted shingle similarity of ``similarity`` or more are given if their
-    fingerprints lie within ``radius`` bits; verbatim items always do. In a document shorter than an
+    All pairs with a weighted shingle similarity of ``similarity`` or more are given; with a ``radius``
+    only those whose fingerprints differ in that many bits at most. In a document shorter than an
     item the whole document is the window. Of equally similar windows the first counts. Texts that
     are null, empty or without letters and digits hold nothing and match nothing, and rows without
     ``doc_id`` or ``item_id`` are left out. Repeated rows count once; different texts under one
@@ -95,7 +112,8 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = 5, similarity: float = 0.8
     bench = items.where("item_id is not null").select("item_id", _words("text").alias("w")).where("size(w) > 0")
     bench = save(bench.select("item_id", F.size("w").alias("item_size"), _shingles("w", n).alias("s")).distinct(), "items")
     sizes = sorted(r[0] for r in bench.select("item_size").distinct().collect())
-    grams = bench.select("item_id", "item_size", F.explode("s").alias("h"))
+    grams = bench.select("item_id", "item_size", F.explode("s").alias("h")).withColumn(
+        "item_span", F.greatest(F.lit(1), F.col("item_size") - (n - 1)))
     known = grams.select("h").distinct()
     if known.count() <= BROADCAST_SHINGLES:
         known = F.broadcast(known)
@@ -117,12 +135,20 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = 5, similarity: float = 0.8
                 f"item_id {items.schema['item_id'].dataType.simpleString()}, "
                 "start_word int, item_words int, similarity double")
     prints = _fingerprint(windows.select(*keys, F.explode("grams").alias("h")), keys)
-    item_prints = _fingerprint(grams, ["item_id", "item_size"]).select(
-        "item_id", "item_size", F.col("print").alias("item_print"), _blocks("print", radius).alias("b"))
+    whole = grams.select("item_id", "item_size", "item_span").distinct().join(grams.select("item_id", "h"), "item_id")
+    # What a similar window of the item's size lacks of the item and has besides, at most.
+    item_prints = _fingerprint(
+        whole, ["item_id", "item_size", "item_span"],
+        f"weight + item_span - {4 * similarity / (1 + similarity)} * item_span + 1e-9",
+    ).select("item_id", "item_size", F.col("print").alias("item_print"), "firm")
+    apart = F.col("print").bitwiseXOR(F.col("item_print"))
+    near = apart.bitwiseAND(F.col("firm")) == 0
+    if radius is not None:
+        near = near & (F.bit_count(apart) <= radius)
     met = (
-        prints.select("*", _blocks("print", radius).alias("b")).join(item_prints, ["item_size", "b"])
-        .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-        .select(*keys, "item_id").distinct()
+        windows.select(*keys, F.explode(F.array_distinct("grams")).alias("h"))
+        .join(_rarest(grams, similarity), ["item_size", "h"]).select(*keys, "item_id").distinct()
+        .join(prints, keys).join(item_prints, ["item_id", "item_size"]).where(near).select(*keys, "item_id")
     )
     mine = (
         met.join(windows.select(*keys, "grams"), keys)
