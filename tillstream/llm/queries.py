@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.llm import (
-    block_repeats, decontaminate, fragment_join, host_reputation, line_labels, mixing, notice_search,
-    perspectives, secrets_ledger, subword_quality,
+    block_repeats, decontaminate, fragment_join, host_reputation, importance_draw, line_index, line_labels, mixing,
+    notice_search, periodic_runs, perspectives, secrets_ledger, subword_quality,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,3 +267,131 @@ from placed group by conv_id, part, participant
 def op6_perspectives(spark, folder):
     """Every conversation as training text from each participant's perspective."""
     return perspectives.dialogues(read(spark, folder, "conversations"))
+
+
+@query(r"""
+with split as (select doc_id, row_number() over () as r, string_split(coalesce(text, ''), chr(10)) as l from documents),
+lines as (select doc_id, r, unnest(l) as line, unnest(range(1, len(l) + 1)) as pos from split),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+lowest as (
+  select key, min(doc_id) as low from keyed where length(key) >= 10 group by key having count(distinct doc_id) > 1),
+kept as (
+  select r, string_agg(line, chr(10) order by pos) as text, count(*) as n
+  from keyed left join lowest using (key) where low is null or doc_id is null or doc_id = low group by r)
+select doc_id, cast(len(l) as bigint) as n_lines, cast(len(l) - coalesce(n, 0) as bigint) as n_dropped,
+       sha256(coalesce(text, '')) as kept_sha256
+from split left join kept using (r)
+""")
+def op11_line_dedup(spark, folder):
+    """Documents without the lines that an earlier document holds, by an index that can be undone."""
+    docs = read(spark, folder, "documents")
+    cleaned = line_index.LineIndex.create(spark).insert(docs).cleaned(docs)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+#: Unsigned crc32 in SQL: the table of its 256 byte steps, and the loop over the bytes of {0} (a varchar).
+CRC_TABLE_SQL = """select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end)) as steps"""
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, octet_length(encode({0})) * 2, 2),
+    lambda i: cast('0x' || substr(hex(encode({0})), cast(i + 1 as int), 2) as bigint))),
+    lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1])))"""
+
+
+@query(rf"""
+with table_ as ({CRC_TABLE_SQL}),
+words as (
+  select doc_id, row_number() over () as r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+theirs as (
+  select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as f from benchmark),
+mine as (select r, unnest(w) as f from words),
+known as (select f, {CRC_SQL.format('f')} % 10000 as b from (select f from mine union select f from theirs), table_),
+s as (select b, count(*) as n from mine join known using (f) group by b),
+t as (select b, count(*) as n from theirs join known using (f) group by b),
+gains as (
+  select b, cast(floor(1000 * ln((coalesce(t.n, 0) + 1)::double * (coalesce((select sum(n) from s), 0) + 10000)::double
+      / ((coalesce(s.n, 0) + 1)::double * (coalesce((select sum(n) from t), 0) + 10000)::double))) as bigint) as gain
+  from (select unnest(range(10000)) as b) left join s using (b) left join t using (b)),
+weighed as (select r, sum(gain) as weight from mine join known using (f) join gains using (b) group by r),
+scored as (
+  select doc_id, cast(len(w) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+    cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((cast('0x' || substr(sha256('2024:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint)
+      + 0.5::double) / 4294967296::double))) as bigint) as score
+  from words left join weighed using (r)),
+drawn as (
+  select *, row_number() over (order by n_features < 20, score desc, doc_id nulls last, n_features) as place,
+    count_if(n_features >= 20) over () as n from scored)
+select doc_id, n_features, weight, score, case when place <= 10 * n // 100 then place end as rank from drawn
+""")
+def op12_importance_draw(spark, folder):
+    """Documents drawn towards the words of the benchmark, a tenth of those with 20 words and more."""
+    docs, target = read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    return importance_draw.resample(docs, target).drop("n_words")
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, chosen by the crc32 of the id, is made periodic from some word on.
+
+    With g the tenth of that number, words from a = g % n on repeat every 1 + (n - a) // (3 + g % 8) words.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    parts = docs.select("doc_id", "text", h.alias("h"), F.when(
+        h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("w"))
+    sized = parts.withColumns({"n": F.size("w").cast("bigint"), "g": F.floor(F.col("h") / 10)}).withColumn(
+        "a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    sized = sized.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    periodic = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1), lambda i: F.get(
+        "w", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return sized.select("doc_id", F.when(F.col("n") > 0, F.array_join(periodic, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query(rf"""
+with table_ as ({CRC_TABLE_SQL}),
+given as (
+  select doc_id, row_number() over () as r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    {CRC_SQL.format("cast(doc_id as varchar)")} as h
+  from documents, table_),
+sized as (select *, len(w) as n, h // 10 as g, case when len(w) > 0 then (h // 10) % len(w) end as a from given),
+words as (
+  select doc_id, r, n, case when n > 0 and h % 10 = 0
+    then list_transform(range(n), lambda i: w[case when i < a then i + 1 else a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1 end])
+    else w end as w
+  from sized),
+placed as (select r, n, unnest(w) as word, unnest(range(n)) as i from words),
+equal as (
+  select x.r, y.i - x.i as q, x.i, x.i - row_number() over (partition by x.r, y.i - x.i order by x.i) as island
+  from placed x join placed y on x.r = y.r and x.word = y.word and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+stretches as (
+  select r, q, min(i) as start, count(*) + q as length from equal group by r, q, island
+  having count(*) + q >= greatest(6, 4 * q)),
+runs as (select r, start, length, min(q) as period from stretches group by r, start, length),
+listed as (
+  select r, count(*) as n_runs, arg_max({{'s': start, 'l': length, 'p': period}}, [length, -start, -period]) as top,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as text
+  from runs group by r),
+gone as (select distinct r, unnest(range(start + period, start + length)) as i from runs),
+kept as (select r, string_agg(word, ' ' order by i) as text from placed anti join gone using (r, i) group by r)
+select doc_id, coalesce(n_runs, 0) as n_runs, top.s as start, top.l as length, top.p as period,
+  1000 * top.l // top.p as exponent_milli, sha256(coalesce(listed.text, '')) as runs_sha256,
+  sha256(coalesce(kept.text, '')) as collapsed_sha256
+from words left join listed using (r) left join kept using (r)
+""")
+def op13_periodic_runs(spark, folder):
+    """Periodic runs of words in every document, and its text with each run cut to one period."""
+    found = periodic_runs.periodic_runs(planted_periods(read(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("shorter"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    top = found.select("*", longest.alias("top"), listed.alias("listed"))
+    period = -F.col("top.shorter")
+    return top.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.back")).alias("start"),
+        F.col("top.length").alias("length"), period.alias("period"),
+        F.floor(F.col("top.length") * 1000 / period).alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
