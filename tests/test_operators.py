@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections import defaultdict
+from dataclasses import replace
 from datetime import datetime, timedelta
 from random import Random
 
@@ -342,15 +343,17 @@ def test_keyed_table(spark, tmp_path):
     t.write_batch(make(), 2)
     assert rows(t.read(spark, schema)) == [("d1", "a", 9, 0), ("d2", "b", 3, 1)]
     assert rows(t.read(spark, schema, ["d2"])) == [("d2", "b", 3, 1)]
-    later = KeyedTable(t.path, t.keys, t.day, t.order, run=1)
+    later = t.of_writer("second")
     later.write_batch(make(("d1", "a", 10, 0)), 0)
-    assert rows(later.read(spark, schema, ["d1"])) == [("d1", "a", 10, 0)]
-    assert rows(t.read(spark, schema, after=(0, 1))) == [("d1", "a", 10, 0)]
-    assert rows(t.read(spark, schema, after=(1, 0))) == []
+    assert rows(t.read(spark, schema, ["d1"])) == [("d1", "a", 10, 0)]
+    t.write_batch(make(("d3", "c", 0, 0)), 3)
+    replace(t, writer="base", epoch=-1).write_batch(make(("d1", "a", 0, 0), ("d1", "z", 5, 5)), 0)
+    assert rows(t.read(spark, schema, ["d1", "d3"])) == [("d1", "a", 10, 0), ("d1", "z", 5, 5), ("d3", "c", 0, 0)]
     target = str(tmp_path / "published")
     t.publish(spark, schema, target)
     t.publish(spark, schema, target, ["d1"])
-    assert rows(spark.read.parquet(target).select("dt", "id", "v", "ts")) == [("d1", "a", 10, 0), ("d2", "b", 3, 1)]
+    assert rows(spark.read.parquet(target).select("dt", "id", "v", "ts")) == [
+        ("d1", "a", 10, 0), ("d1", "z", 5, 5), ("d2", "b", 3, 1), ("d3", "c", 0, 0)]
 
 
 # --- generated rows --------------------------------------------------------------------------

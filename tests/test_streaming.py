@@ -72,6 +72,9 @@ def test_dau_job_equals_batch_over_batches_and_restart(spark, tmp_path):
     assert sum(late_rows_of(p) for p in query.recentProgress) == 0
     got = jobs.dau_table(str(tmp_path / "out")).read(spark, jobs.DAU_TABLE)
     want = dedup.daily_first(ingest.startup_rows(batch(spark, tmp_path / "in")), ["ts", "uid"])
+    by_day = {r.log_date: r.ct for r in metrics.new_devices(want).collect()}
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        assert jobs.new_devices(spark, str(tmp_path / "out"), day).first().n == by_day.get(day, 0)
     assert rows(got.select("logdate", "mid", "uid", "ts")) == rows(want.select("log_date", "mid", "uid", "ts"))
     assert got.count() == 12
     hours = metrics.dau_by_hour(got.withColumnsRenamed({"logdate": "log_date", "loghour": "log_hour"}))
@@ -155,7 +158,8 @@ def test_sale_detail_job(spark, tmp_path, salts):
     assert got["g99"].user_level is None and got["g99"].sku_price == 2.5
 
 
-def test_unmatched_side_output(spark, tmp_path):
+@pytest.mark.parametrize("salts", [1, 3])
+def test_unmatched_sides(spark, tmp_path, salts):
     orders, lines = orders_and_lines()
     for i, (o, d) in enumerate(zip(orders, lines)):
         write(tmp_path / "o", f"f{i}", o)
@@ -163,11 +167,38 @@ def test_unmatched_side_output(spark, tmp_path):
     o = ingest.order_rows(stream(spark, tmp_path / "o"), keep=("arrival",)).select("id", F.col("arrival").alias("order_arrival"))
     d = ingest.detail_rows(stream(spark, tmp_path / "d"), keep=("arrival",)).select(
         F.col("id").alias("line"), "order_id", F.col("arrival").alias("detail_arrival"))
+    got = {}
+    for side in (stateful.unmatched_orders, stateful.unmatched_lines):
+        out = str(tmp_path / side.__name__)
+        finish(side(o, d, JoinBound(salts=salts), salt_by="line").writeStream.format("parquet").option("path", out)
+               .option("checkpointLocation", out + "-ck").trigger(availableNow=True).start())
+        got[side.__name__] = sorted(tuple(r)[0] for r in spark.read.parquet(out).collect())
+    assert got == {"unmatched_orders": ["o2", "o5"], "unmatched_lines": ["g101", "lost"]}
+
+
+def test_a_hot_order_is_spread_and_state_is_dropped(spark, tmp_path):
+    """An order with a third of the lines meets them in several tasks; old rows leave the state."""
+    o = lambda i, at: {"id": i, "user_id": "u", "order_status": "1", "create_time": "2024-01-01 09:05:00", "total_amount": "1", "arrival": ms(at)}
+    d = lambda i, order, at: {"id": i, "order_id": order, "order_price": "1", "arrival": ms(at)}
+    for i in range(6):
+        at = 150 * i
+        write(tmp_path / "o", f"f{i}", [o(f"o{i}-{k}", at) for k in range(20)] + ([o("hot", 0)] if i == 0 else []))
+        write(tmp_path / "d", f"f{i}", [d(f"d{i}-{k}", f"o{i}-{k}", at + 1) for k in range(20)]
+              + ([d(f"h{k}", "hot", 2) for k in range(60)] if i == 0 else []))
+    orders = ingest.order_rows(stream(spark, tmp_path / "o"), keep=("arrival",)).select("id", F.col("arrival").alias("order_arrival"))
+    lines = ingest.detail_rows(stream(spark, tmp_path / "d"), keep=("arrival",)).select(
+        F.col("id").alias("order_detail_id"), "order_id", F.col("arrival").alias("detail_arrival"))
+    joined = stateful.orders_with_lines(orders, lines, JoinBound(salts=4)).withColumn("task", F.spark_partition_id())
     out = str(tmp_path / "out")
-    finish(stateful.unmatched_orders_and_lines(o, d).writeStream.format("parquet").option("path", out)
-           .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-    got = {r.id or r.line for r in spark.read.parquet(out).collect()}
-    assert got == {"o2", "o5", "lost", "g101"}
+    query = joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck")).trigger(
+        availableNow=True).start()
+    finish(query)
+    got = spark.read.parquet(out)
+    assert got.count() == 6 * 20 + 60 and got.where("id = 'hot'").select("task").distinct().count() > 1
+    held = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress]
+    removed = sum(op["numRowsRemoved"] for p in query.recentProgress for op in p["stateOperators"])
+    # Without dropping the state would grow to 6 * (20 * 4 + 20) + 4 + 60 rows.
+    assert max(held) < 400 and held[-1] < max(held) and removed > 200
 
 
 def events(n, seed):

@@ -40,6 +40,8 @@ class Tables:
     dau: str = "dau"
     order_info: str = "order_info"
     user_info: str = "user_info"
+    device: str = "device"
+    first_seen: str = "first_seen"
     alert: str = "coupon_alert"
     instant_alert: str = "instant_coupon_alert"
     event: str = "event_log"
@@ -83,8 +85,11 @@ class AlertRule:
 
 @dataclass(frozen=True)
 class Settings:
+    """``buckets`` is the number of folders of the tables that are looked up by user or device."""
+
     topics: Topics = field(default_factory=Topics)
     tables: Tables = field(default_factory=Tables)
     intervals: Intervals = field(default_factory=Intervals)
     join: JoinBound = field(default_factory=JoinBound)
     alert: AlertRule = field(default_factory=AlertRule)
+    buckets: int = 64

@@ -18,6 +18,7 @@ from tillstream import schemas
 from tillstream.config import Settings
 from tillstream.functions import day_of, minute_doc_id
 from tillstream.operators import alerts as alert_rules, ingest
+from tillstream.operators.dedup import is_seen
 from tillstream.operators.joins import enrich_with_users, two_level_users
 from tillstream.streaming.probe import probe
 from tillstream.sources import changelog
@@ -36,9 +37,11 @@ DAU_TABLE = _named(schemas.DAU_COLUMNS, ts=LONG)
 ORDER_TABLE = _named(
     schemas.ORDER_FIELDS + ("create_date", "create_hour"), total_amount=T.DecimalType(18, 2)
 )
-USER_TABLE = _named(schemas.USER_FIELDS + ("dt",), birthday=T.DateType())
+USER_TABLE = _named(schemas.USER_FIELDS + ("bucket",), birthday=T.DateType(), bucket=T.IntegerType())
 SALE_TABLE = _named(schemas.SALE_DETAIL_FIELDS, user_age=T.IntegerType(), sku_price=T.DoubleType())
 ALERT_TABLE = _named(("doc_id", "mid", "ts", "n_uids", "n_events", "dt"), ts=LONG, n_uids=LONG, n_events=LONG)
+DEVICE_TABLE = _named(("mid", "first_day", "bucket"), bucket=T.IntegerType())
+FIRST_SEEN_TABLE = _named(("mid", "is_first", "dt"), is_first=T.BooleanType())
 RECENT_TABLE = _named(("doc_id", "mid", "uids", "ts", "dt"), uids=T.ArrayType(T.StringType()), ts=LONG)
 
 
@@ -51,7 +54,18 @@ def order_table(root: str, settings: Settings = Settings()) -> KeyedTable:
 
 
 def user_table(root: str, settings: Settings = Settings()) -> KeyedTable:
-    return KeyedTable(f"{root}/{settings.tables.user_info}", ("id",), "dt", ("arrival",))
+    """Users lie in buckets by a hash of their id, so that a batch reads those of its own users."""
+    return KeyedTable(f"{root}/{settings.tables.user_info}", ("id",), "bucket", ("arrival",))
+
+
+def device_table(root: str, settings: Settings = Settings()) -> KeyedTable:
+    """First day of every device, in buckets by a hash of the device."""
+    return KeyedTable(f"{root}/{settings.tables.device}", ("mid",), "bucket", ("first_day",), earliest=True)
+
+
+def first_seen_table(root: str, settings: Settings = Settings()) -> KeyedTable:
+    """Devices by the day that is, or for a time was taken for, their first one."""
+    return KeyedTable(f"{root}/{settings.tables.first_seen}", ("mid",), "dt")
 
 
 def sale_table(root: str, settings: Settings = Settings()) -> KeyedTable:
@@ -66,6 +80,15 @@ def instant_alert_table(root: str, settings: Settings = Settings()) -> KeyedTabl
     return KeyedTable(f"{root}/{settings.tables.instant_alert}", ("doc_id",), "dt", ("ts",))
 
 
+def bucket_of(key: str, settings: Settings = Settings()) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(settings.buckets)).cast("int")
+
+
+def _buckets(df: DataFrame, key: str, settings: Settings) -> list[int]:
+    """Buckets of the keys in a batch, at most ``settings.buckets`` numbers."""
+    return [r.b for r in df.select(bucket_of(key, settings).alias("b")).distinct().collect()]
+
+
 def _checkpoint(root: str, name: str) -> str:
     return f"{root}/_checkpoints/{name}"
 
@@ -78,7 +101,7 @@ def _into(table: KeyedTable, root: str, name: str) -> Callable[[DataFrame, int],
         if not own:
             spark = df.sparkSession
             meta = spark.read.text(f"{_checkpoint(root, name)}/metadata").first().value
-            own.append(table.of_writer(spark, json.loads(meta)["id"]))
+            own.append(table.of_writer(json.loads(meta)["id"]))
         own[0].write_batch(df, batch_id)
 
     return write
@@ -106,10 +129,50 @@ def dau_job(lines: DataFrame, root: str, settings: Settings = Settings(),
     logs = probe(ingest.startup_rows(lines).where(F.col("event_time").isNotNull()), "decoded")
     first = daily_first_updates(logs, ["ts", "uid"])
     rows = first.withColumnsRenamed({"log_date": "logdate", "log_hour": "loghour"}).select(*schemas.DAU_COLUMNS)
-    writer = probe(rows, "first").writeStream.outputMode("update").foreachBatch(_into(dau_table(root, settings), root, "dau"))
+    store, note = _into(dau_table(root, settings), root, "dau"), _first_seen(root, settings)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        store(df, batch_id)
+        note(df, batch_id)
+        df.unpersist()
+
+    writer = probe(rows, "first").writeStream.outputMode("update").foreachBatch(write)
     return _start(writer, root, "dau", settings.intervals.dau, once)
 
 
+def _first_seen(root: str, settings: Settings) -> Callable[[DataFrame, int], None]:
+    """Batch writer that keeps the first day of every device, and the devices by first day.
+
+    Only the buckets of the batch's devices are read. A device that turns out to have an earlier
+    first day is taken back from the day it was counted on. The table by device is written last: a
+    batch replayed before that finds it as the batch did.
+    """
+    by_day = _into(first_seen_table(root, settings), root, "dau")
+    by_device = _into(device_table(root, settings), root, "dau")
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        fresh = df.where("mid is not null and logdate is not null").groupBy("mid").agg(F.min("logdate").alias("first_day"))
+        known = device_table(root, settings).read(spark, DEVICE_TABLE, _buckets(df, "mid", settings)).select(
+            "mid", F.col("first_day").alias("known_day"))
+        moved = fresh.join(known, "mid", "left").where("known_day is null or first_day < known_day").persist()
+        by_day(
+            moved.select("mid", F.lit(True).alias("is_first"), F.col("first_day").alias("dt")).unionByName(
+                moved.where("known_day is not null").select(
+                    "mid", F.lit(False).alias("is_first"), F.col("known_day").alias("dt"))), batch_id)
+        by_device(moved.select("mid", "first_day", bucket_of("mid", settings).alias("bucket")), batch_id)
+        moved.unpersist()
+
+    return write
+
+
+def new_devices(spark: SparkSession, root: str, day: str, settings: Settings = Settings()) -> DataFrame:
+    """Number of devices whose first day is the given one, as ``n``. Reads that day's folders only."""
+    rows = first_seen_table(root, settings).read(spark, FIRST_SEEN_TABLE, [day])
+    return rows.agg(F.count_if("is_first").alias("n"))
+
+
 def gmv_job(lines: DataFrame, root: str, settings: Settings = Settings(),
             once: bool = False, upper: bool = False) -> StreamingQuery:
     """Order records to the order table.
@@ -127,33 +190,51 @@ def gmv_job(lines: DataFrame, root: str, settings: Settings = Settings(),
 
 def user_job(lines: DataFrame, root: str, settings: Settings = Settings(),
              once: bool = False) -> StreamingQuery:
-    """User records to the user table: the newest row per user wins.
-
-    Users have no day; one constant folder keeps the table layout the same as the others.
-    """
+    """User records to the user table: the newest row per user wins."""
     quarantine_job(lines, "user", root, "user", settings.intervals.user, once)
-    users = ingest.user_rows(lines, keep=("arrival",)).withColumn("dt", F.lit("all")).select(
+    users = ingest.user_rows(lines, keep=("arrival",)).withColumn("bucket", bucket_of("id", settings)).select(
         "arrival", *USER_TABLE.fieldNames())
     write = _into(user_table(root, settings), root, "user")
     return _start(users.writeStream.foreachBatch(write), root, "user", settings.intervals.user, once)
 
 
-def current_users(spark: SparkSession, root: str, settings: Settings = Settings(),
-                  base: DataFrame | None = None, after: tuple[int, int] | None = None) -> DataFrame:
-    """Newest user rows of the change stream, completed from the base table.
+def load_users(users: DataFrame, root: str, settings: Settings = Settings(), load: int = 0) -> None:
+    """Put all users of the base table into the user table, behind any row of the change stream.
 
-    Publish the user table now and then, use the published table as ``base`` and the last
-    published run and batch as ``after``: then only the changes since are merged.
+    A later load needs a higher number; the same number again changes nothing.
     """
-    cache = user_table(root, settings).read(spark, USER_TABLE, after=after).select(*schemas.USER_FIELDS)
-    return cache if base is None else two_level_users(cache, base.select(*schemas.USER_FIELDS))
+    rows = users.select(*schemas.USER_FIELDS).withColumns({
+        "bucket": bucket_of("id", settings), "arrival": F.lit(None).cast("timestamp")})
+    replace(user_table(root, settings).of_writer("base"), epoch=-1).write_batch(rows, load)
+
+
+#: Users of a base table by their ids, looked up in each batch: from (session, rows with ``id``).
+BaseUsers = Callable[[SparkSession, DataFrame], DataFrame]
+
+
+def users_of(spark: SparkSession, root: str, ids: DataFrame, settings: Settings = Settings(),
+             base: DataFrame | BaseUsers | None = None) -> DataFrame:
+    """Newest user rows of the given ids (``id``), as they are now.
+
+    Only the buckets of these ids are read. Ids the table does not know are looked up in ``base``; with
+    :func:`load_users` the table knows all and needs none.
+    """
+    ids = ids.select("id").where("id is not null").distinct()
+    stored = user_table(root, settings).read(spark, USER_TABLE, _buckets(ids, "id", settings)).select(*schemas.USER_FIELDS)
+    found = is_seen(stored, ids, ["id"], salts=1)
+    if base is None:
+        return found
+    rows = is_seen(base.select(*schemas.USER_FIELDS), ids, ["id"], salts=1) if isinstance(base, DataFrame) else base(spark, ids)
+    return two_level_users(found, rows.select(*schemas.USER_FIELDS))
 
 
 def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, root: str,
-                    base_users: DataFrame | None = None, as_of: Column | None = None,
-                    settings: Settings = Settings(), once: bool = False,
-                    users_after: tuple[int, int] | None = None) -> StreamingQuery:
-    """Orders meet their lines, get their buyer, and are stored under the line id."""
+                    base_users: DataFrame | BaseUsers | None = None, as_of: Column | None = None,
+                    settings: Settings = Settings(), once: bool = False) -> StreamingQuery:
+    """Orders meet their lines, get their buyer, and are stored under the line id.
+
+    Buyers are looked up anew in every batch, so changes count while the job runs.
+    """
     quarantine_job(order_lines, "order", root, "sale_detail_orders", settings.intervals.sale_detail, once)
     quarantine_job(detail_lines, "detail", root, "sale_detail_lines", settings.intervals.sale_detail, once)
     orders = ingest.order_rows(order_lines, keep=("arrival",)).select(
@@ -169,8 +250,10 @@ def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, root: str,
 
     def write(df: DataFrame, batch_id: int) -> None:
         # Inside a batch the plan is adaptive: skewed buyers are split, sizes decide the join.
-        users = current_users(df.sparkSession, root, settings, base_users, users_after)
+        df = df.persist()
+        users = users_of(df.sparkSession, root, df.select(F.col("user_id").alias("id")), settings, base_users)
         store(enrich_with_users(df, users, as_of).select(*SALE_TABLE.fieldNames()), batch_id)
+        df.unpersist()
 
     return _start(sales.writeStream.foreachBatch(write), root, "sale_detail", settings.intervals.sale_detail, once)
 

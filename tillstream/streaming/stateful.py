@@ -119,27 +119,48 @@ def orders_with_lines(orders: DataFrame, details: DataFrame, bound: JoinBound =
     Streams are not re-planned at run time, so a hot order is split here: its lines are spread
     over ``bound.salts`` tasks, and the order is kept in each of them. The result is the same.
     """
-    n = bound.salts
-    o = orders.withWatermark(order_time, bound.watermark).withColumn(
-        "_osalt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    )
-    d = details.withWatermark(detail_time, bound.watermark).withColumn(
-        "_dsalt", F.pmod(F.xxhash64(salt_by), F.lit(n)).cast("int")
-    )
+    o, d = _salted(orders, details, bound, order_time, detail_time, salt_by)
     return o.join(d, _near(bound, order_key, detail_key, order_time, detail_time)
                   & (F.col("_osalt") == F.col("_dsalt"))).drop("_osalt", "_dsalt")
 
 
-def unmatched_orders_and_lines(orders: DataFrame, details: DataFrame, bound: JoinBound = JoinBound(),
-                               order_key: str = "id", detail_key: str = "order_id",
-                               order_time: str = "order_arrival",
-                               detail_time: str = "detail_arrival") -> DataFrame:
-    """Side output: what expired without a partner, given out once the watermark has passed."""
-    joined = orders.withWatermark(order_time, bound.watermark).join(
-        details.withWatermark(detail_time, bound.watermark),
-        _near(bound, order_key, detail_key, order_time, detail_time), "full_outer",
-    )
-    return joined.where(F.col(order_key).isNull() | F.col(detail_key).isNull())
+def unmatched_orders(orders: DataFrame, details: DataFrame, bound: JoinBound = JoinBound(),
+                     order_key: str = "id", detail_key: str = "order_id",
+                     order_time: str = "order_arrival", detail_time: str = "detail_arrival",
+                     salt_by: str = "order_detail_id") -> DataFrame:
+    """Orders that no line came near, given out once the watermark has passed.
+
+    Lines are spread over ``bound.salts`` (at most 62) tasks as in :func:`orders_with_lines`. Every salt
+    tells which orders it met no line of; an order is given out when all salts say so, which an aggregate
+    decides that keeps one number per order. Repeated equal orders are one.
+    """
+    o, d = _salted(orders, details, bound, order_time, detail_time, salt_by)
+    near = _near(bound, order_key, detail_key, order_time, detail_time) & (F.col("_osalt") == F.col("_dsalt"))
+    missed = o.join(d.select(detail_key, detail_time, "_dsalt"), near, "left_outer").where(F.col("_dsalt").isNull())
+    told = F.expr("bit_or(shiftleft(1L, _osalt))").alias("_told")
+    return missed.groupBy(*orders.columns).agg(told).where(F.col("_told") == (1 << bound.salts) - 1).drop("_told")
+
+
+def unmatched_lines(orders: DataFrame, details: DataFrame, bound: JoinBound = JoinBound(),
+                    order_key: str = "id", detail_key: str = "order_id",
+                    order_time: str = "order_arrival", detail_time: str = "detail_arrival",
+                    salt_by: str = "order_detail_id") -> DataFrame:
+    """Lines that no order came near, given out once the watermark has passed. A line has one salt, so
+    the join alone decides."""
+    o, d = _salted(orders, details, bound, order_time, detail_time, salt_by)
+    near = _near(bound, order_key, detail_key, order_time, detail_time) & (F.col("_osalt") == F.col("_dsalt"))
+    joined = d.join(o.select(order_key, order_time, "_osalt"), near, "left_outer")
+    return joined.where(F.col("_osalt").isNull()).select(*details.columns)
+
+
+def _salted(orders: DataFrame, details: DataFrame, bound: JoinBound, order_time: str, detail_time: str,
+            salt_by: str) -> tuple[DataFrame, DataFrame]:
+    """Both streams with watermarks: every order in each salt, every line in one."""
+    o = orders.withWatermark(order_time, bound.watermark).withColumn(
+        "_osalt", F.explode(F.sequence(F.lit(0), F.lit(bound.salts - 1))))
+    d = details.withWatermark(detail_time, bound.watermark).withColumn(
+        "_dsalt", F.pmod(F.xxhash64(salt_by), F.lit(bound.salts)).cast("int"))
+    return o, d
 
 
 def _near(bound: JoinBound, order_key: str, detail_key: str, order_time: str, detail_time: str):
