@@ -130,3 +130,19 @@ def test_files_read_per_lookup_do_not_grow_with_the_history(spark, tmp_path):
         assert {r.id: r.user_level for r in jobs.users_of(spark, root, more, base=base).collect()} == {"3": "10", "new": "b"}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_first_days_move_and_a_day_reads_its_own_folder(spark, tmp_path):
+    root, settings = str(tmp_path), jobs.Settings(buckets=2)
+    by_day, by_device = jobs.first_seen_table(root, settings), jobs.device_table(root, settings)
+    write = jobs.first_seen_writer(root, settings, by_day.write_batch, by_device.write_batch)
+    visits = lambda *rows: spark.createDataFrame(list(rows), "mid string, logdate string")
+    first = [("a", "d2"), ("a", "d3"), ("b", "d2"), (None, "d1"), ("c", None)]
+    write(visits(*first), 0)
+    assert [jobs.new_devices(spark, root, d, settings).first().n for d in ("d1", "d2", "d3")] == [0, 2, 0]
+    write(visits(("a", "d1"), ("b", "d3"), ("c", "d3")), 1)
+    write(visits(("a", "d1"), ("b", "d3"), ("c", "d3")), 1)
+    write(visits(("a", "d2")), 2)
+    assert [jobs.new_devices(spark, root, d, settings).first().n for d in ("d1", "d2", "d3")] == [1, 1, 1]
+    files = jobs.new_devices(spark, root, "d2", settings).inputFiles()
+    assert files and all("/dt=d2/" in f for f in files)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillstream.config import JoinBound
+from tillstream.config import JoinBound, Settings
 from tillstream.operators.alerts import fired, windows_of_slots
 from tillstream.plans.alert_queries import SLIDING_SQL, TEXT
 from tillstream.plans.catalog import query
@@ -17,7 +17,7 @@ from tillstream.plans.metric_queries import FIRST_SQL
 from tillstream.session import scratch_path
 from tillstream.sources import domain
 from tillstream.sources.files import table_stream
-from tillstream.streaming import stateful
+from tillstream.streaming import jobs, stateful
 from tillstream.streaming.sinks import KeyedTable, upper_names
 
 
@@ -80,6 +80,40 @@ def stream_order_detail_join(spark, folder):
     return _appended(spark, joined.select(*columns), "joined")
 
 
+@query("""
+select o_orderkey, o_custkey from orders o
+where o_orderdate + interval 30 day < least(
+    (select max(o_orderdate) from orders), (select max(l_shipdate) from lineitem)) - interval 30 day
+  and not exists (select 1 from lineitem where l_orderkey = o_orderkey
+    and l_shipdate between o_orderdate - interval 30 day and o_orderdate + interval 30 day)
+""")
+def stream_unmatched_side(spark, folder):
+    # Orders are given out once the watermark, here 30 days behind the slower stream, has passed their time.
+    orders = table_stream(spark, folder, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("order_arrival"))
+    details = table_stream(spark, folder, "lineitem").select(
+        "l_orderkey", domain.detail_id().alias("order_detail_id"), F.col("l_shipdate").alias("detail_arrival"))
+    alone = stateful.unmatched_orders(
+        _zoned(orders, "order_arrival"), _zoned(details, "detail_arrival"),
+        JoinBound(seconds=30 * 86400, watermark="30 days", salts=4), "o_orderkey", "l_orderkey")
+    return _appended(spark, alone.select("o_orderkey", "o_custkey"), "unmatched")
+
+
+@query("""
+select log_date, count(*) as n from (select user_id, strftime(min(ts), '%Y-%m-%d') as log_date from events where user_id is not null group by user_id)
+group by log_date
+""")
+def stream_new_devices(spark, folder):
+    # Kept up to date batch by batch; the total of a day reads the folders of that day.
+    root, settings = scratch_path(spark, "devices"), Settings()
+    by_day, by_device = jobs.first_seen_table(root, settings), jobs.device_table(root, settings)
+    write = jobs.first_seen_writer(root, settings, by_day.write_batch, by_device.write_batch)
+    visits = _logs(spark, folder).select(F.col("mid").cast("string").alias("mid"), F.col("log_date").alias("logdate"))
+    visits.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(
+        availableNow=True).start().awaitTermination()
+    kept = by_day.read(spark, jobs.FIRST_SEEN_TABLE).where("is_first")
+    return kept.groupBy(F.col("dt").alias("log_date")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"""
 select mid, {TEXT.format('window_start')} as window_start, n_uids, n_events from ({SLIDING_SQL})
 where n_uids >= 3 and n_browse = 0

@@ -89,11 +89,15 @@ def _buckets(df: DataFrame, key: str, settings: Settings) -> list[int]:
     return [r.b for r in df.select(bucket_of(key, settings).alias("b")).distinct().collect()]
 
 
+#: Takes a micro-batch and its number.
+Write = Callable[[DataFrame, int], None]
+
+
 def _checkpoint(root: str, name: str) -> str:
     return f"{root}/_checkpoints/{name}"
 
 
-def _into(table: KeyedTable, root: str, name: str) -> Callable[[DataFrame, int], None]:
+def _into(table: KeyedTable, root: str, name: str) -> Write:
     """Batch writer under the id that the checkpoint gave the query, looked up at the first batch."""
     own: list[KeyedTable] = []
 
@@ -129,7 +133,9 @@ def dau_job(lines: DataFrame, root: str, settings: Settings = Settings(),
     logs = probe(ingest.startup_rows(lines).where(F.col("event_time").isNotNull()), "decoded")
     first = daily_first_updates(logs, ["ts", "uid"])
     rows = first.withColumnsRenamed({"log_date": "logdate", "log_hour": "loghour"}).select(*schemas.DAU_COLUMNS)
-    store, note = _into(dau_table(root, settings), root, "dau"), _first_seen(root, settings)
+    store = _into(dau_table(root, settings), root, "dau")
+    note = first_seen_writer(root, settings, *[
+        _into(table(root, settings), root, "dau") for table in (first_seen_table, device_table)])
 
     def write(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
@@ -141,15 +147,14 @@ def dau_job(lines: DataFrame, root: str, settings: Settings = Settings(),
     return _start(writer, root, "dau", settings.intervals.dau, once)
 
 
-def _first_seen(root: str, settings: Settings) -> Callable[[DataFrame, int], None]:
+def first_seen_writer(root: str, settings: Settings, by_day: Write, by_device: Write) -> Write:
     """Batch writer that keeps the first day of every device, and the devices by first day.
 
-    Only the buckets of the batch's devices are read. A device that turns out to have an earlier
-    first day is taken back from the day it was counted on. The table by device is written last: a
-    batch replayed before that finds it as the batch did.
+    Takes rows with ``mid`` and ``logdate``; ``by_day`` and ``by_device`` write the two tables. Only the
+    buckets of the batch's devices are read. A device that turns out to have an earlier first day is taken
+    back from the day it was counted on. The table by device is written last: a batch replayed before
+    that finds it as the batch did.
     """
-    by_day = _into(first_seen_table(root, settings), root, "dau")
-    by_device = _into(device_table(root, settings), root, "dau")
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
