@@ -60,3 +60,28 @@ def test_middle_of_a_long_word_counts(monkeypatch):
     full.learn([long])
     for w in long:
         assert cut.counts[cut[w]] == full.counts[full[w]] and abs(cut.sums[cut[w]] - full.sums[full[w]]) < 1e-9
+
+
+def test_a_labelled_id_with_many_rows_is_one_training_row(spark, make_docs):
+    docs = make_docs([(4, "good text")] * 400 + [(4, "another text"), (6, "bad"), (9, None)])
+    labels = spark.createDataFrame([(4, 1, 0), (6, 0, 0), (9, 0, 0)], "doc_id long, quality int, toxic int")
+    rows = quality.training_rows(docs, labels, quality.Settings(sample=2))
+    labelled = [d for d in (4, 6, 9) if zlib.crc32(str(d).encode()) % 5]
+    assert sorted(r.doc_id for r in rows.collect()) == labelled
+    assert all(bytes(r.text) == b"another text" for r in rows.collect() if r.doc_id == 4)
+
+
+def test_scores_equal_a_plain_average(spark, make_docs):
+    """The score of a text from its features one by one, against the sums per word."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" * int(rng.integers(1, 4)) for i in range(60)]
+    rows = [(d, " ".join(rng.choice(words[:40] if d % 2 else words[20:], int(rng.integers(0, 80))))) for d in range(120)]
+    labels = spark.createDataFrame([(d, d % 2, 0) for d in range(100)], "doc_id long, quality int, toxic int")
+    settings = quality.Settings()
+    sample = [(t.encode(), d % 2) for d, t in rows if d < 100 and zlib.crc32(str(d).encode()) % 5]
+    weights, bias = quality.train(sample, settings)
+    got = {r.doc_id: r.score for r in quality.score(make_docs(rows), labels).collect()}
+    for d, text in rows:
+        found, share = quality.features(text.encode(), settings)
+        want = 1 / (1 + np.exp(-(bias + float(share @ weights[found]))))
+        assert abs(got[d] - want) < 1e-9, d

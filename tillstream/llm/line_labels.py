@@ -170,8 +170,9 @@ def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     blank texts have no words and fail. Without labels of both kinds every line is content. Labels of
     held-out documents are not learned from. Further columns are ignored.
     """
-    sample = training_rows(docs, labels, _Sampling(sample=settings.sample))
-    weights, moves = train(sample, settings)
+    sample = training_rows(docs, labels, _Sampling(sample=settings.sample)).orderBy("doc_id")
+    rows = [(bytes(r.text) if r.text is not None else None, r.quality) for r in sample.toLocalIterator()]
+    weights, moves = train(rows, settings)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
         _rules(weights, moves, settings),

@@ -10,7 +10,7 @@ feature, so a text costs one lookup per word.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -107,23 +107,27 @@ def features(text: bytes | None, settings: Settings) -> tuple[np.ndarray, np.nda
     return used, total[used] / total.sum()
 
 
-def train(rows: list[tuple[bytes | None, int]], settings: Settings) -> tuple[np.ndarray, float]:
+def train(rows: Iterable[tuple[bytes | None, int]], settings: Settings) -> tuple[np.ndarray, float]:
     """Weight of every feature bucket and the bias, for the log odds of label 1.
 
-    Without rows of both classes every weight is 0 and the bias says the known class.
+    Without rows of both classes every weight is 0 and the bias says the known class. Texts are read
+    one by one; only their features are kept.
     """
     rng = np.random.default_rng(settings.seed)
-    labels = np.array([y for _, y in rows])
-    if not len(rows) or labels.min() == labels.max():
-        known = 0.0 if not len(rows) else (4.0 if labels[0] == 1 else -4.0)
+    labels, bags = [], []
+    for text, y in rows:
+        labels.append(y)
+        found, share = features(text, settings)
+        bags.append((found.astype(np.int32), share))
+    if len(set(labels)) < 2:
+        known = 0.0 if not labels else (4.0 if labels[0] == 1 else -4.0)
         return np.zeros(settings.buckets), known
-    bags = [features(text, settings) for text, _ in rows]
     vectors = rng.uniform(-1, 1, (settings.buckets, settings.width)) / settings.width
     layer = np.zeros((settings.width, 2))
     bias = np.zeros(2)
-    steps, done = settings.epochs * len(rows), 0
+    steps, done = settings.epochs * len(bags), 0
     for _ in range(settings.epochs):
-        for i in rng.permutation(len(rows)):
+        for i in rng.permutation(len(bags)):
             rate = settings.rate * (1 - done / steps)
             done += 1
             found, share = bags[i]
@@ -214,11 +218,12 @@ def fold_of(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> list[tuple[bytes | None, int]]:
-    """At most ``settings.sample`` labelled texts of each class outside the held-out fold.
+def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """At most ``settings.sample`` labelled texts of each class outside the held-out fold: (doc_id, text, quality).
 
     The first by a hash of the id are taken, so the choice is the same on each run. A document with
-    both labels counts as label 0.
+    both labels counts as label 0. Rows of one id are one text, the smallest, chosen in the map
+    tasks, so a labelled id that is repeated any number of times is still one row.
     """
     known = (
         labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
@@ -230,15 +235,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> lis
     ]
     chosen = picked[0].union(picked[1])
     rows = docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text")).join(chosen, "doc_id")
-    found = [(r.doc_id, bytes(r.text) if r.text is not None else None, r.quality)
-             for r in rows.select("doc_id", "text", "quality").toLocalIterator()]
-    found.sort(key=lambda r: (r[0], r[1] or b""))
-    return [(t, y) for _, t, y in found]
+    return rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).select("doc_id", "text", "quality")
+
+
+def _fit(rows: DataFrame, settings: Settings) -> tuple[np.ndarray, float]:
+    """Train on the bounded sample in one task; only the model comes to the driver."""
+
+    def run(batches: Batches) -> Batches:
+        weights, bias = train((row for batch in batches for row in zip(
+            texts(batch), batch.column("quality").to_pylist())), settings)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([weights.tobytes()], pa.binary()), pa.array([bias], pa.float64())], ["weights", "bias"])
+
+    ordered = rows.repartition(1).sortWithinPartitions("doc_id").select("text", "quality")
+    model = ordered.mapInArrow(run, "weights binary, bias double").first()
+    return (np.frombuffer(bytes(model.weights)), model.bias) if model else train([], settings)  # no rows, no task
 
 
 def with_score(docs: DataFrame, labels: DataFrame, name: str, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with the probability of label 1 as a further column ``name``, which must be new."""
-    weights, bias = train(training_rows(docs, labels, settings), settings)
+    weights, bias = _fit(training_rows(docs, labels, settings), settings)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     return docs.mapInArrow(_scorer(weights, bias, settings, name), schema)
 
