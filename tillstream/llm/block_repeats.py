@@ -24,11 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillstream.llm.scratch import partitions
 from tillstream.llm.words import Batches, WordIds, texts, windows
 
 #: Bytes of text per range of hashes.
-RANGE_BYTES = 24_000_000
+RANGE_BYTES = 12_000_000
 #: Keys that are sorted and packed together.
 GROUP_KEYS = 1_500_000
 PACKED = "bin int, docs array<long>, counts array<int>, flagged array<int>, packed binary"
@@ -267,7 +266,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, with_text: bool = False) -
     block = (window + 1) // 2
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bins = max(partitions(docs.sparkSession), size // RANGE_BYTES + 1)
+    # From the bytes alone: reply rows are one per range and group of documents that it has hits for.
+    bins = size // RANGE_BYTES + 1
     groups = 2 * bins
     part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")).cast("binary")) % groups
     placed = rows.withColumn("part", part)
