@@ -224,6 +224,28 @@ def test_alert_job_equals_batch(spark, tmp_path):
     assert got.count() > 0
 
 
+def test_pane_alerts_equal_windowed_alerts(spark, tmp_path):
+    """Gaps, several devices, batches and a slide of 20 seconds; no row is copied into windows."""
+    data = events(150, 11) + [{**e, "ts": e["ts"] + 7_200_000} for e in events(100, 12)]
+    for i in range(3):
+        write(tmp_path / "in", f"f{i}", data[i * 84:(i + 1) * 84])
+    write(tmp_path / "in", "z", [{"mid": "end", "evid": "addCart", "ts": ms(100_000)}])
+    rule = AlertRule(window="2 minutes", slide="20 seconds", min_uids=2)
+    found = stateful.pane_alerts(ingest.event_rows(stream(spark, tmp_path / "in")), rule)
+    out = str(tmp_path / "out")
+    query = found.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck")).trigger(
+        availableNow=True).start()
+    finish(query)
+    want = alerts.coupon_alerts(ingest.event_rows(batch(spark, tmp_path / "in")), rule)
+    columns = ["mid", "window_start", "window_end", "n_uids", "n_events"]
+    assert rows(spark.read.parquet(out).select(*columns)) == rows(want.select(*columns)) and want.count() > 10
+    plan = query._jsq.explainInternal(False)
+    assert "Expand" not in plan and "Generate" not in plan
+    # One row of state per slot with events and account, and one per device, not one per window.
+    held = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress]
+    assert max(held) < len(data) + 30
+
+
 def test_alert_members_from_the_stored_stream(spark, tmp_path):
     data = events(150, 6)
     for i in range(3):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tillstream.operators.skew import SALTS, join_spread
+from tillstream.operators.skew import join_spread
 
 Keys = list[str]
 UNORDERED = (T.MapType, T.VariantType)
@@ -59,15 +59,15 @@ def first_visit_times(logs: DataFrame, ts: str, day: Column, device: str = "mid"
     return logs.groupBy(day.alias("log_date"), device).agg(F.min(ts).alias("first_ts"))
 
 
-def not_seen(df: DataFrame, seen: DataFrame, keys: Keys, salts: int = SALTS) -> DataFrame:
+def not_seen(df: DataFrame, seen: DataFrame, keys: Keys, salts: int | None = None) -> DataFrame:
     """Rows whose key is not in ``seen``.
 
     The seen keys are made distinct first, so a repeated key weighs nothing in the join; the
-    rows of a hot key are spread over ``salts`` tasks.
+    rows of a heavy key are spread over several tasks (see :func:`join_spread`).
     """
     return join_spread(df, seen.select(*keys).distinct(), keys, "left_anti", salts)
 
 
-def is_seen(df: DataFrame, seen: DataFrame, keys: Keys, salts: int = SALTS) -> DataFrame:
+def is_seen(df: DataFrame, seen: DataFrame, keys: Keys, salts: int | None = None) -> DataFrame:
     """Rows whose key is in ``seen``."""
     return join_spread(df, seen.select(*keys).distinct(), keys, "left_semi", salts)

@@ -24,7 +24,7 @@ from tillstream.streaming.probe import probe
 from tillstream.sources import changelog
 from tillstream.streaming.sinks import KeyedTable, upper_names
 from tillstream.streaming.stateful import (
-    daily_first_updates, instant_alerts, orders_with_lines, windowed_alerts,
+    daily_first_updates, instant_alerts, orders_with_lines, pane_alerts,
 )
 
 
@@ -272,7 +272,7 @@ def alert_job(lines: DataFrame, root: str, settings: Settings = Settings(),
     quarantine_job(lines, "event", root, "alert", settings.intervals.alert, once)
     land_events(lines, root, settings, once)
     events = ingest.event_rows(lines).where(F.col("event_time").isNotNull())
-    alerts = windowed_alerts(events, settings.alert, watermark)
+    alerts = pane_alerts(events, settings.alert, watermark)
     docs = alerts.select(
         minute_doc_id(F.col("mid"), F.col("window_end")).alias("doc_id"), "mid",
         F.unix_millis("window_end").alias("ts"), "n_uids", "n_events",
