@@ -79,7 +79,7 @@ def test_one_of_each_group_stays_with_all_columns(spark, make_docs, odd_rows):
         (False, d) for d in (1, 2, 3, 4, 5, 7, 9, 11)] + [(True, 0)]
 
 
-@pytest.mark.parametrize("percent", [80, 90])
+@pytest.mark.parametrize("percent", [30, 50, 80, 90])
 def test_linked_sets_share_a_key(percent):
     """The guarantee of the fragments, on random sets around the limit."""
     rng = np.random.default_rng(5)
@@ -87,7 +87,7 @@ def test_linked_sets_share_a_key(percent):
     for _ in range(3000):
         size = int(rng.integers(1, 120))
         x = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
-        drop, add = rng.integers(0, max(1, size // 5) + 1, 2)
+        drop, add = rng.integers(0, max(1, size * (100 - percent) // percent) + 1, 2)
         y = np.unique(np.r_[rng.permutation(x)[: len(x) - drop], rng.integers(0, 2**64, add, dtype=np.uint64)])
         common = len(np.intersect1d(x, y))
         if len(y) and len(np.setxor1d(x, y)) and 100 * common >= percent * (len(x) + len(y) - common):
@@ -95,6 +95,18 @@ def test_linked_sets_share_a_key(percent):
             assert keys[0] & keys[1]
 
 
+def test_hardly_any_set_announces_empty_fragments():
+    """At 80 percent most sets have empty fragments; their lists would hold most sets."""
+    rng, table, many = np.random.default_rng(6), fragment_join.levels(80, 10_000), 0
+    for _ in range(1500):
+        x = np.unique(rng.integers(0, 2**64, int(rng.integers(60, 3000)), dtype=np.uint64))
+        keys = fragment_join.meeting_keys(x, table, 80)
+        i = next(i for i, level in enumerate(table) if len(x) <= level.high)
+        parts = table[i].parts + (table[i + 1].parts if 100 * len(x) >= 80 * table[i + 1].low else 0)
+        many += len(keys) == parts
+    assert many < 30
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1000), (None, 5)], "a long, b long")
     got = {r.node: r.component for r in components(links, "a", "b").collect()}

@@ -38,8 +38,9 @@ from tillstream.llm.words import Batches, WordIds, lists, mix, shingle_set, sign
 #: Fragments for counting overlaps, and finer ones whose parities bound the difference of two sets.
 COUNT_BITS = 4
 PARITY_BITS = 9
-#: Fragments beyond ``d + 1``: so many may be empty in a set before "empty" is announced as well.
-SPARE = 2
+#: Fragments beyond ``d + 1``: so many may be empty in a set before "empty" is announced as well. One in
+#: thirty or so is empty; with these hardly any set announces that, whose lists would hold most sets.
+SPARE, SPARE_SHARE = 2, 8
 GROWTH = 1.25
 #: Eighths of the order in which n-grams are counted. A set without partner has about this share of
 #: its n-grams there, which must be clearly more than the share that a link allows to differ.
@@ -48,20 +49,26 @@ COUNTED_EIGHTHS = 3
 
 @dataclass(frozen=True)
 class Level:
-    """Sets of ``low`` to ``high`` n-grams are cut into ``parts`` fragments (0: only equal sets link)."""
+    """Sets of ``low`` to ``high`` n-grams are cut into ``parts`` fragments (0: only equal sets link), of
+    which ``spare`` may be empty."""
 
     low: int
     high: int
     parts: int
+    spare: int
 
 
 def levels(percent: int, largest: int = 1 << 31) -> list[Level]:
-    """Size classes for links at ``100 * intersection >= percent * union``."""
+    """Size classes for links at ``100 * intersection >= percent * union``.
+
+    A class grows at least as much as a linked partner may be larger.
+    """
     out, low = [], 1
     while low <= largest:
-        high = max(low, int(low * GROWTH))
+        high = max(low, int(low * max(GROWTH, 100 / percent)))
         differ = 2 * high * (100 - percent) // (100 + percent)
-        out.append(Level(low, high, differ + 1 + SPARE if differ else 0))
+        spare = SPARE + differ // SPARE_SHARE
+        out.append(Level(low, high, differ + 1 + spare if differ else 0, spare))
         low = high + 1
     return out
 
@@ -83,7 +90,7 @@ def meeting_keys(values: np.ndarray, table: list[Level], percent: int) -> np.nda
         starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         names = mix(np.arange(level.parts, dtype=np.uint64) + np.uint64(i << 40))
         keys.append(mix(np.add.reduceat(values, starts) + names[part[starts].astype(np.int64)]))
-        if level.parts - len(starts) > SPARE:
+        if level.parts - len(starts) > level.spare:
             empty = np.ones(level.parts, bool)
             empty[part[starts].astype(np.int64)] = False
             keys.append(mix(~names[empty]))
