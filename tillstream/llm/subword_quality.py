@@ -93,18 +93,26 @@ def again_bucket(settings: Settings) -> int:
     return xxhash.xxh3_64_intdigest(b"\x00again") % settings.buckets
 
 
-def features(text: bytes | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the features of a whole text, and the share of each; both empty without words."""
+def bag(text: bytes | None, settings: Settings) -> tuple[np.ndarray, np.ndarray, int]:
+    """Buckets of the features of a whole text, how often each occurs, and their total, in small types."""
     words = (text or b"").split()
     if not words:
-        return np.empty(0, np.int64), np.empty(0)
+        return np.empty(0, np.uint16), np.empty(0, np.uint16), 0
     distinct, counts = zip(*Counter(words).items())
     total, times = np.zeros(settings.buckets), np.array(counts, float)
     for found, owner in word_features(list(distinct), settings):
         total += np.bincount(found, times[owner], settings.buckets)
     total[again_bucket(settings)] += again(WordIds().of(words), settings.look_back)
     used = np.flatnonzero(total)
-    return used, total[used] / total.sum()
+    often = total[used].astype(np.int64)
+    small = lambda x: x.astype(np.min_scalar_type(int(x.max(initial=0))))
+    return small(used), small(often), int(often.sum())
+
+
+def features(text: bytes | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the features of a whole text, and the share of each; both empty without words."""
+    found, often, total = bag(text, settings)
+    return found.astype(np.int64), often / max(1, total)
 
 
 def train(rows: Iterable[tuple[bytes | None, int]], settings: Settings) -> tuple[np.ndarray, float]:
@@ -117,8 +125,7 @@ def train(rows: Iterable[tuple[bytes | None, int]], settings: Settings) -> tuple
     labels, bags = [], []
     for text, y in rows:
         labels.append(y)
-        found, share = features(text, settings)
-        bags.append((found.astype(np.int32), share))
+        bags.append(bag(text, settings))
     if len(set(labels)) < 2:
         known = 0.0 if not labels else (4.0 if labels[0] == 1 else -4.0)
         return np.zeros(settings.buckets), known
@@ -130,7 +137,8 @@ def train(rows: Iterable[tuple[bytes | None, int]], settings: Settings) -> tuple
         for i in rng.permutation(len(bags)):
             rate = settings.rate * (1 - done / steps)
             done += 1
-            found, share = bags[i]
+            found, often, total = bags[i]
+            share = often / max(1, total)
             mean = share @ vectors[found]
             z = mean @ layer + bias
             odds = np.exp(z - z.max())
