@@ -16,7 +16,7 @@ from tillstream.config import AlertRule, JoinBound, Settings
 from tillstream.operators import alerts, dedup, ingest, metrics
 from tillstream.sources import files
 from tillstream.streaming import jobs, stateful
-from tillstream.streaming.probe import StageCounts
+from tillstream.streaming.probe import StageCounts, StoredCounts, probe
 
 T0 = datetime(2024, 1, 1, 6, tzinfo=timezone.utc)
 
@@ -414,3 +414,28 @@ def test_stage_counts_and_log_landing(spark, tmp_path):
     back = back.where(F.col("log_date") < "2024-01-03").where(F.get_json_object("value", "$.uid").isNotNull())
     assert {r.log_date for r in back.select(F.col("log_date").cast("string")).distinct().collect()} == {"2024-01-01", "2024-01-02"}
     assert sorted(json.loads(r.value)["ts"] for r in back.collect()) == sorted(r["ts"] for r in logs)
+
+
+def test_counts_are_stored_once_per_batch_and_stage(spark, tmp_path):
+    counts = StoredCounts(spark, str(tmp_path / "counts"))
+    spark.streams.addListener(counts)
+    try:
+        def run(files):
+            lines = probe(files_stream().where("value like '%a%'"), "kept")
+            finish(lines.writeStream.format("noop").queryName("counted").option("checkpointLocation", str(tmp_path / "ck"))
+                   .trigger(availableNow=True).start())
+            end = time.time() + 30
+            while counts.read().count() < files and time.time() < end:
+                time.sleep(0.5)
+
+        files_stream = lambda: probe(files.line_stream(spark, str(tmp_path / "in"), files_per_trigger=1), "read")
+        write(tmp_path / "in", "a", ["a", "b", "ab"])
+        write(tmp_path / "in", "b", ["b"])
+        run(4)
+        write(tmp_path / "in", "c", ["a"])
+        run(6)
+    finally:
+        spark.streams.removeListener(counts)
+    got = sorted((r.query, r.batch, r.stage, r.rows) for r in counts.read().collect())
+    assert got == [("counted", 0, "kept", 2), ("counted", 0, "read", 3), ("counted", 1, "kept", 0), ("counted", 1, "read", 1),
+                   ("counted", 2, "kept", 1), ("counted", 2, "read", 1)]

@@ -116,6 +116,13 @@ def page_sorted(spark, folder):
     return search.page(rows, [F.col("o_orderkey")], 1, 2)
 
 
+@query("select o_orderkey, o_custkey from orders order by o_custkey, o_orderkey limit 13 offset 37")
+def page_adapter(spark, folder):
+    # Grids ask by row offset and length, which need not fall on page bounds.
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return search.page_at_row(rows, [F.col("o_custkey"), F.col("o_orderkey")], 37, 13)
+
+
 @query("""
 select o_custkey, o_orderkey, o_orderstatus from orders where (o_custkey, o_orderkey) > (100, 500)
 order by o_custkey, o_orderkey limit 25
