@@ -53,14 +53,50 @@ def test_targets_and_taken_words(spark, make_docs):
     assert sorted(map(tuple, again)) == sorted(map(tuple, got))
 
 
-def test_inclusion_follows_the_ratio(spark, make_docs):
-    """Long and short documents are sampled alike: the mean chance is the ratio in both halves."""
-    rows = [(d, "w " * (1 + 9 * (d % 2)), "b" if d % 4 < 2 else "a") for d in range(8000)]
-    chance = defaultdict(list)
-    for r in mixing.mix(make_docs(rows)).collect():
-        chance[r.target / r.source_size, r.size].append(r.taken / r.size)
-    for (ratio, _), seen in chance.items():
-        assert abs(sum(seen) / len(seen) - ratio) < 0.06
+def expected_copies(sizes, target):
+    """Copies by size: whole ones for all, then in proportion to binary digits, none above one more."""
+    total = sum(sizes)
+    whole = target // total
+    rest, certain = target - whole * total, set()
+    while True:
+        parts = sum(s.bit_length() * s for s in sizes if s not in certain)
+        factor = (rest - sum(s for s in sizes if s in certain)) / parts
+        over = {s for s in sizes if s not in certain and factor * s.bit_length() >= 1}
+        if not over:
+            return {s: whole + (1 if s in certain else factor * s.bit_length()) for s in sizes}
+        certain |= over
+
+
+def test_inclusion_rates_over_seeds(spark, make_docs):
+    """The mean copies of a document follow its own odds, source by source and size by size."""
+    rows = [(d, "w " * (1, 3, 40, 500)[d % 4], "ab"[d % 5 < 2]) for d in range(600)]
+    size = {d: len(t.split()) for d, t, _ in rows}
+    of = {d: s for d, _, s in rows}
+    seen, target, seeds = defaultdict(list), {}, 12
+    for seed in range(seeds):
+        for r in mixing.mix(make_docs(rows), seed=seed).collect():
+            seen[of[r.doc_id], r.size].append(r.taken / r.size)
+            target[of[r.doc_id]] = r.target
+    unequal = 0
+    for s in "ab":
+        want = expected_copies([size[d] for d in of if of[d] == s], target[s])
+        unequal += len({round(w, 6) for w in want.values()}) > 1
+        for n, copies in want.items():
+            got = seen[s, n]
+            assert abs(sum(got) / len(got) - copies) < 4 * 0.5 / len(got) ** 0.5 + 0.01
+            assert {int(copies), -int(-copies // 1)} >= set(got)
+    assert unequal == 2
+
+
+def test_equal_rows_are_drawn_one_by_one(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "PIECE", 7)
+    rows = [(1, "one two three", "b")] * 300 + [(d, "four five", "a") for d in range(2, 400)] + [(None, None, None)] * 9
+    got = mixing.mix(make_docs(rows)).collect()
+    assert len(got) == len(rows)
+    for s, ids in (("b", {1}), ("a", set(range(2, 400)))):
+        mine = [r for r in got if r.doc_id in ids]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 1.5
+    assert len({r.taken for r in got if r.doc_id == 1}) == 2
 
 
 def test_odd_rows(spark, make_docs, odd_rows):
