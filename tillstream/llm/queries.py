@@ -104,20 +104,22 @@ items as (select item_id, len(w) as item_size, greatest(1, len(w) - 4) as span,
     then [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] else [array_to_string(w, ' ')] end as s
   from b where item_id is not null and len(w) > 0),
 t as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from documents),
-d as (select doc_id, len(w) as n, unnest([{'p': i - 1, 'g': array_to_string(w[i:i + 4], ' ')} for i in range(1, len(w) - 3)], recursive := true)
-  from t where len(w) >= 5),
-g as (select item_id, item_size, span, unnest(s) as g, unnest(range(len(s))) as q from items),
-known as (select d.* from d semi join g on d.g = g.g),
-meet as (select distinct k.doc_id, k.n, g.item_id, g.item_size, g.span, k.p - o as start
-  from known k join g on k.g = g.g cross join (select unnest(range(0, 60)) as o)
-  where k.p - o >= 0 and o < least(g.span, k.n - 4) and k.p - o <= (k.n - 4) - least(g.span, k.n - 4)),
-mine as (select m.doc_id, m.n, m.item_id, m.item_size, m.span, m.start, k.g, count(*) as here
-  from meet m join known k on k.doc_id = m.doc_id and k.p between m.start and m.start + least(m.span, m.n - 4) - 1
+d as (select doc_id, len(w) as n, greatest(1, len(w) - 4) as total, case when len(w) >= 5
+    then [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] else [array_to_string(w, ' ')] end as s
+  from t where doc_id is not null and len(w) > 0),
+e as (select doc_id, total, unnest(s) as g, unnest(range(len(s))) as p from d),
+g as (select item_id, item_size, span, unnest(s) as g from items),
+known as (select e.* from e semi join g on e.g = g.g),
+near as (select distinct k.doc_id, k.total, k.p, g.item_id, g.item_size, g.span from known k join g on k.g = g.g),
+meet as (select distinct doc_id, total, item_id, item_size, span, p - o as start
+  from (select *, unnest(range(least(span, total))) as o from near) where p - o >= 0 and p - o <= total - least(span, total)),
+mine as (select m.doc_id, m.total, m.item_id, m.item_size, m.span, m.start, k.g, count(*) as here
+  from meet m join known k on k.doc_id = m.doc_id and k.p between m.start and m.start + least(m.span, m.total) - 1
   group by all),
 theirs as (select item_id, g, count(*) as there from g group by all),
-common as (select doc_id, n, item_id, item_size, span, start, sum(least(here, there)) as common
+common as (select doc_id, total, item_id, item_size, span, start, sum(least(here, there)) as common
   from mine join theirs using (item_id, g) group by all),
-scored as (select *, common / (least(span, n - 4) + span - common) as similarity from common)
+scored as (select *, common / (least(span, total) + span - common) as similarity from common)
 select doc_id, item_id, cast(start as int) as start_word, cast(item_size as int) as item_words, cast(similarity as double) as similarity
 from scored where similarity >= 0.8
 qualify row_number() over (partition by doc_id, item_id order by similarity desc, start, item_size desc) = 1
@@ -134,11 +136,15 @@ def op2_quality(spark, folder):
 
 
 @query(r"""
-with rows as (
+with hashed as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
-    (cast('0x' || substr(md5(concat(coalesce(cast(doc_id as varchar), ''), chr(31), coalesce(text, ''), chr(31), '1')), 1, 13) as bigint)
-      + 0.5::double) / 4503599627370496::double as u
+    md5(concat(coalesce(cast(doc_id as varchar), ''), chr(31), coalesce(text, ''), chr(31), '1')) as digest
   from documents),
+numbered as (select *, row_number() over (partition by doc_id, source, size, digest) as k, length(bin(size)) as digits from hashed),
+rows as (
+  select *, (cast('0x' || substr(case when k = 1 then digest else md5(digest || ':' || k) end, 1, 13) as bigint)
+      + 0.5::double) / 4503599627370496::double as u
+  from numbered),
 sizes as (select source, sum(size) as s from rows group by source),
 weighted as (
   select *, ((row_number() over (order by encode(source) nulls last) - 1) % 3 + 1)::double as w from sizes),
@@ -150,15 +156,30 @@ share as (select max(c) as c from filled where c * w <= 3.0::double * s),
 wanted as (
   select source, s, least(3.0::double * s, w * share.c) as target, case when s > 0 then least(3.0::double * s, w * share.c) / s else 0 end as ratio
   from filled cross join share),
+classes as (
+  select r.source, digits, w.s, w.target, floor(ratio) as whole, target - floor(ratio) * w.s as rest, sum(size) as c
+  from rows r join wanted w on r.source is not distinct from w.source group by all),
+tried as (
+  select *, (rest - coalesce(sum(c) over (o rows between unbounded preceding and 1 preceding), 0))::double
+      / nullif(sum(digits * c) over (o rows between current row and unbounded following), 0)::double as f
+  from classes window o as (partition by source order by digits desc)),
+rated as (
+  select *, greatest(0, least(1, coalesce(digits * max(case when f * digits <= 1 then f end) over (partition by source), 1))) as rate from tried),
+chances as (
+  select source, digits, s, target, whole + case when rate >= 1 and rest > 0 then 1 else 0 end as copies,
+    case when rate >= 1 then 0 else rate end as chance,
+    rest - sum(case when rate >= 1 then c else 0 end) over (partition by source) as quota
+  from rated),
 odds as (
-  select r.*, w.s, w.target, floor(ratio) as copies, ratio - floor(ratio) as chance,
-    case when ratio > floor(ratio) then (u / (1 - u)) / ((ratio - floor(ratio)) / (1 - (ratio - floor(ratio)))) else 0 end as odds
-  from rows r join wanted w on r.source is not distinct from w.source),
+  select r.*, c.s, c.target, copies, chance, quota,
+    case when chance > 0 then (u / (1 - u)) / (chance / (1 - chance)) else 0 end as odds
+  from rows r join chances c on r.source is not distinct from c.source and r.digits = c.digits),
 running as (
-  select *, coalesce(sum(size) over (partition by source order by odds, doc_id, size rows between unbounded preceding and 1 preceding), 0) as before
+  select *, coalesce(sum(case when chance > 0 then size else 0 end) over (
+    partition by source order by odds, doc_id, size rows between unbounded preceding and 1 preceding), 0) as before
   from odds)
 select doc_id, cast(size as bigint) as size, cast(s as bigint) as source_size, target,
-  cast((copies + case when chance > 0 and before + size / 2 <= target - copies * s then 1 else 0 end) * size as bigint) as taken
+  cast((copies + case when chance > 0 and before + size / 2 <= quota then 1 else 0 end) * size as bigint) as taken
 from running
 """)
 def op3_source_mix(spark, folder):
