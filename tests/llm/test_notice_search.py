@@ -49,3 +49,18 @@ def test_base_phrases_equal_brute_force(spark, make_docs, odd_rows):
 
 def test_empty_table(spark, make_docs):
     assert notices.find_notices(make_docs([])).count() == 0
+
+
+def test_edited_notices_beside_better_ones(spark, make_docs):
+    """No place hides another of the same notice beside it; equal places are given once."""
+    notice = notices.Notice("mit", "released under the mit license", 3)
+    edited, exact, far = "released under the mit licence", notice.words, "relased undr the mit licence"
+    rows = [(1, f"{edited} {exact} foo"), (2, f"{exact} {edited} {exact}"), (3, f"{edited} {edited} x {far} {exact}"), (4, far),
+            (5, " ".join([edited, exact] * 3000))]
+    got = {r.doc_id: [(m.first_word, m.last_word, m.errors) for m in r.matches]
+           for r in notices.find_notices(make_docs(rows), (), (notice,)).collect()}
+    assert got[1] == [(0, 4, 1), (5, 9, 0)]
+    assert got[2] == [(0, 4, 0), (5, 9, 1), (10, 14, 0)]
+    assert got[3] == [(0, 4, 1), (5, 9, 1), (11, 15, 3), (16, 20, 0)]
+    assert got[4] == [(0, 4, 3)]
+    assert got[5] == [(5 * i, 5 * i + 4, 1 - i % 2) for i in range(6000)]

@@ -2,13 +2,15 @@
 
 A notice with at most ``k`` edits, cut into ``k + 1`` pieces, holds at least one piece unchanged.
 All pieces of all notices are searched at once with one automaton; around each piece found, the
-``regex`` library matches the whole notice with bounded errors and gives span and edits. Notices
+``regex`` library matches the whole notice with bounded errors and gives span and edits. Of places of
+one notice that overlap in more than the blank between them the one with fewer edits counts. Notices
 without allowed edits are their own only piece. Words are runs of letters and digits (A-Z in lower
 case; everything beyond ASCII counts as a letter), joined by one space for the search.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -83,36 +85,47 @@ class Searcher:
         self.patterns = [
             regex.compile(f"(?b)(?:{regex.escape(n.needle)}){{e<={n.errors}}}") if n.errors else None for n in notices]
 
-    def windows(self, line: str) -> dict[int, list[list[int]]]:
-        """Stretches of ``line`` to look at, by notice; overlapping ones are one."""
-        found: dict[int, list[list[int]]] = {}
+    def windows(self, line: str) -> dict[int, set[int]]:
+        """Where a notice would start in ``line`` if the piece found stood at its place, by notice."""
+        found: dict[int, set[int]] = {}
         for end, (length, uses) in self.automaton.iter(line):
             for i, offset in uses:
-                k, start = self.notices[i].errors, end + 1 - length - offset
-                low, high = max(0, start - k), start + len(self.notices[i].needle) + k
-                spans = found.setdefault(i, [])
-                # Pieces of one notice can be found out of order of the notice's start.
-                if spans and k and low <= spans[-1][1]:
-                    spans[-1] = [min(low, spans[-1][0]), max(high, spans[-1][1])]
-                else:
-                    spans.append([low, high])
+                found.setdefault(i, set()).add(end + 1 - length - offset)
         return found
 
+    def places(self, line: str, i: int, starts: set[int]) -> list[tuple[int, int, int]]:
+        """(start, end, errors) of a notice around the places of its pieces, in order.
+
+        Each is matched in a stretch of its own, so no match hides another that lies beside it.
+        """
+        notice, pattern = self.notices[i], self.patterns[i]
+        size, k = len(notice.needle), notice.errors
+        if pattern is None:
+            return [(s, s + size, 0) for s in sorted(starts)]
+        matches = (pattern.search(line, max(0, s - k), s + size + k) for s in starts)
+        kept: list[tuple[int, int, int]] = []
+        for errors, start, end in sorted({(sum(m.fuzzy_counts), m.start(), m.end()) for m in matches if m}):
+            at = bisect_left(kept, (start, end, errors))
+            if (at == 0 or kept[at - 1][1] - 1 <= start) and (at == len(kept) or end - 1 <= kept[at][0]):
+                insort(kept, (start, end, errors))
+        return kept
+
     def search(self, words: list[bytes]) -> list[dict]:
         line = f" {b' '.join(words).decode('utf-8', 'replace')} "
         out = []
-        for i, spans in self.windows(line).items():
-            notice, pattern = self.notices[i], self.patterns[i]
-            for low, high in spans:
-                hits = [(low, high, 0)] if pattern is None else [
-                    (m.start(), m.end(), sum(m.fuzzy_counts)) for m in pattern.finditer(line, low, high)]
-                for start, end, errors in hits:
-                    inner = line[start:end].strip()
-                    first = line.count(" ", 0, start + (line[start : start + 1] == " ")) - 1
-                    out.append({
-                        "label": notice.label, "base": i < self.exact, "first_word": first,
-                        "last_word": first + inner.count(" "), "errors": errors,
-                        "score": max(0.0, 1 - errors / len(notice.needle)), "text": inner})
+        for i, starts in self.windows(line).items():
+            notice = self.notices[i]
+            at = blanks = 0
+            for start, end, errors in self.places(line, i, starts):
+                inner = line[start:end].strip()
+                begin = start + (line[start : start + 1] == " ")
+                # Blanks are counted on from the place before; two places share one blank at most.
+                blanks += line.count(" ", at, begin) if begin >= at else -line.count(" ", begin, at)
+                at, first = begin, blanks - 1
+                out.append({
+                    "label": notice.label, "base": i < self.exact, "first_word": first,
+                    "last_word": first + inner.count(" "), "errors": errors,
+                    "score": max(0.0, 1 - errors / len(notice.needle)), "text": inner})
         out.sort(key=lambda m: (m["first_word"], m["last_word"], m["label"], not m["base"]))
         return out
 
