@@ -85,3 +85,13 @@ def test_no_line_of_a_key_is_left(spark, make_docs):
     assert {got.pop(50)} == {"[secret] is named first, then\n[secret] and [secret] out"}
     assert got.pop(51) == "x [secret]host y"
     assert set(got.values()) == {"before\n[secret]\nplain words after"}
+
+
+def test_repeated_rows_are_scanned_once(spark, make_docs, monkeypatch):
+    rows, scanned = [(1, f"x {KEY}")] * 1000 + [(None, f"x {KEY}")] * 5 + [(2, TEXT)] * 7, []
+    whole = ledger.findings_of
+    monkeypatch.setattr(ledger, "findings_of", lambda blobs, rules: scanned.append(blobs.count()) or whole(blobs, rules))
+    found, _, findings = ledger.scan(make_docs(rows), "doc_id", ledger.BASE_RULES)
+    assert scanned == [2] and findings.count() == 1 + len(brute(TEXT))
+    got = sorted((str(r.row.doc_id), spans(r)) for r in found.collect())
+    assert got == sorted((str(d), brute(t)) for d, t in rows)

@@ -137,9 +137,10 @@ def scan(versions: DataFrame, path_column: str, rules: tuple[Rule, ...] = RULES,
         F.sha2(text, 256).alias("blob"), text.alias("text"),
         F.coalesce(F.col(path_column).cast("string"), F.lit("")).alias("path_id"))
     lacking = save(unseen(paths.select("path_id", "blob"), ledger, rules), "unseen")
-    # A path that is listed twice is scanned twice here; its findings are made one.
-    texts = lacking.join(paths, ["path_id", "blob"])
-    new_findings = save(findings_of(texts.select("blob", "text", "missing"), rules).distinct(), "findings")
+    # Rows of one path and blob are made one in the map tasks, however many there are, and scanned once.
+    once = paths.groupBy("path_id", "blob").agg(F.first("text").alias("text"))
+    texts = lacking.join(once, ["path_id", "blob"])
+    new_findings = save(findings_of(texts.select("blob", "text", "missing"), rules), "findings")
     marked = lacking.select("blob", F.explode("missing").alias("m")).select("blob", F.split("m", "@").alias("m")).select(
         "blob", F.col("m")[0].alias("rule"), F.col("m")[1].cast("int").alias("version"))
     ledger, findings = ledger.unionByName(marked), findings.unionByName(new_findings)
