@@ -7,6 +7,7 @@ import time
 from collections import defaultdict
 from datetime import datetime, timedelta, timezone
 from random import Random
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
@@ -306,9 +307,28 @@ def test_every_job_quarantines_what_it_cannot_use(spark, tmp_path):
         want = sorted(b if isinstance(b, str) else json.dumps(b) for b in bad[kind])
         assert sorted(v for _, _, v in quarantined(spark, root, job)) == want, job
     assert [t for t, _ in sent] == [Settings().topics.order_info] and json.loads(sent[0][1]) == {"id": "1"}
+    split = {"gmv", "user", "change"}  # One query reads the source and writes both parts.
+    checkpoints = {p.name for p in (tmp_path / "out" / "_checkpoints").iterdir()}
+    assert not checkpoints & {f"quarantine_{job}" for job in split} and split < checkpoints
     assert jobs.dau_table(root).read(spark, jobs.DAU_TABLE).count() == 1
 
 
+def test_replayed_batch_leaves_its_bad_lines_once(spark, tmp_path):
+    root = tmp_path / "out"
+    write(tmp_path / "in", "a", [{"id": "1", "total_amount": "1.5", "create_time": "2024-01-01 10:00:00"}, "bad one"])
+    write(tmp_path / "in", "b", ["bad two", "bad two"])
+    run = lambda: finish(jobs.gmv_job(stream(spark, tmp_path / "in"), str(root), once=True))
+    run()
+    for commit in (root / "_checkpoints" / "gmv" / "commits").glob("*1*"):  # As if the job had died before.
+        commit.unlink()
+    run()
+    write(tmp_path / "in", "c", [{"id": "2", "total_amount": "1", "create_time": "2024-01-01 11:00:00"}])
+    run()
+    assert sorted(v for _, _, v in quarantined(spark, root, "gmv")) == ["bad one", "bad two", "bad two"]
+    assert len(list((root / "quarantine" / "gmv").glob("batch=*"))) == 2
+    assert jobs.order_table(str(root)).read(spark, jobs.ORDER_TABLE).count() == 2
+
+
 def test_intake_stamps_lands_and_routes(spark, tmp_path):
     lines = [{"type": "startup", "mid": "a", "ts": 1}, {"type": "event", "mid": "b"}, {"mid": "c"}, "not json"]
     write(tmp_path / "in", "a", lines)
@@ -405,6 +425,12 @@ def test_stage_counts_and_log_landing(spark, tmp_path):
     finally:
         spark.streams.removeListener(counts)
     assert [n for _, s, n in counts.counts if s == "decoded"][:2] == [30, 20]
+    zone, known, unseen = ZoneInfo(spark.conf.get("spark.sql.session.timeZone")), set(), []
+    for part in (logs[:30], logs[30:]):
+        keys = [(r["mid"], datetime.fromtimestamp(r["ts"] / 1000, zone).date()) for r in part]
+        unseen.append(sum(k not in known for k in keys))
+        known |= set(keys)
+    assert [n for _, s, n in counts.counts if s == "unseen"][:2] == unseen and 0 < unseen[1] < 20
     assert counts.totals["decoded"] == sum(n for _, s, n in counts.counts if s == "decoded") and counts.totals["first"] > 0
     assert sum(n for _, s, n in counts.counts if s == "late") == 1
     lines = stream(spark, tmp_path / "in").withColumn("ts", F.get_json_object("value", "$.ts").cast("bigint"))

@@ -1,8 +1,9 @@
 """The jobs. Each takes decoded-text streams (``value``, ``arrival``) and a root folder.
 
 Sources are passed in, so the same job runs on Kafka, on files or in a test. Delivery: the
-offsets live in the checkpoint and every sink replaces what a replayed batch wrote before. Every
-job has a second query that appends the lines it cannot use to ``quarantine/<job>``.
+offsets live in the checkpoint and every sink replaces what a replayed batch wrote before. The
+lines a job cannot use go to ``quarantine/<job>``: by the same query where the job keeps no state,
+else by a second one.
 """
 
 from __future__ import annotations
@@ -89,6 +90,11 @@ def _buckets(df: DataFrame, key: str, settings: Settings) -> list[int]:
     return [r.b for r in df.select(bucket_of(key, settings).alias("b")).distinct().collect()]
 
 
+def _query_id(spark: SparkSession, root: str, name: str) -> str:
+    """The id that its checkpoint gave the query."""
+    return json.loads(spark.read.text(f"{_checkpoint(root, name)}/metadata").first().value)["id"]
+
+
 #: Takes a micro-batch and its number.
 Write = Callable[[DataFrame, int], None]
 
@@ -103,9 +109,7 @@ def _into(table: KeyedTable, root: str, name: str) -> Write:
 
     def write(df: DataFrame, batch_id: int) -> None:
         if not own:
-            spark = df.sparkSession
-            meta = spark.read.text(f"{_checkpoint(root, name)}/metadata").first().value
-            own.append(table.of_writer(json.loads(meta)["id"]))
+            own.append(table.of_writer(_query_id(df.sparkSession, root, name)))
         own[0].write_batch(df, batch_id)
 
     return write
@@ -121,6 +125,25 @@ def quarantine_job(lines: DataFrame, kind: str, root: str, name: str, interval:
     return query
 
 
+def _start_split(lines: DataFrame, kind: str, good: Callable[[DataFrame], DataFrame], write: Write, root: str, name: str,
+                 interval: str, once: bool) -> StreamingQuery:
+    """One query for a job without state: ``write`` takes the ``good`` rows of each batch, the quarantine the rest.
+
+    The rejected lines of a batch are a folder of its own, which a replay replaces; a batch without any has none.
+    """
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        spark, df = df.sparkSession, df.persist()
+        bad = ingest.rejected(df, kind)
+        if not bad.isEmpty():
+            path = f"{root}/quarantine/{name}/batch={_query_id(spark, root, name)}.{batch_id}"
+            bad.write.mode("overwrite").json(path)
+        write(good(df), batch_id)
+        df.unpersist()
+
+    return _start(lines.writeStream.foreachBatch(batch), root, name, interval, once)
+
+
 def _start(writer: DataStreamWriter, root: str, name: str, interval: str, once: bool) -> StreamingQuery:
     writer = writer.option("checkpointLocation", _checkpoint(root, name)).queryName(name)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
@@ -128,10 +151,14 @@ def _start(writer: DataStreamWriter, root: str, name: str, interval: str, once:
 
 def dau_job(lines: DataFrame, root: str, settings: Settings = Settings(),
             once: bool = False) -> StreamingQuery:
-    """Startup lines to one row per device and day."""
+    """Startup lines to one row per device and day.
+
+    Stages counted by batch: rows ``decoded``, rows ``unseen`` (of devices not known for their day before the
+    batch), and ``first``, the rows given out.
+    """
     quarantine_job(lines, "startup", root, "dau", settings.intervals.dau, once)
     logs = probe(ingest.startup_rows(lines).where(F.col("event_time").isNotNull()), "decoded")
-    first = daily_first_updates(logs, ["ts", "uid"])
+    first = daily_first_updates(logs, ["ts", "uid"], unseen="unseen")
     rows = first.withColumnsRenamed({"log_date": "logdate", "log_hour": "loghour"}).select(*schemas.DAU_COLUMNS)
     store = _into(dau_table(root, settings), root, "dau")
     note = first_seen_writer(root, settings, *[
@@ -184,23 +211,27 @@ def gmv_job(lines: DataFrame, root: str, settings: Settings = Settings(),
 
     With ``upper`` the stored columns have upper-case names, as wide-column stores expect them.
     """
-    quarantine_job(lines, "order", root, "gmv", settings.intervals.gmv, once)
-    orders = ingest.order_rows(lines).select(*ORDER_TABLE.fieldNames())
     table = order_table(root, settings)
     if upper:
-        orders, table = upper_names(orders), replace(
-            table, keys=("ID",), day="CREATE_DATE", order=("CREATE_TIME",))
-    return _start(orders.writeStream.foreachBatch(_into(table, root, "gmv")), root, "gmv", settings.intervals.gmv, once)
+        table = replace(table, keys=("ID",), day="CREATE_DATE", order=("CREATE_TIME",))
+
+    def orders(df: DataFrame) -> DataFrame:
+        rows = ingest.order_rows(df).select(*ORDER_TABLE.fieldNames())
+        return upper_names(rows) if upper else rows
+
+    return _start_split(lines, "order", orders, _into(table, root, "gmv"), root, "gmv", settings.intervals.gmv, once)
 
 
 def user_job(lines: DataFrame, root: str, settings: Settings = Settings(),
              once: bool = False) -> StreamingQuery:
     """User records to the user table: the newest row per user wins."""
-    quarantine_job(lines, "user", root, "user", settings.intervals.user, once)
-    users = ingest.user_rows(lines, keep=("arrival",)).withColumn("bucket", bucket_of("id", settings)).select(
-        "arrival", *USER_TABLE.fieldNames())
+
+    def users(df: DataFrame) -> DataFrame:
+        return ingest.user_rows(df, keep=("arrival",)).withColumn("bucket", bucket_of("id", settings)).select(
+            "arrival", *USER_TABLE.fieldNames())
+
     write = _into(user_table(root, settings), root, "user")
-    return _start(users.writeStream.foreachBatch(write), root, "user", settings.intervals.user, once)
+    return _start_split(lines, "user", users, write, root, "user", settings.intervals.user, once)
 
 
 def load_users(users: DataFrame, root: str, settings: Settings = Settings(), load: int = 0) -> None:
@@ -352,6 +383,8 @@ def intake_job(lines: DataFrame, root: str, send: Send, settings: Settings = Set
 
 def change_job(lines: DataFrame, root: str, send: Send, settings: Settings = Settings(), once: bool = False) -> StreamingQuery:
     """Change records to the topics of orders, order lines and users."""
-    quarantine_job(lines, "change", root, "change", settings.intervals.user, once)
-    records = changelog.topic_records(lines, settings.topics)
-    return _start(records.writeStream.foreachBatch(lambda df, _: send(df)), root, "change", settings.intervals.user, once)
+
+    def records(df: DataFrame) -> DataFrame:
+        return changelog.topic_records(df, settings.topics)
+
+    return _start_split(lines, "change", records, lambda df, _: send(df), root, "change", settings.intervals.user, once)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tillstream.streaming.sinks import KeyedTable
@@ -12,9 +12,13 @@ COUNT_TABLE = T.StructType([
     T.StructField("rows", T.LongType()), T.StructField("dt", T.StringType())])
 
 
-def probe(df: DataFrame, stage: str) -> DataFrame:
-    """Count the rows that pass this point; the count arrives with the batch's progress."""
-    return df.observe(stage, F.count(F.lit(1)).alias("rows"))
+def probe(df: DataFrame, stage: str, rows: Column | None = None) -> DataFrame:
+    """Count the rows that pass this point; the count arrives with the batch's progress.
+
+    With ``rows`` each row stands for that many.
+    """
+    n = F.count(F.lit(1)) if rows is None else F.coalesce(F.sum(rows), F.lit(0))
+    return df.observe(stage, n.alias("rows"))
 
 
 class StageCounts(StreamingQueryListener):

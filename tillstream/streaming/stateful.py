@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 import tillstream
 from tillstream.config import AlertRule, JoinBound
 from tillstream.operators.alerts import event_counts, fired, is_browse, is_coupon, seconds_of
+from tillstream.streaming.probe import probe
 
 # The processors travel to the workers as code, so these need no copy of the package.
 cloudpickle.register_pickle_by_value(tillstream)
@@ -39,21 +40,31 @@ def _shrink(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T
 
 def daily_first_updates(logs: DataFrame, order: list[str], watermark: str = "1 day",
                         day_start: str = "0 seconds", ts: str = "event_time",
-                        day: str = "log_date", device: str = "mid") -> DataFrame:
+                        day: str = "log_date", device: str = "mid", unseen: str | None = None) -> DataFrame:
     """Earliest row per device and day as a streaming aggregate (use output mode ``update``).
 
     Built-in and exact: a row that arrives late but is earlier replaces the one given out
     before, through the upsert key (day, device). The day window carries the watermark that
     drops old state. Where the session's days start at another time than the window's, which
     ``day_start`` can shift, a device has two rows for a day; the table keeps the earliest.
+
+    ``unseen`` names a stage that counts a batch's rows of devices not known for their day before the
+    batch. A device is new in the batch whose time is the first it was counted at; all its rows are of it.
     """
     first = [*order, *[c for c in logs.columns if c not in order and c not in (day, device)]]
-    return (
+    counts = []
+    if unseen is not None:
+        logs = logs.withColumn("_at", F.current_timestamp())
+        counts = [F.min("_at").alias("_since"), F.count(F.lit(1)).alias("_rows")]
+    found = (
         logs.withWatermark(ts, watermark)
         .groupBy(F.window(ts, "1 day", startTime=day_start).alias("_day"), day, device)
-        .agg(F.min(F.struct(*first)).alias("_first"))
-        .select(day, device, "_first.*")
+        .agg(F.min(F.struct(*first)).alias("_first"), *counts)
     )
+    if unseen is not None:
+        found = found.withColumn("_rows", F.when(F.col("_since") == F.current_timestamp(), F.col("_rows")))
+        found = probe(found, unseen, F.col("_rows"))
+    return found.select(day, device, "_first.*")
 
 
 class DailyFirst(StatefulProcessor):
