@@ -32,6 +32,28 @@ def test_reputation_shrinks_to_the_domain(spark):
     assert got["new.site.com"].bad_rate > 0.5 > got["one.home.com"].lower_bound
 
 
+def test_suffixes_of_a_table(spark):
+    rules = spark.createDataFrame([("com",), ("co.uk",), ("*.ck",), ("!www.ck",), ("a.b.c.d",), ("CO.UK ",), (None,), ("",)],
+                                  "suffix string")
+    want = {"": ("", ""), "uk": ("uk", "uk"), "co.uk": ("co.uk", "co.uk"), "x.y.co.uk": ("co.uk", "y.co.uk"), "shop.com": ("com", "shop.com"),
+            "a.x.ck": ("x.ck", "a.x.ck"), "b.a.x.ck": ("x.ck", "a.x.ck"), "s.www.ck": ("ck", "www.ck"), "ck": ("ck", "ck"),
+            "z.a.b.c.d": ("a.b.c.d", "z.a.b.c.d"), "b.c.d": ("d", "c.d"), "n.org": ("org", "n.org"), "x" + ".l" * 5000 + ".de": ("de", "l.de")}
+    table = spark.createDataFrame([(h,) for h in want], "host string")
+    assert {r.host: (r.suffix, r.domain) for r in hosts.with_domain(table, rules).collect()} == want
+    plain = {r.host: r.domain for r in hosts.with_domain(table, rules.limit(0)).collect()}
+    assert plain["x.y.co.uk"] == "co.uk" and len(plain) == len(want)
+    assert {r.host: r.domain for r in hosts.with_domain(table).collect()}["x.y.co.uk"] == "y.co.uk"
+
+
+def test_repeated_pages_equal_rules_and_long_urls(spark):
+    long = "http://h.net/" + "p" * 300_000
+    table = spark.createDataFrame([(1, long), (1, long), (2, "http://a.com/"), (None, "http://a.com/")], "page_id long, url string")
+    rules = (hosts.UrlRule("allow", "net"), hosts.UrlRule("block", "net"))
+    got = hosts.filter_urls(table, spark.createDataFrame([(1, 1), (2, 0)], "page_id long, bad int"), rules).collect()
+    assert sorted((r.page_id or 0, r.verdict, r.rule) for r in got) == [
+        (0, "allow", None), (1, "allow", "net/"), (1, "allow", "net/"), (2, "allow", None)]
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], "page_id long, bad int")
     assert hosts.filter_urls(pages(spark, ["x"]).limit(0), none).count() == 0

@@ -37,8 +37,8 @@ RULES = (
     UrlRule("block", "net"), UrlRule("allow", "example.net", "/en/"), UrlRule("block", "example.com", "/de/"),
     UrlRule("allow", "org", "/fr/"),
 )
-#: Suffixes of two labels under which domains are registered; all others are the last label.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "com.cn")
+#: Suffixes of several labels that hold where the caller gives no table; all others are the last label.
+SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "com.cn")
 
 
 @dataclass(frozen=True)
@@ -58,14 +58,30 @@ def host_and_path(url: str) -> tuple[Column, Column]:
     return F.translate(F.regexp_extract(text, pattern, 1), UPPER, LOWER), F.regexp_extract(text, pattern, 2)
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+def with_domain(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """``hosts`` (different ``host``) with ``suffix``, under which others register, and ``domain``, one label more.
 
-
-def domain_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+    ``suffixes`` has a column ``suffix`` in the form of public suffix lists: ``co.uk``; ``*.ck`` for any
+    label before ``ck``; ``!www.ck`` for a domain such a rule leaves out. The longest that fits counts,
+    an exception before all others; where none fits, the last label is the suffix. The table may be of
+    any size: a host meets it by its own last labels, as many as the widest rule has.
+    """
+    if suffixes is None:
+        suffixes = hosts.sparkSession.createDataFrame([(s,) for s in SUFFIXES], "suffix string")
+    rules = suffixes.select(F.translate(F.trim("suffix"), UPPER, LOWER).alias("key")).where("key <> ''").distinct()
+    widest = rules.agg(F.max(F.size(F.split("key", r"\.")))).first()[0] or 1
+    ends = F.expr(f"""transform(sequence(1, least({widest}, size(split(host, '[.]')))), i -> array(
+        struct(substring_index(host, '.', -i) as key, false as exempt, i as labels),
+        struct('*.' || substring_index(host, '.', -i) as key, false as exempt, i + 1 as labels),
+        struct('!' || substring_index(host, '.', -i) as key, true as exempt, i - 1 as labels)))""")
+    fitting = (
+        hosts.select("host", F.inline(F.flatten(ends))).join(rules, "key").groupBy("host")
+        .agg(F.max(F.struct("exempt", "labels")).alias("best")).select("host", F.col("best.labels").alias("labels"))
+    )
+    placed = hosts.join(fitting, "host", "left").withColumn("labels", F.coalesce("labels", F.lit(1)))
+    return placed.withColumns({
+        "suffix": F.expr("substring_index(host, '.', -labels)"),
+        "domain": F.expr("substring_index(host, '.', -labels - 1)")}).drop("labels")
 
 
 def rule_for(host: Column, path: Column, rules: tuple[UrlRule, ...]) -> tuple[Column, Column]:
@@ -95,20 +111,20 @@ def strength(groups: DataFrame, settings: Reputation) -> float:
     return min(settings.most_strength, max(settings.least_strength, weight))
 
 
-def posteriors(outcomes: DataFrame, settings: Reputation = Reputation()) -> DataFrame:
+def posteriors(outcomes: DataFrame, settings: Reputation = Reputation(), suffixes: DataFrame | None = None) -> DataFrame:
     """``(host, n, bad, mean, deviation)`` of every host in ``outcomes`` (host, n, bad)."""
-    hosts = save(outcomes.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
+    hosts = save(with_domain(save(outcomes, "outcomes"), suffixes), "hosts")
     n, bad = hosts.agg(F.sum("n"), F.sum("bad")).first()
     overall = bad / n if n else 0.0
     counted = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    suffixes = save(hosts.groupBy("suffix").agg(*counted).withColumn("mean", F.lit(float(overall))), "suffixes")
+    ends = save(hosts.groupBy("suffix").agg(*counted).withColumn("mean", F.lit(float(overall))), "suffixes")
 
     def posterior(groups, weight):
         a = F.col("mean") * weight + F.col("bad")
         b = (1 - F.col("mean")) * weight + F.col("n") - F.col("bad")
         return groups.withColumns({"a": a, "b": b}).withColumn("rate", F.col("a") / (F.col("a") + F.col("b")))
 
-    rated = posterior(suffixes, strength(suffixes, settings)).select("suffix", F.col("rate").alias("mean"))
+    rated = posterior(ends, strength(ends, settings)).select("suffix", F.col("rate").alias("mean"))
     domains = save(hosts.groupBy("domain", "suffix").agg(*counted).join(rated, "suffix"), "domains")
     rated = posterior(domains, strength(domains, settings)).select("domain", F.col("rate").alias("mean"))
     leaves = save(hosts.join(rated, "domain"), "rated_hosts")
@@ -118,7 +134,7 @@ def posteriors(outcomes: DataFrame, settings: Reputation = Reputation()) -> Data
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[UrlRule, ...] = RULES,
-                settings: Reputation = Reputation()) -> DataFrame:
+                settings: Reputation = Reputation(), suffixes: DataFrame | None = None) -> DataFrame:
     """One row per row of ``pages``: ``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``bad_rate``,
     ``lower_bound``.
 
@@ -126,14 +142,16 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[UrlRule, ...
     bad if one is, null outcomes count as none. The verdict is the longest fitting rule's, else block
     if the host's posterior lower bound is above the limit, else allow. A null URL, or one without
     ``://``, has an empty host and path, which is a host like any other. Without outcomes every rate is
-    0 and nothing but rules blocks. Repeated pages count each time. Further columns are ignored.
+    0 and nothing but rules blocks; where all outcomes are bad every rate is 1 and all hosts are blocked that
+    no rule allows. Repeated pages count each time. Further columns are ignored.
+    ``suffixes`` is a table of public suffixes, see :func:`with_domain`.
     """
     host, path = host_and_path("url")
     placed = pages.select("page_id", host.alias("host"), path.alias("path"))
     known = outcomes.where("page_id is not null and bad is not null").groupBy("page_id").agg(F.max("bad").cast("long").alias("bad"))
     counted = placed.join(known, "page_id", "left").groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    rated = posteriors(counted, settings).select(
+    rated = posteriors(counted, settings, suffixes).select(
         "host", F.col("mean").alias("bad_rate"), (F.col("mean") - settings.deviations * F.col("deviation")).alias("lower_bound"))
     name, verdict = rule_for(F.col("host"), F.col("path"), rules)
     return placed.join(rated, "host").select(
