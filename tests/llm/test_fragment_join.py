@@ -111,3 +111,21 @@ def test_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1000), (None, 5)], "a long, b long")
     got = {r.node: r.component for r in components(links, "a", "b").collect()}
     assert got == {i: 0 for i in range(301)}
+
+
+def test_tasks_keep_little_of_a_batch_at_once():
+    """Sets and packed rows come in parts of a batch, and a word cache holds few words."""
+    import pyarrow as pa
+
+    from tillstream.llm.words import WordIds
+
+    texts = [" ".join(f"w{i}_{j}" for j in range(300)) for i in range(5000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(5000)), "text": texts})
+    for fn, size in ((fragment_join._names(5), 1000), (fragment_join._describe(5, 80), 1000)):
+        parts = [b.num_rows for b in fn(iter([batch]))]
+        assert sum(parts) == 5000 and max(parts) <= size
+    sums = [sum(sum(c) for c in b.column("counts").to_pylist()) for b in fragment_join._counted(5, 4)(iter([batch]))]
+    one = [fragment_join._counted(5, 4)(iter([batch.slice(i, 1)])) for i in range(5000)]
+    assert len(sums) > 1 and sum(sums) == sum(sum(sum(c) for c in b.column("counts").to_pylist()) for r in one for b in r)
+    assert max(sums) <= fragment_join.COUNTED_KEYS + 300
+    assert WordIds.LIMIT <= 200_000

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillstream.llm.words import Batches, WordIds, texts, windows
+from tillstream.llm.words import Batches, WordIds, flat, texts, windows
 
 #: Bytes of text per range of hashes.
 RANGE_BYTES = 12_000_000
@@ -55,15 +55,15 @@ def _rows(bins: np.ndarray, docs: np.ndarray, keys: np.ndarray, flags: np.ndarra
         ["bin", "docs", "counts", "flagged", "packed"])
 
 
-def _groups(described):
-    """Documents in groups of about ``GROUP_KEYS`` keys, so that memory doesn't follow the batch."""
+def _groups(described, most: int = GROUP_KEYS):
+    """Documents in groups of about ``most`` keys, so that memory doesn't follow the batch."""
     docs, keys, flags, held = [], [], [], 0
     for doc_id, own, flag in described:
         docs.append(doc_id)
         keys.append(own)
         flags.append(flag)
         held += len(own)
-        if held >= GROUP_KEYS:
+        if held >= most:
             yield docs, keys, flags
             docs, keys, flags, held = [], [], [], 0
     if docs:
@@ -112,9 +112,7 @@ def _probes(block: int, bins: int):
 
 
 def _unpack(table: pa.Table, kind):
-    docs = np.concatenate([np.asarray(x) for x in table.column("docs").to_pylist()]).astype(np.int64)
-    counts = np.concatenate([np.asarray(x) for x in table.column("counts").to_pylist()]).astype(np.int64)
-    flagged = np.concatenate([np.asarray(x) for x in table.column("flagged").to_pylist()]).astype(np.int64)
+    docs, counts, flagged = (flat(table.column(c)) for c in ("docs", "counts", "flagged"))
     keys = np.concatenate([np.frombuffer(x, kind) for x in table.column("packed").to_pylist()])
     owner = np.repeat(np.arange(len(docs)), counts)
     inside = np.arange(len(keys)) - np.repeat(np.cumsum(counts) - counts, counts)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillstream.llm import block_repeats as packing
 from tillstream.llm.components import components
 from tillstream.llm.scratch import partitions, save
-from tillstream.llm.words import Batches, WordIds, lists, mix, shingle_set, signed, texts
+from tillstream.llm.words import Batches, WordIds, flat, lists, mix, shingle_set, signed, slices, texts
 
 #: Fragments for counting overlaps, and finer ones whose parities bound the difference of two sets.
 COUNT_BITS = 4
@@ -42,6 +42,8 @@ PARITY_BITS = 9
 #: thirty or so is empty; with these hardly any set announces that, whose lists would hold most sets.
 SPARE, SPARE_SHARE = 2, 8
 GROWTH = 1.25
+#: N-grams of the counted stretch that a task sorts and packs together; several arrays of this length live at once.
+COUNTED_KEYS = 400_000
 #: Eighths of the order in which n-grams are counted. A set without partner has about this share of
 #: its n-grams there, which must be clearly more than the share that a link allows to differ.
 COUNTED_EIGHTHS = 3
@@ -100,7 +102,7 @@ def meeting_keys(values: np.ndarray, table: list[Level], percent: int) -> np.nda
 def _names(n: int):
     def run(batches: Batches) -> Batches:
         ids = WordIds()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(ids.of((t or b"").lower().split()), n) for t in texts(batch)]
             names = [xxhash.xxh3_128_digest(v.tobytes()) if len(v) else None for v in sets]
             yield pa.RecordBatch.from_arrays(
@@ -116,7 +118,7 @@ def _counted(n: int, bins: int):
     def run(batches: Batches) -> Batches:
         ids = WordIds()
         for batch in batches:
-            for docs, keys, flags in packing._groups(described(batch, ids)):
+            for docs, keys, flags in packing._groups(described(batch, ids), COUNTED_KEYS):
                 k, d, _, first = packing._local(docs, keys, flags)
                 if len(k):
                     starts = np.flatnonzero(first)
@@ -124,11 +126,13 @@ def _counted(n: int, bins: int):
                     yield packing._rows(packing._bin_of(k[starts], bins), d[starts], k[starts], many, np.uint32)
 
     def described(batch, ids):
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-            values = shingle_set(ids.of((text or b"").lower().split()), n)
-            values = values[: np.searchsorted(values, np.uint64(COUNTED_EIGHTHS << 61))]
-            if doc_id is not None and len(values):
-                yield doc_id, values, np.zeros(len(values), bool)
+        for part in slices([batch]):
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts(part)):
+                values = shingle_set(ids.of((text or b"").lower().split()), n)
+                # A copy: a view would keep the whole set alive until its group is packed.
+                values = values[: np.searchsorted(values, np.uint64(COUNTED_EIGHTHS << 61))].copy()
+                if doc_id is not None and len(values):
+                    yield doc_id, values, np.zeros(len(values), bool)
 
     return run
 
@@ -157,8 +161,8 @@ def _alone(groups: int):
 
 
 def _summed(table):
-    docs, counts = (np.concatenate([np.asarray(x) for x in table.column(c).to_pylist()]) for c in ("docs", "counts"))
-    found, place = np.unique(docs.astype(np.int64), return_inverse=True)
+    docs, counts = flat(table.column("docs")), flat(table.column("counts"))
+    found, place = np.unique(docs, return_inverse=True)
     return pa.table({"doc_id": pa.array(found, pa.int64()), "n_alone": pa.array(np.bincount(place, counts).astype(np.int64))})
 
 
@@ -183,7 +187,7 @@ def _describe(n: int, percent: int):
 
     def run(batches: Batches) -> Batches:
         ids = WordIds()
-        for batch in batches:
+        for batch in slices(batches):
             sizes, names, keys, parities = [], [], [], []
             for text in texts(batch):
                 values = shingle_set(ids.of((text or b"").lower().split()), n)
@@ -209,7 +213,7 @@ def _describe(n: int, percent: int):
 def _segments(n: int):
     def run(batches: Batches) -> Batches:
         ids = WordIds()
-        for batch in batches:
+        for batch in slices(batches):
             docs, names, parts, values_of = [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 values = shingle_set(ids.of((text or b"").lower().split()), n)

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 MASK = (1 << 64) - 1
@@ -22,7 +23,7 @@ MIX_2 = np.uint64(0x94D049BB133111EB)
 class WordIds(dict):
     """Hash of each word, remembered while the vocabulary of a task stays below a bound."""
 
-    LIMIT = 500_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -62,10 +63,22 @@ def texts(batch: pa.RecordBatch | pa.Table, column: str = "text") -> list[bytes
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
+def slices(batches: Batches, rows: int = 1000) -> Batches:
+    """The same rows in smaller batches, for tasks that hold several objects per row of a batch."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def flat(column: pa.ChunkedArray) -> np.ndarray:
+    """All numbers of a column of lists, without a Python object for each."""
+    return pc.list_flatten(column).to_numpy().astype(np.int64)
+
+
 def lists(values: list[np.ndarray], kind: pa.DataType = pa.int64()) -> pa.ListArray:
     """One list per row out of numpy arrays."""
     offsets = np.zeros(len(values) + 1, np.int32)
