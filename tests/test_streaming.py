@@ -465,3 +465,42 @@ def test_counts_are_stored_once_per_batch_and_stage(spark, tmp_path):
     got = sorted((r.query, r.batch, r.stage, r.rows) for r in counts.read().collect())
     assert got == [("counted", 0, "kept", 2), ("counted", 0, "read", 3), ("counted", 1, "kept", 0), ("counted", 1, "read", 1),
                    ("counted", 2, "kept", 1), ("counted", 2, "read", 1)]
+
+
+def test_only_named_hot_orders_are_kept_per_salt(spark, tmp_path):
+    """With ``heavy`` an order that is not hot is one row of state, and the results stay the same."""
+    o = lambda i, at: (i, i * 10, at)
+    orders = [o(k, 0) for k in range(20)] + [o(99, 0)]
+    lines = [(k, 100 + k, 5) for k in range(15)] + [(99, 1000 + k, 5) for k in range(40)]
+    at = lambda df, c: df.withColumn(c, F.timestamp_seconds(F.col(c) + 1_700_000_000))
+    for i, (a, b) in enumerate([(orders, lines), ([o(500, 9000)], [(500, 1, 9000)])]):
+        at(spark.createDataFrame(a, "id long, cust long, order_arrival long"), "order_arrival").coalesce(1).write.mode("append").parquet(str(tmp_path / "o"))
+        at(spark.createDataFrame(b, "order_id long, line long, detail_arrival long"), "detail_arrival").coalesce(1).write.mode("append").parquet(str(tmp_path / "d"))
+    read = lambda name: spark.readStream.schema(spark.read.parquet(str(tmp_path / name)).schema).parquet(str(tmp_path / name))
+    hot = {spark.range(99, 100).select(F.xxhash64("id")).first()[0]: 3}
+
+    def run(side, heavy):
+        out = str(tmp_path / f"{side.__name__}-{heavy and len(heavy)}")
+        rows = side(read("o"), read("d"), JoinBound(salts=4), salt_by="line", heavy=heavy).withColumn("task", F.spark_partition_id())
+        query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-ck").trigger(availableNow=True).start()
+        finish(query)
+        joins = [op for p in query.recentProgress for op in p["stateOperators"] if op["operatorName"] == "symmetricHashJoin"]
+        return spark.read.parquet(out), max(op["numRowsTotal"] for op in joins)
+
+    for side, want in ((stateful.orders_with_lines, 56), (stateful.unmatched_orders, 5)):
+        got, held = run(side, hot)
+        plain, copied = run(side, None)
+        same = lambda df: sorted(tuple(r) for r in df.drop("task").collect())
+        assert same(got) == same(plain) and got.count() == want
+        assert held < copied
+    assert run(stateful.orders_with_lines, {})[1] <= 21 + 55 + 2
+
+
+def test_streams_with_large_state_keep_it_on_disk(spark):
+    from tillstream.session import STATE_ON_DISK, state_on_disk
+
+    name = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
+    before = spark.conf.get(name, None)
+    with state_on_disk(spark):
+        assert all(spark.conf.get(k) == v for k, v in STATE_ON_DISK.items())
+    assert spark.conf.get(name, None) == before

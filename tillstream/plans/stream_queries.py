@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.config import JoinBound, Settings
 from tillstream.operators.alerts import fired, windows_of_slots
+from tillstream.operators.skew import heavy_keys
 from tillstream.plans.alert_queries import SLIDING_SQL, TEXT
 from tillstream.plans.catalog import query
 from tillstream.plans.metric_queries import FIRST_SQL
-from tillstream.session import scratch_path
+from tillstream.session import scratch_path, state_on_disk
 from tillstream.sources import domain
-from tillstream.sources.files import table_stream
+from tillstream.sources.files import table, table_stream
 from tillstream.streaming import jobs, stateful
 from tillstream.streaming.sinks import KeyedTable, upper_names
 
@@ -42,10 +43,17 @@ def _appended(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
         stream.writeStream.format("parquet").option("path", path)
         .option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True)
     )
-    writer.start().awaitTermination()
+    with state_on_disk(spark):
+        run = writer.start()
+    run.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def _hot_orders(spark: SparkSession, folder: str) -> dict[int, int]:
+    """Orders with so many lines that they need several tasks, told from the stored lines."""
+    return heavy_keys(table(spark, folder, "lineitem").select("l_orderkey"), ["l_orderkey"])
+
+
 def _logs(spark, folder):
     logs = domain.startup_logs(table_stream(spark, folder, "events"))
     return _zoned(logs.withColumnRenamed("ts", "event_time"), "event_time")
@@ -75,6 +83,7 @@ def stream_order_detail_join(spark, folder):
     joined = stateful.orders_with_lines(
         _zoned(orders, "order_arrival"), _zoned(details, "detail_arrival"),
         JoinBound(seconds=30 * 86400, watermark="30 days", salts=4), "o_orderkey", "l_orderkey",
+        heavy=_hot_orders(spark, folder),
     )
     columns = ["o_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     return _appended(spark, joined.select(*columns), "joined")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +35,33 @@ def configure(builder: SparkSession.Builder, shuffle_partitions: int | None = No
     return builder
 
 
+#: For streams whose state is as large as their input: on the executors' disks, with one bound on the memory
+#: of all stores of an executor and no lookup per write to count rows. A batch changes most of such a state, so
+#: a log of the changes would only be written on top.
+STATE_ON_DISK = {k: v for k, v in RECOMMENDED.items() if ".stateStore." in k} | {
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "1500",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state on disk; the settings of the session come back after."""
+    before = {k: spark.conf.get(k, None) for k in STATE_ON_DISK}
+    for key, value in STATE_ON_DISK.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables: ``spark.checkpoint.dir``, which a cluster
     sets to a folder that all executors share, or else one in the warehouse."""

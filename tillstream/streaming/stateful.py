@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 import tillstream
@@ -125,13 +125,15 @@ def daily_first_once(logs: DataFrame, order: list[str], watermark: str = "1 day"
 def orders_with_lines(orders: DataFrame, details: DataFrame, bound: JoinBound = JoinBound(),
                       order_key: str = "id", detail_key: str = "order_id",
                       order_time: str = "order_arrival", detail_time: str = "detail_arrival",
-                      salt_by: str = "order_detail_id") -> DataFrame:
+                      salt_by: str = "order_detail_id", heavy: dict[int, int] | None = None) -> DataFrame:
     """Orders and lines whose arrivals are at most ``bound.seconds`` apart.
 
     Streams are not re-planned at run time, so a hot order is split here: its lines are spread
     over ``bound.salts`` tasks, and the order is kept in each of them. The result is the same.
+    Where the hot orders are known beforehand, ``heavy`` names their hashes and salts as
+    ``operators.skew.heavy_keys`` gives them over the lines' key; all other orders are then kept once.
     """
-    o, d = _salted(orders, details, bound, order_time, detail_time, salt_by)
+    o, d = _salted(orders, details, bound, order_key, detail_key, order_time, detail_time, salt_by, heavy)
     return o.join(d, _near(bound, order_key, detail_key, order_time, detail_time)
                   & (F.col("_osalt") == F.col("_dsalt"))).drop("_osalt", "_dsalt")
 
@@ -139,18 +141,20 @@ def orders_with_lines(orders: DataFrame, details: DataFrame, bound: JoinBound =
 def unmatched_orders(orders: DataFrame, details: DataFrame, bound: JoinBound = JoinBound(),
                      order_key: str = "id", detail_key: str = "order_id",
                      order_time: str = "order_arrival", detail_time: str = "detail_arrival",
-                     salt_by: str = "order_detail_id") -> DataFrame:
+                     salt_by: str = "order_detail_id", heavy: dict[int, int] | None = None) -> DataFrame:
     """Orders that no line came near, given out once the watermark has passed.
 
-    Lines are spread over ``bound.salts`` (at most 62) tasks as in :func:`orders_with_lines`. Every salt
-    tells which orders it met no line of; an order is given out when all salts say so, which an aggregate
-    decides that keeps one number per order. Repeated equal orders are one.
+    Lines are spread over ``bound.salts`` (at most 62) tasks, or those of ``heavy``, as in
+    :func:`orders_with_lines`. Every salt tells which orders it met no line of; an order is given out when
+    all its salts say so, which an aggregate decides that keeps one number per order. Repeated equal
+    orders are one.
     """
-    o, d = _salted(orders, details, bound, order_time, detail_time, salt_by)
+    o, d = _salted(orders, details, bound, order_key, detail_key, order_time, detail_time, salt_by, heavy)
     near = _near(bound, order_key, detail_key, order_time, detail_time) & (F.col("_osalt") == F.col("_dsalt"))
     missed = o.join(d.select(detail_key, detail_time, "_dsalt"), near, "left_outer").where(F.col("_dsalt").isNull())
     told = F.expr("bit_or(shiftleft(1L, _osalt))").alias("_told")
-    return missed.groupBy(*orders.columns).agg(told).where(F.col("_told") == (1 << bound.salts) - 1).drop("_told")
+    every = F.call_function("shiftleft", F.lit(1).cast("long"), _spread(order_key, bound, heavy)) - 1
+    return missed.groupBy(*orders.columns).agg(told).where(F.col("_told") == every).drop("_told")
 
 
 def unmatched_lines(orders: DataFrame, details: DataFrame, bound: JoinBound = JoinBound(),
@@ -159,19 +163,33 @@ def unmatched_lines(orders: DataFrame, details: DataFrame, bound: JoinBound = Jo
                     salt_by: str = "order_detail_id") -> DataFrame:
     """Lines that no order came near, given out once the watermark has passed. A line has one salt, so
     the join alone decides."""
-    o, d = _salted(orders, details, bound, order_time, detail_time, salt_by)
+    o, d = _salted(orders, details, bound, order_key, detail_key, order_time, detail_time, salt_by)
     near = _near(bound, order_key, detail_key, order_time, detail_time) & (F.col("_osalt") == F.col("_dsalt"))
     joined = d.join(o.select(order_key, order_time, "_osalt"), near, "left_outer")
     return joined.where(F.col("_osalt").isNull()).select(*details.columns)
 
 
-def _salted(orders: DataFrame, details: DataFrame, bound: JoinBound, order_time: str, detail_time: str,
-            salt_by: str) -> tuple[DataFrame, DataFrame]:
-    """Both streams with watermarks: every order in each salt, every line in one."""
+#: Bits of the number by which salts tell what they missed.
+MOST_SALTS = 62
+
+
+def _spread(key: str, bound: JoinBound, heavy: dict[int, int] | None) -> Column:
+    """Number of salts of a row by its key."""
+    spread = F.lit(bound.salts if heavy is None else 1)
+    for item, n in (heavy or {}).items():
+        spread = F.when(F.xxhash64(key) == item, F.lit(min(n, MOST_SALTS))).otherwise(spread)
+    return spread
+
+
+def _salted(orders: DataFrame, details: DataFrame, bound: JoinBound, order_key: str, detail_key: str, order_time: str,
+            detail_time: str, salt_by: str, heavy: dict[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both streams with watermarks: every order in each of its salts, every line in one."""
+    if heavy and orders.schema[order_key].dataType != details.schema[detail_key].dataType:
+        raise ValueError("heavy keys are told by their hashes, which needs keys of one type")
     o = orders.withWatermark(order_time, bound.watermark).withColumn(
-        "_osalt", F.explode(F.sequence(F.lit(0), F.lit(bound.salts - 1))))
+        "_osalt", F.explode(F.sequence(F.lit(0), _spread(order_key, bound, heavy) - 1)))
     d = details.withWatermark(detail_time, bound.watermark).withColumn(
-        "_dsalt", F.pmod(F.xxhash64(salt_by), F.lit(bound.salts)).cast("int"))
+        "_dsalt", F.pmod(F.xxhash64(salt_by), _spread(detail_key, bound, heavy)).cast("int"))
     return o, d
 
 
