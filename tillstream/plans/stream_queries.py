@@ -103,7 +103,8 @@ def stream_unmatched_side(spark, folder):
         "l_orderkey", domain.detail_id().alias("order_detail_id"), F.col("l_shipdate").alias("detail_arrival"))
     alone = stateful.unmatched_orders(
         _zoned(orders, "order_arrival"), _zoned(details, "detail_arrival"),
-        JoinBound(seconds=30 * 86400, watermark="30 days", salts=4), "o_orderkey", "l_orderkey")
+        JoinBound(seconds=30 * 86400, watermark="30 days", salts=4), "o_orderkey", "l_orderkey",
+        heavy=_hot_orders(spark, folder))
     return _appended(spark, alone.select("o_orderkey", "o_custkey"), "unmatched")
 
 
