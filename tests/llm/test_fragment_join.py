@@ -129,3 +129,46 @@ def test_tasks_keep_little_of_a_batch_at_once():
     assert len(sums) > 1 and sum(sums) == sum(sum(sum(c) for c in b.column("counts").to_pylist()) for r in one for b in r)
     assert max(sums) <= fragment_join.COUNTED_KEYS + 300
     assert WordIds.LIMIT <= 200_000
+
+
+def test_versions_too_far_apart_make_no_pairs(spark, make_docs):
+    """Members of one family that differ too much meet in lists, but their pairs are not made."""
+    rng, texts = random.Random(7), []
+    base = [f"b{i}" for i in range(400)]
+    for v in range(40):
+        text = list(base)
+        for at in rng.sample(range(400), 32):
+            text[at] = f"v{v}_{at}"
+        near = list(text)
+        near[rng.randrange(400)] = f"n{v}"
+        texts += [" ".join(text), " ".join(near)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    made, old = [], fragment_join._rest
+    fragment_join._rest = lambda *a: made.append(old(*a)) or made[-1]
+    try:
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in
+               fragment_join.link_components(make_docs([*rows, *rows[:5]]), 5, 80).collect()}
+    finally:
+        fragment_join._rest = old
+    assert got == brute(rows, 5, 80) and len({c for _, c in got.values()}) == 40
+    assert made[0].count() <= 40
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_prefixes_hold_a_common_gram_of_linked_sets(spark, percent):
+    """The guarantee of the prefixes, on random sets around the limit; equal rows count once."""
+    rng, sets = np.random.default_rng(8), []
+    for _ in range(12):
+        x = rng.integers(0, 2**62, int(rng.integers(1, 60)))
+        for _ in range(6):
+            drop, add = rng.integers(0, max(1, len(x) * (100 - percent) // percent) + 1, 2)
+            sets.append(np.unique(np.r_[rng.permutation(x)[: len(x) - drop], rng.integers(0, 2**62, add)]))
+    sets = [(i, set(map(int, x))) for i, x in enumerate(sets) if len(x)]
+    nodes = spark.createDataFrame([(i, bytes([i]), len(x)) for i, x in sets] * 2, "doc_id long, set_id binary, n_shingles long")
+    meetings = spark.createDataFrame([(1, i) for i, _ in sets], "key long, node long")
+    segments = spark.createDataFrame([(i, bytes([i]), 0, list(x)) for i, x in sets], "node long, set_id binary, part int, grams array<long>")
+    none = spark.createDataFrame([], "node long, component long")
+    open_ = fragment_join._open(meetings, none, nodes)
+    found = {(r.a, r.b) for r in fragment_join._rest(fragment_join._prefixes(open_, segments, percent), percent).collect()}
+    linked = {(a, b) for a, x in sets for b, y in sets if a < b and 100 * len(x & y) >= percent * len(x | y)}
+    assert linked and linked <= found

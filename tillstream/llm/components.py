@@ -19,10 +19,10 @@ def _minimum(edges: DataFrame) -> DataFrame:
 def _round(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step over edges (u, v) with v < u."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    large = (
+    # Written, as it is read three times; the plan of a whole round would be long.
+    large = save(
         both.join(_minimum(both), "u").where("v > u")
-        .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-    )
+        .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
     low = _minimum(large)
     small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()

@@ -16,9 +16,11 @@ How copies stay cheap without losing a link between different texts:
 * equal sets are one node, named by its smallest ``doc_id``;
 * in every meeting list one central set (the one that meets most others) is compared with the
   rest first, and the links found are contracted to components;
-* after that, only members of different components are compared, and only if the parities of their
-  fragment sizes allow a link (sets differ in at least as many n-grams as there are fragments of
-  which one has an even and the other an odd number).
+* only pairs are compared of which the parities of the fragment sizes allow a link (sets differ in at
+  least as many n-grams as there are fragments of which one has an even and the other an odd number);
+* after that, members of different components are compared only if they share one of their rarest
+  n-grams (see :func:`_prefixes`). Versions of one text that are too far apart meet in many lists,
+  but share common n-grams only, so their pairs are never made.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillstream.llm import block_repeats as packing
 from tillstream.llm.components import components
@@ -288,19 +290,44 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return joined.where(_may_link("x", "y", percent)).select("a", "b").distinct()
 
 
-def _rest(meetings: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs from different components that meet and whose sizes and parities allow a link."""
-    marked = meetings.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
+def _open(meetings: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(node, set_id, size, label)`` of the sets that meet one of another component."""
+    marked = meetings.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
     open_keys = (
         marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low <> high").select("key")
     )
-    rows = marked.join(open_keys, "key").join(
-        nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "parities"), "node"
-    ).select("key", "node", "label", "size", "parities")
-    x, y = rows.alias("x"), rows.alias("y")
+    found = marked.join(open_keys, "key").select("node", "label").distinct()
+    # A row that comes twice is one set, or its n-grams would count twice.
+    known = nodes.select(F.col("doc_id").alias("node"), "set_id", F.col("n_shingles").alias("size")).distinct()
+    return known.join(found, "node")
+
+
+def _prefixes(open_: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """``(gram, node, label, size, place)``: the n-grams by which a link to another component must show.
+
+    N-grams are ordered by how many sets hold them, those of one component alone before all others. Of linked
+    sets each holds ``percent %`` of the other's n-grams, so the first common one stands among the first
+    ``(100 - percent) %`` of both, and one more. Edits fill these places, and common text is left out.
+    """
+    grams = segments.join(open_, ["node", "set_id"]).select("node", "set_id", "size", "label", F.explode("grams").alias("gram"))
+    held = grams.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("held"), (F.min("label") != F.max("label")).alias("shared"))
+    order = Window.partitionBy("node", "set_id").orderBy("shared", "held", "gram")
+    placed = grams.join(held, "gram").withColumn("place", F.row_number().over(order) - 1)
+    return placed.where((100 * F.col("place") <= (100 - percent) * F.col("size")) & F.col("shared")).select(
+        "gram", "node", "label", "size", "place")
+
+
+def _rest(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs from different components that share an n-gram of their prefixes from which on enough can be common."""
+    x, y = prefixes.alias("x"), prefixes.alias("y")
+    sizes = F.col("x.size"), F.col("y.size")
+    left = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    enough = (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (
+        (100 + percent) * left >= percent * (F.col("x.size") + F.col("y.size")))
     apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
-    return x.join(y, (F.col("x.key") == F.col("y.key")) & apart & _may_link("x", "y", percent)).select(
+    return x.join(y, (F.col("x.gram") == F.col("y.gram")) & apart & enough).select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
@@ -331,9 +358,12 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         .dropDuplicates(["node", "set_id", "part"]), "segments")
     stars = save(_plausible(_stars(meetings), nodes, percent), "stars")
     links = save(_verified(stars, segments, sizes, percent), "links")
-    rest = _rest(meetings, components(links, "a", "b"), nodes, percent).join(stars, ["a", "b"], "left_anti")
-    links = links.union(_verified(rest, segments, sizes, percent))
     labels = components(links, "a", "b")
+    open_ = save(_open(meetings, labels, nodes), "open_sets")
+    prefixes = save(_prefixes(open_, segments, percent), "prefixes")
+    rest = save(_rest(prefixes, percent).join(stars, ["a", "b"], "left_anti"), "rest")
+    # The components stand for the links they came from.
+    labels = components(labels.toDF("a", "b").union(_verified(rest, segments, sizes, percent)), "a", "b")
     named_rows = (
         described.where("set_id is not null").select("doc_id", "n_shingles", "set_id")
         .join(sizes.select("set_id", "node"), "set_id", "left").join(labels, "node", "left")
