@@ -374,3 +374,17 @@ def test_generated_logs(spark):
     assert (low, high) == (0, 49)
     times = [r.ts for r in starts.orderBy("id").select("ts").collect()]
     assert times == sorted(times)
+
+
+def test_full_outer_join_holds_no_table_of_line_keys(spark, monkeypatch):
+    """Only heavy keys are counted down to one row each; null keys and orders that come twice stay."""
+    lines = spark.createDataFrame([(i, None if i % 50 == 0 else 1 if i % 3 == 0 else i) for i in range(400)], "id int, order_id int")
+    orders = spark.createDataFrame([(k, f"u{k}") for k in [None, 1, 1, 2, 5, 1000, 1000]], "key int, user_id string")
+    want = orders.join(lines, F.col("key") == F.col("order_id"), "full_outer").select("key", "user_id", "id", "order_id")
+    for heavy in ({}, {spark.range(1).select(F.xxhash64(F.lit(1))).first()[0]: 4}):
+        monkeypatch.setattr(joins, "heavy_keys", lambda *a: heavy)
+        mine = joins.orders_full_outer_details(orders, lines, "key", "order_id")
+        plan = mine._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate") == len(heavy)
+        got = mine.select("key", "user_id", "id", "order_id")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

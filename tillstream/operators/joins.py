@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.functions import age_years
+from tillstream.operators.skew import heavy_keys
 
 
 def orders_full_outer_details(orders: DataFrame, details: DataFrame, order_key: str = "id",
@@ -20,11 +21,23 @@ def orders_full_outer_details(orders: DataFrame, details: DataFrame, order_key:
     names = {c: f"{c}_of_order" if c in taken else c for c in orders.columns}
     o, key = orders.withColumnsRenamed(names), names[order_key]
     lines = details.join(o, F.col(detail_key) == F.col(key), "left")
-    with_line = details.select(F.col(detail_key).alias(key)).distinct()
-    alone = o.join(with_line, key, "left_anti")
+    alone = o.join(_line_keys(details.select(F.col(detail_key).alias(key)), key), key, "left_anti")
     return lines.unionByName(alone, allowMissingColumns=True)
 
 
+def _line_keys(keys: DataFrame, key: str) -> DataFrame:
+    """The keys of the lines for an anti join: of the heavy ones one row each, all others as they are.
+
+    A ``distinct`` over all would hold every key that a task reads in a hash table, and most orders have few
+    lines. Only a heavy key must not send all its rows to one task.
+    """
+    heavy = list(heavy_keys(keys, [key]))
+    if not heavy:
+        return keys
+    is_heavy = F.xxhash64(key).isin(heavy)
+    return keys.where(~is_heavy).union(keys.where(is_heavy).distinct())
+
+
 def orders_with_details(orders: DataFrame, details: DataFrame, order_key: str, detail_key: str) -> DataFrame:
     """Inner join on the order id."""
     return details.join(orders, F.col(detail_key) == F.col(order_key))
